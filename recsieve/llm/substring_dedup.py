@@ -225,7 +225,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def packed(which: DataFrame, windows: bool) -> DataFrame:
         at = which.groupBy(*KEY).agg(F.collect_set(F.struct("first", "n", "mini")).alias("at"))
-        return texts.join(at, KEY).mapInArrow(_pack(k, windows), f"mini long, {pair}, first int, packed binary")
+        return keyed.join(at, KEY).mapInArrow(_pack(k, windows), f"mini long, {pair}, first int, packed binary")
 
     strings = packed(places.where(F.col("total") <= hot), False)
     found = strings.repartition("mini").sortWithinPartitions("mini").mapInArrow(_count(k), f'{pair}, start int, `end` int')
@@ -235,7 +235,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = found.unionByName(single.join(twice, "packed").select(*KEY, F.col("first").alias("start"), (F.col("first") + k).alias("end")))
     spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("at"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = keyed.join(spans, KEY, "left").select("id", "text", "at")
+    # keyed has the same columns here as in packed(), so its rows are shuffled once for both joins
+    out = keyed.join(spans, KEY, "left")
     return out.mapInArrow(_cover(k), f"id {kind}, n_words long, n_removed long, removed array<struct<start:int,`end`:int>>, kept_text string").withColumnRenamed("id", id_col)
 
 
