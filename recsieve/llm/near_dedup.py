@@ -8,8 +8,8 @@ average and in over 33 with a probability of about one in 100,000.
 
 A bucket isn't expanded into its pairs. Each member is held against the first of its bucket; pairs within the distance are
 confirmed on the full sets; the links' components are found. Buckets whose other members are then still in several
-components have those members' signatures compared block by block, and cross-component pairs within the distance are
-confirmed too. So only links between texts that are connected already are left out.
+components get those members' sets and compare them block by block; what links two components is confirmed too. So only
+links between texts that are connected already are left out, and the pairs that leave a bucket are fewer than its members.
 
 Texts with equal word sequences form one class, found by partial aggregation of a digest; only classes are compared.
 
@@ -37,7 +37,7 @@ DISTANCE = 2 * CHUNKS - 1
 PERCENT = 75
 PER_LEADER = 2000
 """Members that one task holds against one leader."""
-BLOCK = 512
+BLOCK = 256
 
 _XOR = constants(SYMBOLS, 101)
 _TIMES = constants(SYMBOLS, 202) | np.uint64(1)
@@ -134,37 +134,98 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(batch.column(x).to_numpy()[keep]) for x in ("a", "b")], names=["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: the pairs of a bucket's members within the distance that are in different components."""
-
-    def pairs(c: np.ndarray, root: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(c), BLOCK):
-            for j in range(i, len(c), BLOCK):
-                far = np.zeros((min(BLOCK, len(c) - i), min(BLOCK, len(c) - j)), dtype=np.uint8)
-                for s in range(SYMBOLS):
-                    far += sig[i : i + BLOCK, s][:, None] != sig[j : j + BLOCK, s][None, :]
-                x, y = np.nonzero((far <= DISTANCE) & (root[i : i + BLOCK][:, None] != root[j : j + BLOCK][None, :]))
-                x, y = c[i + x], c[j + y]
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text's set, as 32-bit hashes, once for each bucket that it goes to."""
+    for batch in batches:
+        to = batch.column("to")
+        bounds, fields = np.asarray(to.offsets), [np.asarray(x) for x in to.flatten().flatten()]
+        bounds = bounds - bounds[0]
+        for i, j, data, offsets in text_slices(batch.column("text")):
+            h, at = shingles(Words(data, offsets, lower=True))
+            own = [np.unique(h[a:b].astype(np.uint32)).tobytes() for a, b in zip(at[:-1], at[1:])]
+            for a in range(i, j, 64):  # a few texts at once: each may go to many buckets
+                b = min(a + 64, j)
+                at_rows = slice(bounds[a], bounds[b])
+                sets = [own[r - i] for r in range(a, b) for _ in range(bounds[r], bounds[r + 1])]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[at_rows]) for x in fields), pa.array(sets, pa.binary())], names=["key", "c", "root", "set"])
+
+
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of x shares with each of y: a matrix product, some columns at once."""
+    values, where = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    rows = np.repeat(np.arange(len(x) + len(y)), [len(s) for s in (*x, *y)])
+    several = np.bincount(where) > 1
+    column = np.cumsum(several) - 1
+    keep = several[where]
+    where, rows = column[where[keep]], rows[keep]
+    order = np.argsort(where, kind="stable")
+    where, rows = where[order], rows[order]
+    total = np.zeros((len(x), len(y)), dtype=np.float32)
+    for first in range(0, int(several.sum()), 4096):
+        a, b = np.searchsorted(where, [first, first + 4096])
+        m = np.zeros((len(x) + len(y), 4096), dtype=np.float32)
+        m[rows[a:b], where[a:b] - first] = 1
+        total += m[: len(x)] @ m[len(x) :].T
+    return total.astype(np.int64)
+
+
+def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links that connect all members of a bucket that similar pairs across components connect; no others are needed.
+
+    A pair that 32-bit hashes leave in doubt (one element either way) is given as well, and connects nothing here.
+    """
+    parent: dict[int, int] = {int(r): int(r) for r in root}
+
+    def find(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    n = np.array([len(s) for s in sets])
+    out: tuple[list[int], list[int]] = ([], [])
+    for i in range(0, len(c), BLOCK):
+        for j in range(i, len(c), BLOCK):
+            p, q = slice(i, i + BLOCK), slice(j, j + BLOCK)
+            both = _shared(sets[p], sets[q])
+            union = n[p][:, None] + n[q][None, :] - both
+            doubt = (n[p][:, None] * n[q][None, :] > 10_000).astype(np.int64)
+            across = root[p][:, None] != root[q][None, :]
+            sure = across & (100 * (both - doubt) >= PERCENT * (union + doubt))
+            maybe = across & ~sure & (100 * (both + doubt) >= PERCENT * (union - doubt))
+            for kind in (sure, maybe):
+                for x, y in zip(*np.nonzero(kind)):
+                    a, b = find(int(root[i + x])), find(int(root[j + y]))
+                    if a != b:
+                        out[0].append(int(min(c[i + x], c[j + y])))
+                        out[1].append(int(max(c[i + x], c[j + y])))
+                        if kind is sure:
+                            parent[a] = b
+    return out
+
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key: what links a bucket's members across components."""
     held: list[pa.RecordBatch] = []
 
     def done() -> Iterator[pa.RecordBatch]:
-        if held:
-            t = pa.Table.from_batches(held)
-            yield from pairs(t.column("c").to_numpy(), t.column("root").to_numpy(), _matrix(t.column("sig")))
-            held.clear()
+        t = pa.Table.from_batches(held)
+        held.clear()
+        c, first = np.unique(t.column("c").to_numpy(), return_index=True)
+        packed = t.column("set").take(pa.array(first)).to_pylist()
+        a, b = _join_bucket(c, t.column("root").to_numpy()[first], [np.frombuffer(x, dtype=np.uint32) for x in packed])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
         key = batch.column("key").to_numpy()
         bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
         for a, b in zip(bounds, bounds[1:]):
-            if held and held[-1].column("key")[0].as_py() != key[a]:
-                yield from done()
             if b > a:
+                if held and held[-1].column("key")[0].as_py() != key[a]:
+                    yield from done()
                 held.append(batch.slice(a, b - a))
-    yield from done()
+    if held:
+        yield from done()
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,11 +282,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = cut(_roots(classes, links))
 
     member = stars.join(roots.select(F.col("c").alias("b"), "root"), "b")
-    # the first of a bucket was held against all others: what is left are the others, if in several components
-    open_keys = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    crossing = member.join(open_keys, "key").join(classes.select(F.col("c").alias("b"), "sig"), "b").select("key", F.col("b").alias("c"), "root", "sig")
-    pairs = crossing.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long").distinct()
-    pairs = cut(pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti"))
+    # the first of a bucket was held against all others: what is left are the others, if in several components;
+    # of buckets with the same members, one is enough
+    grouped = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("members"))
+    open_keys = grouped.where("x < y").groupBy("size", "members").agg(F.min("key").alias("key")).select("key")
+    crossing = member.join(open_keys, "key").select("key", F.col("b").alias("c"), "root")
+    to = crossing.join(classes.select("c", *KEY), "c").groupBy(*KEY).agg(F.collect_set(F.struct("key", "c", "root")).alias("to"))
+    sets = texts.join(to, KEY).select("text", "to").mapInArrow(_sets, "key long, c long, root long, set binary")
+    pairs = cut(sets.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long").distinct())
     if not pairs.isEmpty():
         links = cut(links.unionByName(_links(pairs, classes, texts)))
         roots = cut(_roots(classes, links))

@@ -60,6 +60,43 @@ def test_edges(spark):
     assert near_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_large_group_of_changed_copies(spark):
+    """Copies with changed words, many pairs of which are just below or above the threshold."""
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in range(150)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for x in rng.choice(150, int(rng.integers(1, 6)), replace=False):
+            words[x] = f"new{rng.integers(0, 400)}"
+        rows.append((i, " ".join(words)))
+    got = sorted((tuple(r) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("_k1", "_k2").collect()), key=str)
+    assert got == brute(rows)
+    assert 1 < sum(x[3] for x in got) < 150
+
+
+def test_bucket_links_what_brute_force_links():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.choice(60, int(rng.integers(30, 60)), replace=False).astype(np.uint32)) for _ in range(600)]
+    c = np.arange(600)
+    a, b = near_dedup._join_bucket(c, c, sets)
+    assert len(a) < 600
+    root = list(range(600))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in zip(a, b):
+        root[find(x)] = find(y)
+    for x in range(600):
+        for y in range(x):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
+                assert find(x) == find(y)
+
+
 def test_distance_guarantee(spark):
     """Any signature within the distance shares a key."""
     rng = np.random.default_rng(1)
