@@ -25,6 +25,16 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.secrets import BASE, render, scan
+
+    found, _ = scan(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in BASE]
+    n = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("found", lambda x: x["kind"].isin(kinds))
+    return found.select("doc_id", *map(n, kinds), F.sha2(render(base), 256).alias("base_sha256"), render(F.col("found")).alias("spans"))
+
+
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsieve.llm.quality_model import held_out, score, train
 
@@ -39,11 +49,58 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.decontaminate import contaminated_words
+
+    out = contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
-SQL: dict[str, str] = {}
+def _spans_sql(kind: str, pattern: str, group: int, least: int, place: int) -> str:
+    """Per document the spans of one kind: matches and the pieces between them alternate."""
+    return f"""
+    SELECT doc_id, '{kind}' AS kind, {place} AS place, i AS k,
+           list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(matches[1:i - 1], lambda x: length(x))), 0) AS s,
+           length(matches[i]) AS size
+    FROM (SELECT doc_id, gaps, matches, vals, unnest(range(1, len(matches) + 1)) AS i FROM (
+        SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}', 0) AS matches, regexp_extract_all(t, '{pattern}', {group}) AS vals
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WHERE regexp_matches(t, '{pattern}')))
+    WHERE length(vals[i]) >= {least}"""
+
+
+def _op6_sql() -> str:
+    from recsieve.llm.secrets import RULES
+
+    parts = " UNION ALL ".join(_spans_sql(r.kind, r.pattern.replace("'", "''"), r.group, r.least, i) for i, r in enumerate(RULES))
+    base = "kind IN ('assign', 'access', 'hex')"
+    count = lambda k: f"coalesce(count(*) FILTER (WHERE kind = '{k}'), 0)::BIGINT AS n_{k}"
+    return f"""
+    WITH spans AS ({parts}),
+    named AS (SELECT doc_id, kind, place, s, kind || ':' || s::BIGINT || ':' || (s + size)::BIGINT AS name FROM spans),
+    by_doc AS (SELECT doc_id, {", ".join(count(k) for k in ("assign", "access", "hex"))},
+                      string_agg(name, ',' ORDER BY s, place) FILTER (WHERE {base}) AS b, string_agg(name, ',' ORDER BY s, place) AS a FROM named GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+    FROM documents d LEFT JOIN by_doc USING (doc_id)"""
+
+
+_OP10_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS x FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM item)),
+grams AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS x FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc CROSS JOIN (SELECT DISTINCT n FROM item) WHERE len(w) >= n)),
+hits AS (SELECT g.doc_id, g.i, g.n, v.item_id FROM grams g JOIN windows v ON g.n = v.n AND g.x = v.x),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op6_secret_scan": _op6_sql(), "op10_decontaminate": _OP10_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
