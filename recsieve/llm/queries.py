@@ -25,6 +25,29 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from recsieve.llm.common import checkpoint_dir
+    from recsieve.llm.warc import read_archives, write_archives
+
+    path = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_tokens", "epoch", "weight", "mix_order")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsieve.llm.secrets import BASE, render, scan
 
@@ -49,6 +72,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.chat_format import pack_conversations, unpack
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = r"\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema))
+    out = unpack(pack_conversations(rows))
+    turns = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsieve.llm.decontaminate import contaminated_words
 
