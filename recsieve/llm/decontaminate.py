@@ -25,7 +25,6 @@ BROADCAST_ROWS = 200_000
 """Rows of at most some hundred bytes each."""
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -72,15 +71,19 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         # a window has one least k-gram: its fingerprint
         own = windows.where(F.col("span") == s).select(F.explode(_fingerprints(F.split("window", " "), s)).alias("x")).select("x.*")
         marks = own if marks is None else marks.unionByName(own)
-    n_words = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long").alias("n_words"))
+    ids = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col))
     kind = "array<struct<start:int,`end`:int>>"
-    if marks is None:
-        return n_words.select(F.col("id").alias(id_col), *KEY, "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(kind).alias("spans"), F.array().cast("array<string>").alias("items"))
-    marks = cut(marks.distinct())
-
-    w = words(F.col("text"))
-    found = texts.select(*KEY, F.explode(_let(w, lambda w: F.flatten(F.array_compact(F.array(*(_fingerprints(w, s) for s in spans)))))).alias("x")).select(*KEY, "x.*")
-    hits = _join(found, marks, ["span", "fp"], small).groupBy(*KEY).agg(F.collect_set(F.struct("span", "fp")).alias("hits"))
+    marks = cut(marks.distinct()) if marks is not None else docs.sparkSession.createDataFrame([], "span int, fp long")
+
+    # a text's number of words comes as one more row, of span 0, so that words are found once for all texts
+    w = words(F.coalesce(F.col("text"), F.lit("")))
+    own = lambda w: F.flatten(F.array_compact(F.array(F.array(F.struct(F.lit(0).alias("span"), F.size(w).cast("long").alias("fp"))), *(_fingerprints(w, s) for s in spans))))
+    found = texts.select(*KEY, F.explode(_let(w, own)).alias("x")).select(*KEY, "x.*")
+    right = marks.withColumn("marked", F.lit(True))
+    told = found.join(F.broadcast(right) if small else right, ["span", "fp"], "left").where("marked or span = 0")
+    told = cut(told.groupBy(*KEY).agg(F.max(F.when(F.col("span") == 0, F.col("fp"))).alias("n_words"), F.collect_set(F.when(F.col("span") > 0, F.struct("span", "fp"))).alias("hits")))
+    n_words = ids.join(told.select(*KEY, "n_words"), KEY, "left")
+    hits = told.where(F.size("hits") > 0).select(*KEY, "hits")
 
     def around(w: Column, s: int) -> Column:
         """The windows of s words that contain a k-gram whose hash is a hit."""
@@ -90,6 +93,8 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         starts = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(F.greatest(p - (s - k), F.lit(1)), F.least(p, F.size(w) - (s - 1))))))
         return F.when((F.size(w) >= s) & (F.size(mine) > 0), F.transform(starts, lambda i: F.struct((i - 1).alias("start"), F.lit(s).alias("span"), F.array_join(F.slice(w, i, s), " ").alias("window"))))
 
+    if not spans:
+        return n_words.select(F.col("id").alias(id_col), *KEY, "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast(kind).alias("spans"), F.array().cast("array<string>").alias("items"))
     near = texts.join(hits, KEY).select(*KEY, F.explode(_let(w, lambda w: F.flatten(F.array_compact(F.array(*(around(w, s) for s in spans)))))).alias("x")).select(*KEY, "x.*")
     exact = _join(near, windows, ["span", "window"], small).groupBy(*KEY).agg(F.collect_set(F.struct("start", (F.col("start") + F.col("span")).alias("end"))).alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
