@@ -93,8 +93,10 @@ def pack_conversations(rows: DataFrame, pack: int = PACK) -> DataFrame:
     convs = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     convs = convs.select("conv_id", F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
     convs = convs.withColumn("root", F.xxhash64(F.col("turns")[0]))
-    parts = convs.groupBy("root").agg(F.ceil(F.count("*") / pack).cast("int").alias("parts"))
-    dealt = convs.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("conv_id"), F.col("parts")).cast("int"))
+    # only first turns of more than one pack have a row here; repartition() deals their packs out to tasks of their own
+    parts = convs.groupBy("root").agg(F.ceil(F.count("*") / pack).cast("int").alias("parts")).where("parts > 1")
+    dealt = convs.join(parts, "root", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("conv_id"), F.col("parts")), F.lit(0)).cast("int"))
+    dealt = dealt.repartition("root", "part")
     schema = f"""text string, nodes array<struct<start:int,`end`:int,parent:int,position:int,loss_start:int,loss_end:int,attends:array<struct<start:int,`end`:int>>>>,
         conversations array<struct<conv_id:{kind},leaf:int,n_turns:int>>"""
 
