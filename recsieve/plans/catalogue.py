@@ -1,18 +1,357 @@
-"""The queries of the record engine by name, and their SQL."""
+"""The queries of the record engine by name."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from recsieve.functions import amounts, entities, keys, text
+from recsieve.operators import blocks as B
+from recsieve.operators import dedup, qa
+from recsieve.operators import resilience as R
+from recsieve.plans.oracle import SQL
+from recsieve.sources import tables as T
 
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+NOW = "2026-03-08 12:00:00"
+THRESHOLD, RESET = 2, 1800.0
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+def joined(c, sep: str = "|"):
+    return F.array_join(c, sep)
+
+
+@query
+def dup_key_clusters(spark, sf_dir):
+    d = T.deals(spark, sf_dir)
+    return d.groupBy("report_key").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).where("n > 1")
+
+
+@query
+def slug_key(spark, sf_dir):
+    return T.deals(spark, sf_dir).select("id", "slug", "report_key")
+
+
+@query
+def part_slugs(spark, sf_dir):
+    p = T.table(spark, sf_dir, "part")
+    name = F.concat(F.lit("\t-"), F.initcap("p_name"), F.lit("_x -- É"), F.col("p_brand"), F.lit("-  "))
+    return p.select("p_partkey", keys.slugify(name).alias("slug"))
+
+
+@query
+def legacy_outreach_pack_keys(spark, sf_dir):
+    d = T.deals(spark, sf_dir)
+    company = F.col("company")
+    return d.select("id", keys.legacy_key(company, F.col("seen_at")).alias("legacy"), keys.legacy_prefix(company).alias("prefix"), keys.outreach_key(company, F.col("amount")).alias("outreach"), keys.pack_key(F.col("seen_at")).alias("pack"))
+
+
+@query
+def parsed_keys(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", keys.parse_key(F.col("report_key")).alias("k")).select("page_id", "k.scheme", "k.slug", "k.suffix")
+
+
+@query
+def parse_amount(spark, sf_dir):
+    return T.deals(spark, sf_dir).select("id", "amount_str", "amount")
+
+
+def _shown(spark, sf_dir):
+    """Amounts of all sizes, many of them halfway between two displayed values."""
+    a = "floor(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1D WHEN 1 THEN 100D WHEN 2 THEN 10000D ELSE 0.001D END)"
+    n = F.expr(a).cast("long")
+    step = F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 4 = 2 THEN 50000000 WHEN o_orderkey % 4 = 1 THEN 50000 ELSE 500 END").cast("long")
+    return T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (n - n % step).alias("amount"))
+
+
+@query
+def format_amount(spark, sf_dir):
+    return _shown(spark, sf_dir).select("id", "amount", amounts.format_amount(F.col("amount")).alias("shown"))
+
+
+@query
+def page_properties(spark, sf_dir):
+    d = T.deals(spark, sf_dir)
+    return d.select("id", *B.page_properties(F.col("company"), F.col("amount"), F.col("round_type"), F.col("run_id"), F.lit(NOW).cast("timestamp")))
+
+
+@query
+def amount_match_pairs(spark, sf_dir):
+    return dedup.tolerance_pairs(T.deals(spark, sf_dir), "slug")
+
+
+@query
+def amount_band_pairs(spark, sf_dir):
+    """Customers' balances against parts' prices: a join on the tolerance alone."""
+    l = T.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("a"), F.floor(F.abs("s_acctbal")).cast("long").alias("amount_a"))  # noqa: E741
+    r = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("b"), F.floor("p_retailprice").cast("long").alias("amount_b"))
+    return dedup.band_pairs(l, r)
+
+
+@query
+def amount_conflicts(spark, sf_dir):
+    """Records whose amounts of one day and company spread beyond the tolerance."""
+    d = T.deals(spark, sf_dir).where("amount > 0").groupBy("slug", F.year("seen_at").cast("long").alias("year"))
+    return d.agg(F.min("amount").alias("low"), F.max("amount").alias("high"), F.count_distinct("amount").alias("n_amounts")).where(~amounts.amounts_match(F.col("low"), F.col("high")))
+
+
+@query
+def canonical_pick(spark, sf_dir):
+    p = T.pages(spark, sf_dir).withColumn("k", keys.parse_key(F.col("report_key")))
+    first = [F.when(F.col("k.scheme") == "v3", 0).otherwise(1), F.when(F.coalesce(F.col("k.suffix"), F.lit("0")) != "0", 0).otherwise(1), F.col("date"), F.col("page_id")]
+    return dedup.canonical_pick(p, "slug", first).select("slug", "page_id", "report_key")
+
+
+@query
+def legacy_or_v3_lookup(spark, sf_dir):
+    d = T.deals(spark, sf_dir).where("id % 5 = 1 or amount > 0")
+    p = T.pages(spark, sf_dir).withColumn("k", keys.parse_key(F.col("report_key"))).select("page_id", "report_key", "k.scheme", "k.slug")
+    return dedup.key_lookup(d, p)
+
+
+@query
+def zero_amount_guard(spark, sf_dir):
+    return dedup.zero_amount_guard(T.deals(spark, sf_dir), T.pages(spark, sf_dir).where("type = 'FUNDRAISING INTEL'"))
+
+
+def _canonicals(spark, sf_dir):
+    return T.pages(spark, sf_dir).where("type = 'FUNDRAISING INTEL'").select("slug")
+
+
+@query
+def canonical_missing(spark, sf_dir):
+    return dedup.missing(T.deals(spark, sf_dir), _canonicals(spark, sf_dir), ["slug"]).select("id", "slug")
+
+
+@query
+def canonical_present(spark, sf_dir):
+    return dedup.present(T.deals(spark, sf_dir), _canonicals(spark, sf_dir), ["slug"]).select("id", "slug")
+
+
+@query
+def outreach_pairs(spark, sf_dir):
+    """Outreach pages beside a canonical page of their company."""
+    p = T.pages(spark, sf_dir)
+    one = p.where("type = 'FUNDRAISING INTEL'").groupBy("slug").agg(F.min("page_id").alias("canonical_id"), F.count("*").alias("n_canonical"))
+    return p.where("type = 'OUTREACH TARGET'").join(one, "slug").select("page_id", "canonical_id", "n_canonical")
+
+
+@query
+def company_contains(spark, sf_dir):
+    n = T.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("needle"))
+    c = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Nation_"), F.col("c_nationkey").cast("string"), F.lit(" "), F.col("c_name")).alias("name"))
+    return dedup.contains_pairs(c, n)
+
+
+@query
+def greedy_dedup(spark, sf_dir):
+    return dedup.greedy_dedup(T.deals(spark, sf_dir), "slug").select("id", "canonical_id")
+
+
+@query
+def error_hits(spark, sf_dir):
+    hits = text.error_hits(F.col("content"))
+    return T.pages(spark, sf_dir).select("page_id", F.size(hits).cast("long").alias("n_hits"), joined(F.slice(hits, 1, 3)).alias("first_hits"))
+
+
+@query
+def error_only(spark, sf_dir):
+    return T.blocks(spark, sf_dir).select("page_id", "pos", F.coalesce(text.error_only(F.col("text")), F.lit(False)).alias("error_only"))
+
+
+@query
+def marker_counts(spark, sf_dir):
+    c = F.col("content")
+    names = {"outreach_start": qa.OUTREACH[0], "outreach_end": qa.OUTREACH[1], "hiring_start": qa.HIRING[0], "hiring_end": qa.HIRING[1]}
+    return T.pages(spark, sf_dir).select("page_id", *(text.occurrences(c, m).alias(n) for n, m in names.items()))
+
+
+@query
+def structure_issues(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", joined(qa.structure_issues(F.col("content"))).alias("issues"))
+
+
+@query
+def qa_issues(spark, sf_dir):
+    return qa.validate_pages(T.pages(spark, sf_dir)).select("page_id", "qa_status", "qa_issues")
+
+
+@query
+def qa_issues_intended(spark, sf_dir):
+    """With sections read up to the next heading. RE2 has no lookahead: held against plain Python in the tests."""
+    return qa.validate_pages(T.pages(spark, sf_dir), "intended").select("page_id", "qa_status", "qa_issues")
+
+
+@query
+def qa_status_histogram(spark, sf_dir):
+    return qa.status_histogram(qa.validate_pages(T.pages(spark, sf_dir)))
+
+
+@query
+def archived_skip(spark, sf_dir):
+    return T.pages(spark, sf_dir).where(qa.archived(F.col("entry"))).select("page_id", "entry")
+
+
+@query
+def recent_pages(spark, sf_dir):
+    cut = F.lit("1998-10-03 00:00:00").cast("timestamp_ntz") - F.expr("INTERVAL 720 HOURS")
+    return T.pages(spark, sf_dir).where(F.col("date") > cut).orderBy(F.desc("date"), "page_id").select("page_id", "date")
+
+
+@query
+def investor_section_literal(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", text.section_literal(F.col("content"), "INVESTORS").alias("section"))
+
+
+@query
+def investor_section_intended(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", text.section(F.col("content"), "INVESTORS").alias("section"))
+
+
+@query
+def sanitize_text(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", F.md5(text.sanitize_text(F.col("content"))).alias("cleaned_md5"))
+
+
+@query
+def sanitize_text_lines(spark, sf_dir):
+    return T.pages(spark, sf_dir).select("page_id", F.md5(text.sanitize_text(F.col("content"), "line")).alias("cleaned_md5"))
+
+
+@query
+def block_actions(spark, sf_dir):
+    return B.block_actions(T.blocks(spark, sf_dir)).select("page_id", "pos", "action", F.md5("cleaned").alias("cleaned_md5"))
+
+
+@query
+def block_action_counts(spark, sf_dir):
+    b = B.block_actions(T.blocks(spark, sf_dir))
+    return b.groupBy("page_id").agg(F.count_if(F.col("action") == "clean").alias("n_cleaned"), F.count_if(F.col("action") == "remove").alias("n_removed"))
+
+
+@query
+def page_text(spark, sf_dir):
+    return B.page_text(T.blocks(spark, sf_dir)).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def cleaner_text(spark, sf_dir):
+    return B.cleaner_text(T.blocks(spark, sf_dir)).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def investor_clean(spark, sf_dir):
+    return T.investors(spark, sf_dir).select("id", joined(entities.clean_investors(F.col("investors"))).alias("names"))
+
+
+@query
+def investor_clean_spec(spark, sf_dir):
+    return T.investors(spark, sf_dir).select("id", joined(entities.clean_investors(F.col("investors"), "spec")).alias("names"))
+
+
+@query
+def corrupt_investor_lists(spark, sf_dir):
+    i = T.investors(spark, sf_dir).select("id", F.size("investors").cast("long").alias("n_raw"), F.size(entities.clean_investors(F.col("investors"))).cast("long").alias("n_clean"))
+    return i.where("n_raw <> n_clean")
+
+
+@query
+def canonical_blocks(spark, sf_dir):
+    d = T.deals(spark, sf_dir)
+    names = F.expr("CASE id % 3 WHEN 0 THEN cast(array() AS array<string>) WHEN 1 THEN array(concat('Fund ', id)) ELSE array('A', concat('B', id)) END")
+    links = F.expr("CASE id % 2 WHEN 0 THEN cast(array() AS array<string>) ELSE array(concat('http://s/', id), 'http://t') END")
+    return d.select("id", F.posexplode(B.canonical_blocks(F.col("company"), F.col("amount"), F.col("round_type"), names, links)).alias("pos", "b")).select("id", F.col("pos").cast("long").alias("pos"), "b.type", "b.text", "b.url")
+
+
+@query
+def replace_markers(spark, sf_dir):
+    new = F.concat(F.lit("new $1 \\ "), F.col("company"))
+    return T.pages(spark, sf_dir).select("page_id", F.md5(text.replace_between(F.col("content"), *qa.HIRING, new)).alias("content_md5"))
+
+
+@query
+def wrap_markers(spark, sf_dir):
+    return T.deals(spark, sf_dir).select("id", text.wrap(F.col("company"), "HIRING INTELLIGENCE", *qa.HIRING).alias("wrapped"))
+
+
+@query
+def mcp_section_clean(spark, sf_dir):
+    """Sections with a lookahead at their end: held against plain Python in the tests."""
+    c = F.concat(F.lit("## INVESTOR WARM INTRO MAP\n- x "), F.col("content"), F.lit("\n\n## NEXT\nz\n"))
+    return T.pages(spark, sf_dir).select("page_id", F.md5(text.clean_map_sections(c)).alias("content_md5"))
+
+
+@query
+def qa_note_append(spark, sf_dir):
+    d = T.deals(spark, sf_dir)
+    return d.select("id", text.append_note(F.expr("CASE WHEN id % 2 = 0 THEN '' ELSE run_id END"), F.col("company"), F.date_format("seen_at", "yyyy-MM-dd")).alias("issues"))
+
+
+@query
+def failure_runs(spark, sf_dir):
+    return R.failure_runs(T.calls(spark, sf_dir))
+
+
+@query
+def breaker_states(spark, sf_dir):
+    return R.breaker_summary(R.breaker_log(T.calls(spark, sf_dir), THRESHOLD, RESET))
+
+
+@query
+def backoff_schedule(spark, sf_dir):
+    e = T.table(spark, sf_dir, "events")
+    waits = R.backoff((F.col("event_id") % 4).cast("int"), F.lit(2.0) + (F.col("event_id") % 3))
+    return e.select("event_id", F.posexplode(waits).alias("attempt", "wait")).select("event_id", F.col("attempt").cast("long").alias("attempt"), "wait")
+
+
+@query
+def retry_class(spark, sf_dir):
+    names = [*R.RETRYABLE, "HTTPError", "ValueError", "KeyError"]
+    error = F.element_at(F.array(*map(F.lit, names)), (F.col("event_id") % len(names) + 1).cast("int"))
+    e = T.table(spark, sf_dir, "events").select("event_id", error.alias("error"))
+    return e.select("event_id", "error", R.retry_class(F.col("error")).alias("action"))
+
+
+@query
+def fallback_text(spark, sf_dir):
+    e = T.table(spark, sf_dir, "events")
+    answer = F.when(F.col("event_type") != "error", F.col("props"))
+    return e.select("event_id", F.coalesce(answer, F.lit("Unavailable.")).alias("answer"), F.size(F.coalesce(F.when(answer.isNotNull(), F.array(answer)), F.array().cast("array<string>"))).cast("long").alias("n_results"))
+
+
+@query
+def llm_json_path(spark, sf_dir):
+    c = T.table(spark, sf_dir, "conversations")
+    body = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("content"), "role").alias("message"))).alias("choices")))
+    return c.select("conv_id", "turn", F.md5(F.get_json_object(body, "$.choices[0].message.content")).alias("content_md5"))
+
+
+@query
+def pattern_gap(spark, sf_dir):
+    """Phrases that fail the page check, and whether cleaning takes them out."""
+    phrases = ["Read timed out", "TimeoutError", "ConnectionError(", "mcp_unavailable", "[Grok error: q]", "Search error: HTTPSConnectionPool(host='o')", "requests.exceptions.HTTPError", "max retries exceeded", "plain text"]
+    p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
+    return p.select("phrase", (F.size(text.error_hits(F.col("phrase"))) > 0).alias("fails"), (text.sanitize_text(F.col("phrase")) != F.col("phrase")).alias("cleaned"))
+
+
+@query
+def event_rollup(spark, sf_dir):
+    """Calls and failures by service and hour: what the stream of error counts gives at its end."""
+    e = T.table(spark, sf_dir, "events")
+    return e.groupBy((F.col("user_id") % 4).alias("service"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count_if(F.col("event_type") == "error").alias("n_failed"), F.count("*").alias("n_calls"))
