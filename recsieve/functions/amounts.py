@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recsieve.functions.text import bound
+
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -14,12 +16,16 @@ def parse_amount(c: Column) -> Column:
     A double times the multiplier is truncated, so `$4.1M` is 4099999. Digits may be grouped by `_`. Infinity is 0.
     """
     s = F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"[$,]", ""), r"(?U)^\s+|\s+$", "")
+    return bound(s, _parse)
+
+
+def _parse(s: Column) -> Column:
     last = F.upper(F.substring(s, -1, 1))
     times = F.when(last == "B", 1e9).when(last == "M", 1e6).when(last == "K", 1e3).otherwise(1.0)
     body = F.when(last.isin("B", "M", "K"), F.substr(s, F.lit(1), F.length(s) - 1)).otherwise(s)
     body = F.regexp_replace(F.regexp_replace(body, r"(?U)^\s+|\s+$", ""), r"(?<=[0-9])_(?=[0-9])", "")
-    value = F.when(body.rlike(NUMBER), body.try_cast("double") * times)
-    return F.coalesce(F.when(F.abs(value) < 9.2e18, value).cast("long"), F.lit(0).cast("long"))
+    value = bound(body, lambda b: F.when(b.rlike(NUMBER), b.try_cast("double"))) * times
+    return bound(value, lambda v: F.coalesce(F.when(F.abs(v) < 9.2e18, v).cast("long"), F.lit(0).cast("long")))
 
 
 def amounts_match(a: Column, b: Column, tolerance: float = 0.05) -> Column:

@@ -50,7 +50,12 @@ def strip(c: Column) -> Column:
 
 def occurrences(c: Column, literal: str) -> Column:
     """Non-overlapping occurrences of a literal."""
-    return F.regexp_count(c, F.lit(re.escape(literal))).cast("long")
+    return F.floor((F.length(c) - F.length(F.replace(c, F.lit(literal), F.lit("")))) / len(literal)).cast("long")
+
+
+def bound(value: Column, then) -> Column:
+    """then(value), with value computed once for a row however often `then` uses it."""
+    return F.transform(F.array(value), then)[0]
 
 
 def contains_any_case(c: Column, literal: str) -> Column:
@@ -70,21 +75,27 @@ def error_only(c: Column) -> Column:
     return (s != "") & hit
 
 
+def _when_has(c: Column, hint: str, change) -> Column:
+    return bound(c, lambda x: F.when(x.contains(hint), change(x)).otherwise(x))
+
+
 def sanitize_text(c: Column, mode: str = "literal") -> Column:
     """Removals, then inline replacements, then blank lines, then strip.
 
     literal: a removal's `.` crosses lines, so a hit blanks the text. line: only the line with the hit goes.
     """
-    for p in BLANKING_PATTERNS:
+    # each pattern runs on the texts that have its literal part only
+    for p, hint in zip(BLANKING_PATTERNS, ("html.duckduckgo.com", "api.x.ai", "Max retries exceeded", "requests.exceptions.", "ConnectionError(MaxRetryError")):
         if mode == "literal":
             # `.*` on both sides of a hit takes the whole text
             inner = p.removeprefix(".*").removesuffix(".*")
-            c = F.when(c.rlike("(?s)" + inner), F.lit("")).otherwise(c)
+            c = _when_has(c, hint, lambda x, inner=inner: F.when(x.rlike("(?s)" + inner), F.lit("")).otherwise(x))
         else:
-            c = F.regexp_replace(c, "(?d)(?m)^" + p.replace(".*?", "[^\\n]*?") + "$\\n?", "")
-    c = F.regexp_replace(c, "(?s)" + TRACEBACK, "")
-    for p, new in REPLACEMENTS:
-        c = F.regexp_replace(c, "(?s)" + p, new)
+            line = "(?d)(?m)^" + p.replace(".*?", "[^\\n]*?") + "$\\n?"
+            c = _when_has(c, hint, lambda x, line=line: F.regexp_replace(x, line, ""))
+    c = _when_has(c, "Traceback (most recent", lambda x: F.regexp_replace(x, "(?s)" + TRACEBACK, ""))
+    for (p, new), hint in zip(REPLACEMENTS, ("- Status: mcp_unavailable", "[Grok error:", "Search error: HTTPSConnectionPool")):
+        c = _when_has(c, hint, lambda x, p=p, new=new: F.regexp_replace(x, "(?s)" + p, new))
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 

@@ -22,17 +22,25 @@ def archived(entry: Column) -> Column:
     return F.upper(F.coalesce(entry, F.lit(""))).contains("[ARCHIVED")
 
 
+def facts(mode: str = "literal") -> dict[str, Column]:
+    """What the rules ask of a page's content. They are computed in a projection of their own, once for each page."""
+    content = _text("content")
+    investors = section_literal(content, "INVESTORS") if mode == "literal" else section(content, "INVESTORS")
+    marks = {"outreach_start": OUTREACH[0], "outreach_end": OUTREACH[1], "hiring_start": HIRING[0], "hiring_end": HIRING[1], "noise": "mcp_unavailable"}
+    return {
+        "hits": F.slice(error_hits(content), 1, 3), "investors": investors, "bullets": bullets(investors), "size": F.length(strip(content)),
+        "snapshot": contains_any_case(content, "MARKET SNAPSHOT"), "signal": contains_any_case(content, "SIGNAL"), **{n: occurrences(content, m) for n, m in marks.items()},
+    }
+
+
 def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
-    """(severity, condition, message) in the order in which issues are given. Columns: report_key, content, type, source_skill, run_id."""
-    content, kind = _text("content"), _text("type")
+    """(severity, condition, message) in the order in which issues are given. Columns: report_key, type, source_skill, run_id and the facts."""
+    kind, say = _text("type"), F.lit
     intel, pack = kind == "FUNDRAISING INTEL", kind == "SIGNAL PACK"
-    hits = F.slice(error_hits(content), 1, 3)
-    starts = {n: occurrences(content, m[0]) for n, m in (("outreach", OUTREACH), ("hiring", HIRING))}
-    ends = {n: occurrences(content, m[1]) for n, m in (("outreach", OUTREACH), ("hiring", HIRING))}
-    investors = section_literal(content, "INVESTORS") if mode == "literal" else section(content, "INVESTORS")
-    n, listed = bullets(investors), F.coalesce(investors, F.lit("")) != ""
-    noise, size = occurrences(content, "mcp_unavailable"), F.length(strip(content))
-    say = F.lit
+    fact = {name: F.col(f"_facts.{name}") for name in facts(mode)}
+    starts, ends = {n: fact[f"{n}_start"] for n in ("outreach", "hiring")}, {n: fact[f"{n}_end"] for n in ("outreach", "hiring")}
+    hits, noise, size, n = fact["hits"], fact["noise"], fact["size"], fact["bullets"]
+    listed = F.coalesce(fact["investors"], F.lit("")) != ""
     return [
         ("FAIL", _text("report_key") == "", say("Empty REPORT KEY — page is invisible to dedup system.")),
         ("FAIL", F.size(hits) > 0, F.concat(say("Error text in body: "), F.array_join(hits, ", "))),
@@ -46,8 +54,8 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
         ("WARN", intel & listed & (n > 0) & (n < 3), F.concat(say("Only "), n.cast("string"), say(" investor(s) listed — verify completeness."))),
         ("WARN", intel & (noise > 0), F.concat(say("Icebreaker MCP unavailable ("), noise.cast("string"), say(" entries) — warm intro map is placeholder only."))),
         ("WARN", intel & (size < 500), say("Page content is very thin (<500 chars) — likely a bare skeleton.")),
-        ("WARN", pack & ~contains_any_case(content, "MARKET SNAPSHOT"), say("Missing expected section: MARKET SNAPSHOT")),
-        ("WARN", pack & ~contains_any_case(content, "SIGNAL"), say("Missing expected section: SIGNAL")),
+        ("WARN", pack & ~fact["snapshot"], say("Missing expected section: MARKET SNAPSHOT")),
+        ("WARN", pack & ~fact["signal"], say("Missing expected section: SIGNAL")),
         ("WARN", pack & (size < 300), say("Signal Pack content is very thin (<300 chars).")),
         ("WARN", _text("source_skill") == "", say("Empty SOURCE SKILL — pipeline traceability lost.")),
         ("WARN", _text("run_id") == "", say("Empty RUN ID — cannot trace to specific pipeline run.")),
@@ -57,10 +65,11 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
 def validate_pages(pages: DataFrame, mode: str = "literal") -> DataFrame:
     """pages with qa_status (PASS, WARN, FAIL, or SKIP for archived ones) and qa_issues (at most 2,000 characters)."""
     found = F.array_compact(F.array(*(F.when(cond, F.struct(F.lit(sev).alias("sev"), msg.alias("msg"))) for sev, cond, msg in qa_rules(mode))))
+    pages = pages.withColumn("_facts", F.struct(*(c.alias(n) for n, c in facts(mode).items())))
     out = pages.withColumn("_found", F.when(archived(F.col("entry")), F.array().cast("array<struct<sev:string,msg:string>>")).otherwise(found))
     status = F.when(archived(F.col("entry")), "SKIP").when(F.exists("_found", lambda x: x["sev"] == "FAIL"), "FAIL").when(F.size("_found") > 0, "WARN").otherwise("PASS")
     issues = F.when(archived(F.col("entry")), "").when(F.size("_found") == 0, "All checks passed.").otherwise(F.substring(F.array_join(F.transform("_found", lambda x: x["msg"]), " | "), 1, 2000))
-    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_found")
+    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_found", "_facts")
 
 
 def status_histogram(validated: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,28 +12,33 @@ from pyspark.sql import functions as F
 BREAKERS = [("duckduckgo", 3, 600), ("grok", 3, 300), ("clay", 3, 300), ("icebreaker", 2, 900)]
 RETRYABLE = ["ConnectionError", "TimeoutError", "Timeout", "ReadTimeout", "ConnectTimeout", "MaxRetryError"]
 
-STATE = "struct<fails:int,last:double,open:boolean,log:array<struct<t:double,id:bigint,allowed:boolean,fails:int,state:string>>>"
-
-
 def breaker_log(calls: DataFrame, threshold: int, reset_after: float) -> DataFrame:
     """Per call (service, t in seconds, id, ok): whether it was allowed, and failures and state after it.
 
     A denied call has no outcome. A breaker opens at `threshold` failures in a row, is half open (all calls pass) once
-    `reset_after` seconds have gone by since the last failure, closes on success, and opens again on a failure.
+    `reset_after` seconds have gone by since the last failure, closes on success, and opens again on a failure. Each call depends
+    on the one before, so a service's calls are read in order, as a stream of batches: nothing but its state is held.
     """
-    rows = F.array_sort(F.collect_list(F.struct("t", "id", "ok")))
-    start = F.struct(F.lit(0).alias("fails"), F.lit(0.0).alias("last"), F.lit(False).alias("open"), F.array().cast("array<struct<t:double,id:bigint,allowed:boolean,fails:int,state:string>>").alias("log"))
-
-    def step(a: Column, x: Column) -> Column:
-        allowed = ~a["open"] | (x["t"] - a["last"] >= reset_after)
-        fails = F.when(~allowed, a["fails"]).when(x["ok"], 0).otherwise(a["fails"] + 1)
-        opened = F.when(~allowed, F.lit(True)).when(x["ok"], F.lit(False)).otherwise(fails >= threshold)
-        last = F.when(allowed & ~x["ok"], x["t"]).otherwise(a["last"])
-        entry = F.struct(x["t"].alias("t"), x["id"].alias("id"), allowed.alias("allowed"), fails.cast("int").alias("fails"), F.when(opened, "open").otherwise("closed").alias("state"))
-        return F.struct(fails.cast("int").alias("fails"), last.cast("double").alias("last"), opened.alias("open"), F.concat(a["log"], F.array(entry)).alias("log"))
-
-    folded = calls.groupBy("service").agg(rows.alias("rows")).select("service", F.explode(F.aggregate("rows", start, step, lambda a: a["log"])).alias("x"))
-    return folded.select("service", "x.*")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        service, fails, last, is_open = None, 0, 0.0, False
+        for batch in batches:
+            out = []
+            for s, t, i, ok in zip(batch["service"], batch["t"], batch["id"], batch["ok"]):
+                if s != service:
+                    service, fails, last, is_open = s, 0, 0.0, False
+                allowed = not is_open or t - last >= reset_after
+                if allowed and ok:
+                    fails, is_open = 0, False
+                elif allowed:
+                    fails, last = fails + 1, t
+                    is_open = fails >= threshold
+                out.append((s, t, i, allowed, fails, "open" if is_open else "closed"))
+            yield pd.DataFrame(out, columns=["service", "t", "id", "allowed", "fails", "state"])
+
+    kind = calls.schema["service"].dataType.simpleString()
+    ordered = calls.select("service", "t", "id", "ok").repartition("service").sortWithinPartitions("service", "t", "id")
+    return ordered.mapInPandas(run, f"service {kind}, t double, id long, allowed boolean, fails int, state string")
 
 
 def breaker_summary(log: DataFrame) -> DataFrame:
