@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,7 +65,11 @@ def contains_any_case(c: Column, literal: str) -> Column:
 
 def error_hits(c: Column) -> Column:
     """Distinct error texts, in order of first appearance."""
-    return F.array_distinct(F.regexp_extract_all(c, F.lit("(?i)" + "|".join(ERROR_PATTERNS)), F.lit(0)))
+    hits = F.array_distinct(F.regexp_extract_all(c, F.lit("(?i)" + "|".join(ERROR_PATTERNS)), F.lit(0)))
+    # the patterns are plain words but for escapes: only texts with one of them are worth the expression
+    words = [p.replace("\\", "").lower() for p in ERROR_PATTERNS]
+    there = bound(F.lower(c), lambda x: reduce(lambda a, b: a | b, (x.contains(w) for w in words)))
+    return F.when(there, hits).otherwise(F.array().cast("array<string>"))
 
 
 def error_only(c: Column) -> Column:

@@ -37,7 +37,7 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
     """(severity, condition, message) in the order in which issues are given. Columns: report_key, type, source_skill, run_id and the facts."""
     kind, say = _text("type"), F.lit
     intel, pack = kind == "FUNDRAISING INTEL", kind == "SIGNAL PACK"
-    fact = {name: F.col(f"_facts.{name}") for name in facts(mode)}
+    fact = {name: F.col(f"_fact_{name}") for name in facts(mode)}
     starts, ends = {n: fact[f"{n}_start"] for n in ("outreach", "hiring")}, {n: fact[f"{n}_end"] for n in ("outreach", "hiring")}
     hits, noise, size, n = fact["hits"], fact["noise"], fact["size"], fact["bullets"]
     listed = F.coalesce(fact["investors"], F.lit("")) != ""
@@ -65,11 +65,11 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
 def validate_pages(pages: DataFrame, mode: str = "literal") -> DataFrame:
     """pages with qa_status (PASS, WARN, FAIL, or SKIP for archived ones) and qa_issues (at most 2,000 characters)."""
     found = F.array_compact(F.array(*(F.when(cond, F.struct(F.lit(sev).alias("sev"), msg.alias("msg"))) for sev, cond, msg in qa_rules(mode))))
-    pages = pages.withColumn("_facts", F.struct(*(c.alias(n) for n, c in facts(mode).items())))
+    pages = pages.withColumns({f"_fact_{n}": c for n, c in facts(mode).items()})
     out = pages.withColumn("_found", F.when(archived(F.col("entry")), F.array().cast("array<struct<sev:string,msg:string>>")).otherwise(found))
     status = F.when(archived(F.col("entry")), "SKIP").when(F.exists("_found", lambda x: x["sev"] == "FAIL"), "FAIL").when(F.size("_found") > 0, "WARN").otherwise("PASS")
     issues = F.when(archived(F.col("entry")), "").when(F.size("_found") == 0, "All checks passed.").otherwise(F.substring(F.array_join(F.transform("_found", lambda x: x["msg"]), " | "), 1, 2000))
-    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_found", "_facts")
+    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_found", *(f"_fact_{n}" for n in facts(mode)))
 
 
 def status_histogram(validated: DataFrame) -> DataFrame:
