@@ -137,7 +137,67 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op6_secret_scan": _op6_sql(), "op10_decontaminate": _OP10_SQL}
+_OP1_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)),
+again AS (SELECT x FROM grams GROUP BY x HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM grams JOIN again USING (x)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, strlen(t)::BIGINT AS size, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS last FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', h[i])]), '') AS bits FROM d)
+SELECT page_id, size AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(1, 6), lambda j: (bits[5 * i + j])::INT * (1 << (5 - j))))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM b
+"""
+
+
+def _op4_sql() -> str:
+    from recsieve.llm.url_filter import RULES, STRENGTH, SYMBOLS
+
+    rules = sorted(RULES, key=lambda r: -len(r[1]))
+    fits = lambda t: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*t.split("/", 1))
+    case = lambda at: "CASE " + " ".join(f"WHEN {fits(r[1])} THEN '{r[at]}'" for r in rules) + " END"
+
+    def log(kind: str) -> str:
+        n = lambda by: f"(sum({kind}) OVER ({by}))"
+        one = f"(({n('PARTITION BY g[3]')} + 1) / ({n('')} + {SYMBOLS})::DOUBLE)"
+        two = f"(({n('PARTITION BY g[2:3]')} + {STRENGTH} * {one}) / ({n('PARTITION BY g[2]')} + {STRENGTH}))"
+        return f"ln(({kind} + {STRENGTH} * {two}) / ({n('PARTITION BY g[1:2]')} + {STRENGTH}))"
+
+    return f"""
+    WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+    hp AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+    j AS (SELECT *, {case(1)} AS rule, {case(0)} AS said, '^^' || regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9./_-]', '*', 'g') || '$' AS s FROM hp),
+    u AS (SELECT host, path, said, s, count(*) AS n FROM j GROUP BY ALL),
+    grams AS (SELECT host, path, said, n, substr(s, i, 3) AS g FROM (SELECT *, unnest(range(1, length(s) - 1)) AS i FROM u)),
+    counts AS (SELECT g, coalesce(sum(n) FILTER (WHERE said = 'allow'), 0)::DOUBLE AS allow, coalesce(sum(n) FILTER (WHERE said = 'block'), 0)::DOUBLE AS block FROM grams GROUP BY g),
+    ratios AS (SELECT g, {log('allow')} - {log('block')} AS ratio FROM counts),
+    scores AS (SELECT host, path, round(avg(ratio), 9) AS score FROM grams JOIN ratios USING (g) GROUP BY host, path),
+    scored AS (SELECT page_id, host, path, rule, said, score FROM j JOIN scores USING (host, path)),
+    c AS (SELECT avg(score) FILTER (WHERE said = 'allow') AS ma, stddev_pop(score) FILTER (WHERE said = 'allow') AS sa, avg(score) FILTER (WHERE said = 'block') AS mb, stddev_pop(score) FILTER (WHERE said = 'block') AS sb FROM scored)
+    SELECT page_id, host, path, rule, coalesce(said, CASE WHEN ma IS NULL OR mb IS NULL OR score >= round(CASE WHEN sa + sb > 0 THEN (ma * sb + mb * sa) / (sa + sb) ELSE (ma + mb) / 2 END, 9) THEN 'allow' ELSE 'block' END) AS verdict FROM scored, c"""
+
+
+_OP9_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) + length(replace(regexp_replace(role, '(\\|###|</turn>)', '\\\1', 'g'), ':', '\:')) + length('### : </turn>' || chr(10)) AS size FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {
+    "op1_substring_dedup": _OP1_SQL, "op3_warc": _OP3_SQL, "op4_url_filter": _op4_sql(), "op6_secret_scan": _op6_sql(), "op9_chat_format": _OP9_SQL, "op10_decontaminate": _OP10_SQL,
+}
 
 
 def oracle_sql() -> dict[str, str]:
