@@ -46,7 +46,9 @@ MAP_NOTE = "> Warm intro mapping pending — Icebreaker MCP integration not yet
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    # the expression looks at every run of white space, so only texts that have some at an end are put through it
+    space = lambda x: x.rlike(r"(?U)\s")
+    return bound(c, lambda x: F.when(space(F.substring(x, 1, 1)) | space(F.substring(x, -1, 1)), F.regexp_replace(x, r"(?U)^\s+|\s+$", "")).otherwise(x))
 
 
 def occurrences(c: Column, literal: str) -> Column:
