@@ -45,15 +45,17 @@ ERROR_ONLY = [
 MAP_NOTE = "> Warm intro mapping pending — Icebreaker MCP integration not yet configured. Manual warm intro research recommended.\n\n"
 
 
+# The characters that Unicode calls white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    # the expression looks at every run of white space, so only texts that have some at an end are put through it
-    space = lambda x: x.rlike(r"(?U)\s")
-    return bound(c, lambda x: F.when(space(F.substring(x, 1, 1)) | space(F.substring(x, -1, 1)), F.regexp_replace(x, r"(?U)^\s+|\s+$", "")).otherwise(x))
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def occurrences(c: Column, literal: str) -> Column:
     """Non-overlapping occurrences of a literal."""
-    return F.floor((F.length(c) - F.length(F.replace(c, F.lit(literal), F.lit("")))) / len(literal)).cast("long")
+    return F.regexp_count(c, F.lit(re.escape(literal))).cast("long")
 
 
 def bound(value: Column, then) -> Column:
