@@ -9,7 +9,9 @@ average and in over 33 with a probability of about one in 100,000.
 A bucket isn't expanded into its pairs. Each member is held against the first of its bucket; pairs within the distance are
 confirmed on the full sets; the links' components are found. Buckets whose other members are then still in several
 components get those members' sets and compare them block by block; what links two components is confirmed too. So only
-links between texts that are connected already are left out, and the pairs that leave a bucket are fewer than its members.
+links between texts that are connected already are left out, and the pairs that leave a task are fewer than its members. A bucket
+of over PART members or ELEMENTS shingles is cut into parts, each pair of which is a task: a task's memory has a bound
+however large a bucket is.
 
 Texts with equal word sequences form one class, found by partial aggregation of a digest; only classes are compared.
 
@@ -38,6 +40,11 @@ PERCENT = 75
 PER_LEADER = 2000
 """Members that one task holds against one leader."""
 BLOCK = 256
+PART = 1000
+"""Members of a bucket that a task takes from either side."""
+ELEMENTS = 2_000_000
+"""Shingles that they have in all, about; a longer text is a part of its own."""
+SEND_BYTES = 8 << 20
 
 _XOR = constants(SYMBOLS, 101)
 _TIMES = constants(SYMBOLS, 202) | np.uint64(1)
@@ -128,6 +135,9 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key[~new]), pa.array(leads[~new]), pa.array(c[~new])], names=["key", "a", "b"])
 
 
+TASK = ["key", "low", "high"]
+
+
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.count_nonzero(_matrix(batch.column("sig_a")) != _matrix(batch.column("sig_b")), axis=1) <= DISTANCE
@@ -135,7 +145,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A text's set, as 32-bit hashes, once for each bucket that it goes to."""
+    """A text's set, as 32-bit hashes, once for each task that it goes to."""
     for batch in batches:
         to = batch.column("to")
         bounds, fields = np.asarray(to.offsets), [np.asarray(x) for x in to.flatten().flatten()]
@@ -143,11 +153,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, data, offsets in text_slices(batch.column("text")):
             h, at = shingles(Words(data, offsets, lower=True))
             own = [np.unique(h[a:b].astype(np.uint32)).tobytes() for a, b in zip(at[:-1], at[1:])]
-            for a in range(i, j, 64):  # a few texts at once: each may go to many buckets
-                b = min(a + 64, j)
-                at_rows = slice(bounds[a], bounds[b])
-                sets = [own[r - i] for r in range(a, b) for _ in range(bounds[r], bounds[r + 1])]
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[at_rows]) for x in fields), pa.array(sets, pa.binary())], names=["key", "c", "root", "set"])
+            text = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+            sent = np.cumsum(np.array([len(x) for x in own])[text]) // SEND_BYTES  # some bytes at once: a text may go to many
+            edges = [0, *(np.flatnonzero(np.diff(sent)) + 1), len(text)]
+            for a, b in zip(edges, edges[1:]):
+                there = slice(bounds[i] + a, bounds[i] + b)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[there]) for x in fields), pa.array([own[t] for t in text[a:b]], pa.binary())], names=[*TASK, "part", "c", "root", "set"])
 
 
 def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -169,9 +180,10 @@ def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray], left: int | None = None) -> tuple[list[int], list[int]]:
     """Links that connect all members of a bucket that similar pairs across components connect; no others are needed.
 
+    With `left`, only pairs of one of the first `left` members with one of the others are looked at.
     A pair that 32-bit hashes leave in doubt (one element either way) is given as well, and connects nothing here.
     """
     parent: dict[int, int] = {int(r): int(r) for r in root}
@@ -184,13 +196,15 @@ def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray]) -> tup
 
     n = np.array([len(s) for s in sets])
     out: tuple[list[int], list[int]] = ([], [])
-    for i in range(0, len(c), BLOCK):
-        for j in range(i, len(c), BLOCK):
-            p, q = slice(i, i + BLOCK), slice(j, j + BLOCK)
+    for i in range(0, len(c) if left is None else left, BLOCK):
+        for j in range(i if left is None else left, len(c), BLOCK):
+            p, q = slice(i, i + BLOCK if left is None else min(i + BLOCK, left)), slice(j, j + BLOCK)
+            across = np.array([find(int(r)) for r in root[p]])[:, None] != np.array([find(int(r)) for r in root[q]])[None, :]
+            if not across.any():
+                continue
             both = _shared(sets[p], sets[q])
             union = n[p][:, None] + n[q][None, :] - both
             doubt = (n[p][:, None] * n[q][None, :] > 10_000).astype(np.int64)
-            across = root[p][:, None] != root[q][None, :]
             sure = across & (100 * (both - doubt) >= PERCENT * (union + doubt))
             maybe = across & ~sure & (100 * (both + doubt) >= PERCENT * (union - doubt))
             for kind in (sure, maybe):
@@ -205,23 +219,30 @@ def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray]) -> tup
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: what links a bucket's members across components."""
+    """Rows sorted by task: what links a bucket's members across components. A task holds one part of the bucket or two."""
     held: list[pa.RecordBatch] = []
 
+    def task(batch: pa.RecordBatch, row: int) -> tuple[int, ...]:
+        return tuple(batch.column(x)[row].as_py() for x in TASK)
+
     def done() -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held)
+        _, low, high = task(held[0], 0)
         held.clear()
         c, first = np.unique(t.column("c").to_numpy(), return_index=True)
-        packed = t.column("set").take(pa.array(first)).to_pylist()
-        a, b = _join_bucket(c, t.column("root").to_numpy()[first], [np.frombuffer(x, dtype=np.uint32) for x in packed])
+        part, root = (t.column(x).to_numpy()[first] for x in ("part", "root"))
+        order = np.argsort(part, kind="stable")
+        packed = t.column("set").take(pa.array(first[order])).to_pylist()
+        left = None if low == high else int(np.count_nonzero(part == low))
+        a, b = _join_bucket(c[order], root[order], [np.frombuffer(x, dtype=np.uint32) for x in packed], left)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        key = batch.column("key").to_numpy()
-        bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+        of = np.stack([batch.column(x).to_numpy() for x in TASK])
+        bounds = [0, *(np.flatnonzero((of[:, 1:] != of[:, :-1]).any(axis=0)) + 1), batch.num_rows]
         for a, b in zip(bounds, bounds[1:]):
             if b > a:
-                if held and held[-1].column("key")[0].as_py() != key[a]:
+                if held and task(held[-1], 0) != tuple(of[:, a]):
                     yield from done()
                 held.append(batch.slice(a, b - a))
     if held:
@@ -268,7 +289,7 @@ def _roots(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(found.withColumnRenamed("node", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_members: int = PART) -> DataFrame:
     """Per row of docs: id_col, _k1, _k2 (its row_key), n_shingles, component_id, kept."""
     keyed = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -281,15 +302,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = cut(_links(stars.select("a", "b"), classes, texts))
     roots = cut(_roots(classes, links))
 
-    member = stars.join(roots.select(F.col("c").alias("b"), "root"), "b")
+    member = stars.join(roots.join(classes.select("c", "n"), "c").select(F.col("c").alias("b"), "root", "n"), "b")
     # the first of a bucket was held against all others: what is left are the others, if in several components;
     # of buckets with the same members, one is enough
-    grouped = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("members"))
-    open_keys = grouped.where("x < y").groupBy("size", "members").agg(F.min("key").alias("key")).select("key")
-    crossing = member.join(open_keys, "key").select("key", F.col("b").alias("c"), "root")
-    to = crossing.join(classes.select("c", *KEY), "c").groupBy(*KEY).agg(F.collect_set(F.struct("key", "c", "root")).alias("to"))
-    sets = texts.join(to, KEY).select("text", "to").mapInArrow(_sets, "key long, c long, root long, set binary")
-    pairs = cut(sets.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long").distinct())
+    grouped = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("members"), F.sum("n").alias("elements"))
+    parts = F.greatest(F.ceil(F.col("size") / part_members), F.ceil(F.col("elements") / ELEMENTS)).cast("int")
+    open_keys = grouped.where("x < y").withColumn("parts", parts).groupBy("size", "members").agg(F.min(F.struct("key", "parts")).alias("open")).select("open.*")
+    crossing = member.join(open_keys, "key").select("key", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), F.col("b").alias("c"), "root")
+    crossing = crossing.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "c", "root")
+    to = crossing.join(classes.select("c", *KEY), "c").groupBy(*KEY).agg(F.collect_set(F.struct(*TASK, "part", "c", "root")).alias("to"))
+    sets = texts.join(to, KEY).select("text", "to").mapInArrow(_sets, "key long, low int, high int, part int, c long, root long, set binary")
+    pairs = cut(sets.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(_across, "a long, b long").distinct())
     if not pairs.isEmpty():
         links = cut(links.unionByName(_links(pairs, classes, texts)))
         roots = cut(_roots(classes, links))

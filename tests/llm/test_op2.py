@@ -70,8 +70,11 @@ def test_large_group_of_changed_copies(spark):
         for x in rng.choice(150, int(rng.integers(1, 6)), replace=False):
             words[x] = f"new{rng.integers(0, 400)}"
         rows.append((i, " ".join(words)))
-    got = sorted((tuple(r) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("_k1", "_k2").collect()), key=str)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in near_dedup.near_duplicates(df).drop("_k1", "_k2").collect()), key=str)
     assert got == brute(rows)
+    in_parts = near_dedup.near_duplicates(df, part_members=8).drop("_k1", "_k2")
+    assert sorted((tuple(r) for r in in_parts.collect()), key=str) == got
     assert 1 < sum(x[3] for x in got) < 150
 
 
@@ -97,6 +100,35 @@ def test_bucket_links_what_brute_force_links():
                 assert find(x) == find(y)
 
 
+def test_parts_link_what_the_bucket_links():
+    """A bucket in parts, each pair of parts a task, rows in small batches."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(60, int(rng.integers(35, 60)), replace=False).astype(np.uint32)) for _ in range(200)]
+    rows = sorted((7, min(x % 3, o), max(x % 3, o), x % 3, x, x, sets[x].tobytes()) for x in range(200) for o in range(3))
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+    whole = pa.RecordBatch.from_arrays(columns, names=[*near_dedup.TASK, "part", "c", "root", "set"])
+    found = [(a, b) for out in near_dedup._across(whole.slice(i, 70) for i in range(0, len(rows), 70)) for a, b in zip(*(out.column(x).to_pylist() for x in ("a", "b")))]
+
+    def groups(links):
+        root = list(range(200))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x, y in links:
+            both = len(np.intersect1d(sets[x], sets[y]))
+            if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
+                root[find(x)] = find(y)
+        return [{y for y in range(200) if find(y) == find(x)} for x in range(200)]
+
+    assert groups(found) == groups((x, y) for x in range(200) for y in range(x))
+
+
 def test_distance_guarantee(spark):
     """Any signature within the distance shares a key."""
     rng = np.random.default_rng(1)
