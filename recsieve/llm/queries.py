@@ -148,6 +148,18 @@ n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_OP2_SQL = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0))),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS MATERIALIZED (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 75 * (p.n + q.n - common)),
+links AS MATERIALIZED (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept FROM doc d LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)
+"""
+
 _OP3_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 d AS (SELECT page_id, strlen(t)::BIGINT AS size, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS last FROM p),
@@ -196,7 +208,7 @@ FROM e GROUP BY conv_id
 """
 
 SQL: dict[str, str] = {
-    "op1_substring_dedup": _OP1_SQL, "op3_warc": _OP3_SQL, "op4_url_filter": _op4_sql(), "op6_secret_scan": _op6_sql(), "op9_chat_format": _OP9_SQL, "op10_decontaminate": _OP10_SQL,
+    "op1_substring_dedup": _OP1_SQL, "op2_near_dedup": _OP2_SQL, "op3_warc": _OP3_SQL, "op4_url_filter": _op4_sql(), "op6_secret_scan": _op6_sql(), "op9_chat_format": _OP9_SQL, "op10_decontaminate": _OP10_SQL,
 }
 
 
