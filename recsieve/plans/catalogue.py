@@ -194,7 +194,7 @@ def qa_issues(spark, sf_dir):
 
 @query
 def qa_issues_intended(spark, sf_dir):
-    """With sections read up to the next heading. RE2 has no lookahead: held against plain Python in the tests."""
+    """With sections read up to the next heading."""
     return qa.validate_pages(T.pages(spark, sf_dir), "intended").select("page_id", "qa_status", "qa_issues")
 
 

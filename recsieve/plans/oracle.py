@@ -87,14 +87,32 @@ RULES = [
     ("WARN", "source_skill = ''", "'Empty SOURCE SKILL — pipeline traceability lost.'"),
     ("WARN", "run_id = ''", "'Empty RUN ID — cannot trace to specific pipeline run.'"),
 ]
-QA = PAGES + f""",
+HEADING = r"regexp_matches(l || e'\n', '^#+\s')"
+FROM_HEADING = f"list_transform(string_split(content, e'\\n'), lambda l: {HEADING} AND contains(upper(l), 'INVESTORS'))"
+AFTER = f"string_split(content, e'\\n')[list_position({FROM_HEADING}, true) + 1:]"
+NEXT = f"nullif(list_position(list_transform({AFTER}, lambda l: {HEADING}), true), 0)"
+INTENDED = f"CASE WHEN list_contains({FROM_HEADING}, true) THEN " + STRIP.format(f"array_to_string(({AFTER})[:coalesce({NEXT} - 1, len({AFTER}))], e'\\n')") + " END"
+N = r"len(list_filter(string_split(section, e'\n'), lambda l: regexp_matches(l, '^\s*[-•]')))"
+INTENDED_RULES = [
+    *RULES[:8],
+    ("WARN", f"intel AND section <> '' AND {N} = 0", "'No investors listed.'"),
+    ("WARN", f"intel AND {N} BETWEEN 1 AND 2", f"'Only ' || {N} || ' investor(s) listed — verify completeness.'"),
+    *RULES[10:],
+]
+
+
+def judged(rules: list[tuple[str, str, str]], section: str) -> str:
+    return PAGES + f""",
 facts AS (SELECT *, type = 'FUNDRAISING INTEL' AS intel, type = 'SIGNAL PACK' AS pack, {count(OS)} AS os, {count(OE)} AS oe, {count(HS)} AS hs, {count(HE)} AS he,
-    {SECTION} AS section, {count("mcp_unavailable")} AS noise, length({STRIP.format("content")}) AS size, contains(upper(entry), '[ARCHIVED') AS gone FROM pages_),
-judged AS (SELECT page_id, gone, list_filter([{", ".join(f"CASE WHEN {c} THEN {m} END" for _, c, m in RULES)}], lambda x: x IS NOT NULL) AS msgs, {" OR ".join(f"coalesce({c}, false)" for s, c, _ in RULES if s == "FAIL")} AS failed FROM facts),
+    {section} AS section, {count("mcp_unavailable")} AS noise, length({STRIP.format("content")}) AS size, contains(upper(entry), '[ARCHIVED') AS gone FROM pages_),
+judged AS (SELECT page_id, gone, list_filter([{", ".join(f"CASE WHEN {c} THEN {m} END" for _, c, m in rules)}], lambda x: x IS NOT NULL) AS msgs, {" OR ".join(f"coalesce({c}, false)" for s, c, _ in rules if s == "FAIL")} AS failed FROM facts),
 qa AS (SELECT page_id, CASE WHEN gone THEN 'SKIP' WHEN failed THEN 'FAIL' WHEN len(msgs) > 0 THEN 'WARN' ELSE 'PASS' END AS qa_status,
     CASE WHEN gone THEN '' WHEN len(msgs) = 0 THEN 'All checks passed.' ELSE left(array_to_string(msgs, ' | '), 2000) END AS qa_issues FROM judged)
 """
 
+
+QA = judged(RULES, SECTION)
+
 FORMAT = """CASE WHEN {0} >= 1000000000 THEN '$' || printf('%.1f', {0} / 1e9::DOUBLE) || 'B' WHEN {0} >= 1000000 AND {0} % 1000000 = 0 THEN '$' || ({0} // 1000000) || 'M'
     WHEN {0} >= 1000000 THEN '$' || printf('%.1f', {0} / 1e6::DOUBLE) || 'M' WHEN {0} >= 1000 THEN '$' || printf('%.0f', {0} / 1e3::DOUBLE) || 'K' WHEN {0} > 0 THEN '$' || {0} ELSE '$0' END"""
 
@@ -162,10 +180,14 @@ SQL: dict[str, str] = {
         + [f"CASE WHEN NOT contains(content, '{s}') THEN 'Missing start marker for {h}: {s}' END, CASE WHEN NOT contains(content, '{e}') THEN 'Missing end marker for {h}: {e}' END, CASE WHEN {count(s)} > 1 THEN 'Duplicate markers for {h}: ' || {count(s)} || ' instances of {s}' END" for h, s, e in (("OUTREACH INTEL (AUTO)", OS, OE), ("HIRING INTELLIGENCE", HS, HE))]
     ) + "], lambda x: x IS NOT NULL), '|') AS issues FROM pages_",
     "qa_issues": f"WITH {QA} SELECT * FROM qa",
+    "qa_issues_intended": f"WITH {judged(INTENDED_RULES, INTENDED)} SELECT * FROM qa",
     "qa_status_histogram": f"WITH {QA} SELECT s AS qa_status, count(page_id) AS n_pages FROM (SELECT unnest(['PASS', 'WARN', 'FAIL', 'SKIP']) AS s) LEFT JOIN qa ON s = qa_status GROUP BY s",
     "archived_skip": f"{P} SELECT page_id, entry FROM pages_ WHERE contains(upper(entry), '[ARCHIVED')",
     "recent_pages": f"{P} SELECT page_id, date FROM pages_ WHERE date > TIMESTAMP '1998-10-03' - INTERVAL 720 HOUR",
     "investor_section_literal": f"{P} SELECT page_id, {SECTION} AS section FROM pages_",
+    "investor_section_intended": f"{P} SELECT page_id, {INTENDED} AS section FROM pages_",
+    "pattern_gap": f"""SELECT phrase, regexp_matches(phrase, '{ERRORS}') AS fails, {clean('phrase')} <> phrase AS cleaned FROM (SELECT unnest(['Read timed out', 'TimeoutError', 'ConnectionError(', 'mcp_unavailable', '[Grok error: q]',
+        'Search error: HTTPSConnectionPool(host=''o'')', 'requests.exceptions.HTTPError', 'max retries exceeded', 'plain text']) AS phrase)""",
     "sanitize_text": f"{P} SELECT page_id, md5({clean('content')}) AS cleaned_md5 FROM pages_",
     "page_text": rf"WITH {BLOCKS} SELECT page_id, md5(string_agg(coalesce(text, ''), e'\n' ORDER BY pos, coalesce(text, ''))) AS content_md5 FROM blocks GROUP BY page_id",
     "cleaner_text": rf"WITH {BLOCKS} SELECT page_id, md5(string_agg(coalesce(text, ''), e'\n' ORDER BY pos, coalesce(text, '')) || e'\n') AS content_md5 FROM blocks GROUP BY page_id",
