@@ -157,3 +157,11 @@ def clean_map_sections(c: Column) -> Column:
     rows = F.arrays_zip(gaps.alias("gap"), parts.alias("part"), heads.alias("head"))
     new = F.transform(rows, lambda r: F.concat(F.coalesce(r["gap"], F.lit("")), F.when(F.coalesce(r["part"], F.lit("")).contains("mcp_unavailable"), F.concat(r["head"], F.lit(MAP_NOTE))).otherwise(F.coalesce(r["part"], F.lit("")))))
     return F.when(c.contains("mcp_unavailable"), F.array_join(new, "")).otherwise(c)
+
+
+DEDUP_NOTES = ("Archived duplicate:", "Dedup cleanup")
+"""Notes on duplicates that belong in a page's issues, not in its body."""
+
+
+def has_dedup_note(c: Column) -> Column:
+    return F.contains(c, F.lit(DEDUP_NOTES[0])) | F.contains(c, F.lit(DEDUP_NOTES[1]))

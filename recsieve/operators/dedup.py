@@ -70,14 +70,23 @@ def zero_amount_guard(deals: DataFrame, pages: DataFrame) -> DataFrame:
 def greedy_dedup(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataFrame:
     """Deals (id, seen_at, amount) with the id of their canonical: the first one of `by`, in order of time, that they match.
 
-    Matching isn't transitive, so the order matters: a fold over the sorted records of each `by`, in one pass.
+    Matching isn't transitive, so the order matters. Records of one amount share a canonical: what the first of them found is
+    still the first match for the others. So the fold takes an amount once, whatever its number of records, and holds the
+    canonicals alone, which no two match. An unknown amount matches nothing. A null `by` is a group like others.
     """
-    rows = F.array_sort(F.collect_list(F.struct("seen_at", "id", "amount")))
-    empty = F.array().cast("array<struct<id:bigint,amount:bigint,canonical:bigint>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        first = F.get(F.filter(acc, lambda c: (c["id"] == c["canonical"]) & amounts_match(c["amount"], x["amount"], tolerance)), F.lit(0))
-        return F.concat(acc, F.array(F.struct(x["id"].alias("id"), x["amount"].alias("amount"), F.coalesce(first["id"], x["id"]).alias("canonical"))))
-
-    folded = deals.groupBy(by).agg(rows.alias("rows")).select(by, F.explode(F.aggregate("rows", empty, step)).alias("x"))
-    return folded.select(by, F.col("x.id").alias("id"), F.col("x.canonical").alias("canonical_id"))
+    known = deals.where("amount is not null").groupBy(by, "amount").agg(F.min(F.struct("seen_at", "id")).alias("first"))
+    rows = F.array_sort(F.collect_list(F.struct("first.seen_at", "first.id", "amount")))
+    empty = F.array().cast("array<struct<id:bigint,amount:bigint>>")
+
+    def found(canon: Column, amount: Column) -> Column:
+        return F.get(F.filter(canon, lambda c: amounts_match(c["amount"], amount, tolerance)), F.lit(0))
+
+    def step(canon: Column, x: Column) -> Column:
+        new = F.array(F.struct(x["id"].alias("id"), x["amount"].alias("amount")))
+        return F.when(found(canon, x["amount"]).isNull(), F.concat(canon, new)).otherwise(canon)
+
+    folded = known.groupBy(by).agg(rows.alias("rows")).select(by, "rows", F.aggregate("rows", empty, step).alias("canon"))
+    each = F.transform("rows", lambda x: F.struct(x["amount"].alias("of"), found(F.col("canon"), x["amount"])["id"].alias("canonical")))
+    named = folded.select(F.col(by).alias("owner"), F.explode(each).alias("x")).select("owner", "x.*")
+    out = deals.join(named, F.col(by).eqNullSafe(F.col("owner")) & (F.col("amount") == F.col("of")), "left")
+    return out.select(by, "id", F.coalesce("canonical", "id").alias("canonical_id"))

@@ -67,6 +67,18 @@ def parsed_keys(spark, sf_dir):
     return T.pages(spark, sf_dir).select("page_id", keys.parse_key(F.col("report_key")).alias("k")).select("page_id", "k.scheme", "k.slug", "k.suffix")
 
 
+@query
+def key_schemes(spark, sf_dir):
+    """How many pages have a key of each scheme, and how many companies have keys of several."""
+    p = T.pages(spark, sf_dir).select("slug", keys.parse_key(F.col("report_key"))["scheme"].alias("scheme"))
+    schemes = ["v3", "legacy", "pack", "outreach", "none"]
+    own = p.groupBy("slug").agg(*(F.count_if(F.col("scheme") == s).alias(s) for s in schemes))
+    several = sum((F.col(s) > 0).cast("int") for s in schemes[:-1]) > 1
+    total = own.agg(*(F.sum(s).alias(s) for s in schemes), F.count_if(several).alias("several"))
+    rows = F.array(*(F.struct(F.lit(s).alias("scheme"), F.col(s).alias("n")) for s in [*schemes, "several"]))
+    return total.select(F.explode(rows).alias("x")).select("x.*").where("n > 0 or scheme = 'several'")
+
+
 @query
 def parse_amount(spark, sf_dir):
     return T.deals(spark, sf_dir).select("id", "amount_str", "amount")
@@ -182,6 +194,13 @@ def marker_counts(spark, sf_dir):
     return T.pages(spark, sf_dir).select("page_id", *(text.occurrences(c, m).alias(n) for n, m in names.items()))
 
 
+@query
+def dedup_notes(spark, sf_dir):
+    """Pages whose body has a note that belongs in their issues."""
+    note = F.expr("CASE page_id % 9 WHEN 1 THEN '\\nArchived duplicate: x' WHEN 2 THEN '\\n- Dedup cleanup' WHEN 3 THEN '\\narchived duplicate: y' ELSE '' END")
+    return T.pages(spark, sf_dir).where(text.has_dedup_note(F.concat("content", note))).select("page_id", "entry")
+
+
 @query
 def structure_issues(spark, sf_dir):
     return T.pages(spark, sf_dir).select("page_id", joined(qa.structure_issues(F.col("content"))).alias("issues"))

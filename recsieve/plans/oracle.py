@@ -172,6 +172,8 @@ SQL: dict[str, str] = {
         walk AS (SELECT slug, 1 AS k, [{{'id': id, 'amount': amount}}] AS canon, id, id AS canonical_id FROM o WHERE k = 1
           UNION ALL SELECT w.slug, w.k + 1, CASE WHEN len(list_filter(w.canon, lambda c: {MATCH.format('c.amount', 'o.amount')})) > 0 THEN w.canon ELSE list_append(w.canon, {{'id': o.id, 'amount': o.amount}}) END,
             o.id, coalesce(list_filter(w.canon, lambda c: {MATCH.format('c.amount', 'o.amount')})[1].id, o.id) FROM walk w JOIN o ON o.slug = w.slug AND o.k = w.k + 1) SELECT id, canonical_id FROM walk""",
+    "key_schemes": f"{P}, k AS (SELECT slug, CASE WHEN p[1] = 'signal-pack' AND len(p) = 3 THEN 'pack' WHEN p[1] = 'outreach-intel' AND len(p) = 3 THEN 'outreach' ELSE scheme END AS scheme FROM pages_k) SELECT scheme, count(*) AS n FROM k GROUP BY scheme UNION ALL SELECT 'several', count(*) FROM (SELECT slug FROM k WHERE scheme <> 'none' GROUP BY slug HAVING count(DISTINCT scheme) > 1)",
+    "dedup_notes": f"{P}, n AS (SELECT page_id, entry, content || CASE page_id % 9 WHEN 1 THEN e'\\nArchived duplicate: x' WHEN 2 THEN e'\\n- Dedup cleanup' WHEN 3 THEN e'\\narchived duplicate: y' ELSE '' END AS c FROM pages_) SELECT page_id, entry FROM n WHERE contains(c, 'Archived duplicate:') OR contains(c, 'Dedup cleanup')",
     "error_hits": f"{P} SELECT page_id, len({HITS}) AS n_hits, array_to_string(({HITS})[1:3], '|') AS first_hits FROM pages_",
     "error_only": rf"WITH {BLOCKS}, s AS (SELECT page_id, pos, {STRIP.format('text')} AS x FROM blocks) SELECT page_id, pos, coalesce(x <> '' AND regexp_matches(x, '^Search error: HTTPSConnectionPool|^\[Grok error:.*\]\z|^mcp_unavailable\z|^Traceback \(most recent call last\):|^requests\.exceptions\.|^HTTPSConnectionPool\(host=.*Max retries exceeded', 's'), false) AS error_only FROM s",
     "marker_counts": f"{P} SELECT page_id, {count(OS)} AS outreach_start, {count(OE)} AS outreach_end, {count(HS)} AS hiring_start, {count(HE)} AS hiring_end FROM pages_",

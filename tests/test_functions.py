@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -157,3 +158,19 @@ def test_empty_tables(spark, mode):
     df = spark.createDataFrame([], "page_id long, pos int, text string")
     assert blocks.block_actions(df, mode=mode).count() == 0
     assert blocks.page_text(df).count() == 0
+
+
+def test_greedy_against_a_plain_fold(spark):
+    rng = random.Random(5)
+    amounts = [None, 0, 1, 20, 21, 22, 23, 24, 100, 104, 108, 112, -5, -9, 10**9, int(1.04 * 10**9)]
+    rows = [(i, rng.choice(["x", "y", None]), rng.randrange(40), rng.choice(amounts)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, slug string, seen_at int, amount long")
+    match = lambda a, b: a is not None and b is not None and (a == b if 0 in (a, b) else abs(a - b) / max(a, b) <= 0.05)
+    want, canon = {}, {}
+    for i, slug, _, amount in sorted(rows, key=lambda r: (r[2], r[0])):
+        known = canon.setdefault(slug, [])
+        want[i] = next((c for c, a in known if match(a, amount)), i)
+        if want[i] == i:
+            known.append((i, amount))
+    assert {r.id: r.canonical_id for r in dedup.greedy_dedup(df, "slug").collect()} == want
+    assert dedup.greedy_dedup(df.where("false"), "slug").count() == 0
