@@ -253,6 +253,18 @@ def sanitize_text_lines(spark, sf_dir):
     return T.pages(spark, sf_dir).select("page_id", F.md5(text.sanitize_text(F.col("content"), "line")).alias("cleaned_md5"))
 
 
+@query
+def raw_scans(spark, sf_dir):
+    """Whole documents, pages and benchmark through the scanners unchanged."""
+    c = F.col("content")
+    hits = text.error_hits(c)
+    n_markers = sum(text.occurrences(c, m) for m in (*qa.OUTREACH, *qa.HIRING))
+    return T.raw_texts(spark, sf_dir).select(
+        "source", "id", F.size(hits).cast("long").alias("n_hits"), joined(F.slice(hits, 1, 3)).alias("first_hits"), text.error_only(c).alias("error_only"), n_markers.alias("n_markers"),
+        joined(qa.structure_issues(c)).alias("issues"), F.md5(text.section(c, "INVESTORS")).alias("section_md5"), F.md5(text.sanitize_text(c)).alias("cleaned_md5"),
+    )
+
+
 @query
 def block_actions(spark, sf_dir):
     return B.block_actions(T.blocks(spark, sf_dir)).select("page_id", "pos", "action", F.md5("cleaned").alias("cleaned_md5"))

@@ -30,9 +30,14 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, entry, type, source_skill, report_key, run_id, company, slug, date, content: a page per deal."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), "text")
-    rows = deals(spark, sf_dir).join(docs, F.col("id") % 200 == F.col("d"))
+    """page_id, entry, type, source_skill, report_key, run_id, company, slug, date, content: a page per deal.
+
+    The text is that of the document `id % n_docs`, whatever number of documents there is. A null text is empty, as is that of a
+    deal whose document isn't there.
+    """
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
+    n = table(spark, sf_dir, "documents").agg(F.nullif(F.count("*"), F.lit(0)).alias("n_docs"))
+    rows = deals(spark, sf_dir).crossJoin(F.broadcast(n)).withColumn("of", F.expr("id % n_docs")).join(docs, F.col("of") == F.col("d"), "left").withColumn("text", F.coalesce("text", F.lit("")))
     content = F.expr("""concat(CASE WHEN id % 7 = 0 THEN '' ELSE text END,
         CASE id % 5 WHEN 1 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]' WHEN 2 THEN '\\n[[OUTREACH_INTEL_AUTO_END]]' WHEN 3 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]x[[OUTREACH_INTEL_AUTO_END]]'
             WHEN 4 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]x[[OUTREACH_INTEL_AUTO_START]]y[[OUTREACH_INTEL_AUTO_END]]' ELSE '' END,
@@ -49,6 +54,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, id, content: every text of documents, pages and benchmark as it is; a null text is empty."""
+    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(i).cast("long").alias("id"), F.coalesce(c, F.lit("")).alias("content")) for t, i, c in (("documents", "doc_id", "text"), ("pages", "page_id", "html"), ("benchmark", "item_id", "text"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def investors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, investors: the suppliers of an order by line, with fragments of persons and roles put in."""
     odd = F.expr("CASE (l_linenumber + l_orderkey) % 9 WHEN 0 THEN '(co-founder' WHEN 1 THEN concat(s_name, ')') WHEN 2 THEN 'Jane Roe (CEO/co-founder' WHEN 3 THEN concat(' ', upper(s_name), ' ') WHEN 4 THEN 'Partner' WHEN 5 THEN '' WHEN 6 THEN concat(s_name, ' (NY)') ELSE s_name END")
