@@ -50,3 +50,21 @@ def test_pages_bind_by_the_count_of_documents(spark, name):
     """The SQL with documents bound by their count, where there are more than 200."""
     sql = catalogue.SQL[name].replace("id % 200", "id % (SELECT count(*) FROM documents)")
     assert check(spark, MORE, name, catalogue.QUERIES[name], sql) == 15000
+
+
+def test_every_deal_is_looked_up(spark):
+    """Against plain Python: deals of amount 0, whose keys are the common ones, as well."""
+    deals = T.deals(spark, SF).select("id", "slug", "report_key", "amount").collect()
+    pages = T.pages(spark, SF).select("page_id", "report_key").collect()
+    exact, legacy = {}, {}
+    for p in pages:
+        parts = p.report_key.split(":")
+        if len(parts) == 4 and parts[:2] == ["fundraising-intel", "v3"]:
+            exact.setdefault(p.report_key, []).append(p.page_id)
+        elif len(parts) == 3 and parts[0] == "fundraising-intel":
+            legacy.setdefault(parts[1], []).append(p.page_id)
+    want = [(d.id, i, "v3") for d in deals for i in exact.get(d.report_key, ())] + [(d.id, i, "legacy") for d in deals for i in legacy.get(d.slug, ())]
+    got = [tuple(r) for r in catalogue.QUERIES["legacy_or_v3_lookup"](spark, SF).select("id", "page_id", "scheme").collect()]
+    assert sorted(got) == sorted(want)
+    unknown = {d.id for d in deals if d.amount == 0 and d.id % 5 != 1}
+    assert unknown and unknown & {i for i, _, _ in got}
