@@ -1,8 +1,10 @@
 """Chat formatting with a prefix tree: conversations that begin alike share their first turns' text.
 
 A turn is formatted as `### <role>: <text></turn>` and a newline; backslashes, `###`, `</turn>` and colons of roles are escaped
-with a backslash, so formatting is reversible. Conversations with the same first turn are packed together, at most about `pack` in
-one pack (more are dealt out by a hash of their id, so no first turn, however common, makes a large task). Each pack is
+with a backslash, so formatting is reversible. Conversations with the same first turn are packed together, about `pack` in one pack.
+Where more begin alike, they are dealt out by the tree: a prefix is hot if more than `pack` conversations have it, and those whose
+longest hot prefix is the same are dealt to packs by a hash of their next turn, or of their id where none follows. So no prefix,
+however common, makes a large task; the turns of a hot prefix come once in each pack below it, all other turns once. Each pack is
 a tree of turns. Its text has every node once, depth first, and each node has: where it is, its parent, the position id of its first
 character (its distance from the start of its own conversation; the following characters count up), the intervals of the pack that
 it attends to besides itself (its ancestors), and the span under the loss mask (assistants' texts). Characters are
@@ -92,10 +94,20 @@ def pack_conversations(rows: DataFrame, pack: int = PACK) -> DataFrame:
     clean = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     convs = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     convs = convs.select("conv_id", F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
-    convs = convs.withColumn("root", F.xxhash64(F.col("turns")[0]))
-    # only first turns of more than one pack have a row here; repartition() deals their packs out to tasks of their own
-    parts = convs.groupBy("root").agg(F.ceil(F.count("*") / pack).cast("int").alias("parts")).where("parts > 1")
-    dealt = convs.join(parts, "root", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("conv_id"), F.col("parts")), F.lit(0)).cast("int"))
+    # prefixes[d] stands for the first d + 1 turns
+    none = F.array().cast("array<bigint>")
+    chain = lambda a, x: F.concat(a, F.array(F.xxhash64(F.element_at(F.concat(F.array(F.lit(0).cast("long")), a), -1), x)))
+    convs = convs.withColumn("prefixes", F.aggregate("turns", none, chain))
+    each = convs.select("conv_id", F.posexplode("prefixes").alias("d", "prefix"))
+    hot = each.groupBy("prefix").agg(F.count("*").alias("n")).where(F.col("n") > pack).select("prefix")
+    # a prefix of a hot one is hot: the deepest tells how many turns are
+    deep = each.join(hot, "prefix").groupBy("conv_id").agg((F.max("d") + 1).alias("deep")).withColumnRenamed("conv_id", "of")
+    placed = convs.join(deep, F.col("conv_id").eqNullSafe(F.col("of")), "left").withColumn("deep", F.coalesce("deep", F.lit(0)))
+    placed = placed.withColumn("root", F.get("prefixes", F.greatest(F.col("deep"), F.lit(1)) - 1)).withColumn("hot", F.col("deep") > 0)
+    # only hot prefixes of more than one pack have a row here; repartition() deals their packs out to tasks of their own
+    parts = placed.where("hot").groupBy("root").agg(F.ceil(F.count("*") / pack).cast("int").alias("parts")).where("parts > 1")
+    after = F.coalesce(F.get("prefixes", F.col("deep")), F.xxhash64("conv_id"))
+    dealt = placed.join(parts, "root", "left").withColumn("part", F.coalesce(F.pmod(after, F.col("parts")), F.lit(0)).cast("int"))
     dealt = dealt.repartition("root", "part")
     schema = f"""text string, nodes array<struct<start:int,`end`:int,parent:int,position:int,loss_start:int,loss_end:int,attends:array<struct<start:int,`end`:int>>>>,
         conversations array<struct<conv_id:{kind},leaf:int,n_turns:int>>"""
