@@ -38,8 +38,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18, "AKIA"),
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
+# A key block runs to its END line, with dashes of its own (header fields, a diff's minus signs) but no five in a row. Without an END
+# line it runs to the end of its base64 lines, indented or with `\n` for newlines as they may be; without those it is the BEGIN line.
+# Sixteen characters at least, in fours: DuckDB's expressions allow nested counts up to 1,000.
+_BASE64 = r"[A-Za-z0-9+/=]{4}" * 4 + r"[A-Za-z0-9+/=\r\n\\]*"
+PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,}END [A-Z ]*PRIVATE KEY-----"
+    rf"|\x20*(?:[\r\n]|\\[nr]){{1,4}}(?:[A-Za-z0-9-]+:[^\r\n]*[\r\n]+){{0,8}}[\x20\t]*{_BASE64}(?:[\x20\t]+{_BASE64}){{0,200}}|)"
+)
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", hint="-----BEGIN "),
+    Rule("pem", PEM, hint="-----BEGIN "),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint="eyJ"),
 )
 RULES = BASE + MORE

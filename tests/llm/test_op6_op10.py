@@ -54,6 +54,24 @@ def test_secret_edges_and_redaction(spark):
     assert secrets.scan(df.where("false"))[0].count() == 0
 
 
+def test_whole_keys_are_redacted(spark):
+    body = ["MIIEpAIBAAKCAQEA7" + "aB3+/xYz" * 5 + f"{i:07d}" for i in range(50)] + ["Qk9E/+k="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = [begin, *body, end]
+    fields = [begin, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C", ""]
+    keys = [
+        "\n".join(lines), "\r\n".join(lines), "\\n".join(lines), " ".join(lines), "\n    ".join(lines), "\n-".join(lines), "\n> ".join(lines), "\n".join([*fields, *body, end]),
+        "\n".join(lines[:-1]), "\r\n".join(lines[:-1]), "\\n".join(lines[:-1]), "\n    ".join(lines[:-2]), "\n".join([*fields, *body]), "\n".join([begin, *body * 200]), "\n".join([begin, *body * 200, end]),
+    ]
+    rows = [(i, f"before {k}\n\nand after") for i, k in enumerate(keys)]
+    rows += [(100, f"{begin} is how a key begins.\nMore prose follows - {'word ' * 200_000}"), (101, f"{keys[0]} between {keys[0]}"), (102, begin)]
+    got = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, k in enumerate(keys):
+        assert got[i].startswith("before [SECRET]") and got[i].endswith(" after") and "aB3+/xYz" not in got[i] and "Qk9E" not in got[i] and "PRIVATE" not in got[i], (i, got[i][:300])
+        assert got[i] == "before [SECRET]\n\nand after" or i >= 8, (i, got[i][:300])
+    assert got[100] == rows[-3][1].replace(begin, "[SECRET]") and got[101] == "[SECRET] between [SECRET]" and got[102] == "[SECRET]"
+
+
 def test_ledger_scans_only_what_is_new(spark):
     df = spark.createDataFrame(TEXTS, "doc_id long, text string")
     first, ledger = secrets.scan(df.where("doc_id < 7"), rules=secrets.BASE[:2])
