@@ -110,12 +110,20 @@ def amount_match_pairs(spark, sf_dir):
 
 @query
 def amount_band_pairs(spark, sf_dir):
-    """Customers' balances against parts' prices: a join on the tolerance alone."""
+    """Suppliers' balances, without their signs, against parts' prices: a join on the tolerance alone."""
     l = T.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("a"), F.floor(F.abs("s_acctbal")).cast("long").alias("amount_a"))  # noqa: E741
     r = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("b"), F.floor("p_retailprice").cast("long").alias("amount_b"))
     return dedup.band_pairs(l, r)
 
 
+@query
+def amount_band_pairs_customers(spark, sf_dir):
+    """Customers' balances as they are, negative ones too, against parts' prices."""
+    l = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("a"), F.floor("c_acctbal").cast("long").alias("amount_a"))  # noqa: E741
+    r = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("b"), F.floor("p_retailprice").cast("long").alias("amount_b"))
+    return dedup.band_pairs(l, r)
+
+
 @query
 def amount_conflicts(spark, sf_dir):
     """Records whose amounts of one day and company spread beyond the tolerance."""

@@ -1,5 +1,6 @@
 """Queries read their whole tables, not the rows that the smallest tables happen to have."""
 
+import math
 import os
 
 import pytest
@@ -68,3 +69,12 @@ def test_every_deal_is_looked_up(spark):
     assert sorted(got) == sorted(want)
     unknown = {d.id for d in deals if d.amount == 0 and d.id % 5 != 1}
     assert unknown and unknown & {i for i, _, _ in got}
+
+
+def test_band_pairs_of_all_customers(spark):
+    """Against plain Python: negative balances match no price."""
+    left = [(r[0], math.floor(r[1])) for r in spark.read.parquet(f"{MORE}/customer.parquet").select("c_custkey", "c_acctbal").collect()]
+    right = [(r[0], math.floor(r[1])) for r in spark.read.parquet(f"{MORE}/part.parquet").select("p_partkey", "p_retailprice").collect()]
+    want = {(a, b) for a, m in left for b, n in right if (m == n if 0 in (m, n) else abs(m - n) / max(m, n) <= 0.05)}
+    got = [tuple(r) for r in catalogue.QUERIES["amount_band_pairs_customers"](spark, MORE).select("a", "b").collect()]
+    assert any(m < 0 for _, m in left) and len(got) == len(want) and set(got) == want
