@@ -8,10 +8,10 @@ average and in over 33 with a probability of about one in 100,000.
 
 A bucket isn't expanded into its pairs. Each member is held against the first of its bucket; pairs within the distance are
 confirmed on the full sets; the links' components are found. Buckets whose other members are then still in several
-components get those members' sets and compare them block by block; what links two components is confirmed too. So only
-links between texts that are connected already are left out, and the pairs that leave a task are fewer than its members. A bucket
-of over PART members or ELEMENTS shingles is cut into parts, each pair of which is a task: a task's memory has a bound
-however large a bucket is.
+components get those members' whole sets (64-bit shingle hashes) and compare them block by block; what links two components
+there is a link as it is, at whatever signature distance, and no later step refuses it. So only links between texts that links
+connect already are left out, and the pairs that leave a task are fewer than its members. A bucket of over PART members or
+ELEMENTS shingles is cut into parts, each pair of which is a task: a task's memory has a bound however large a bucket is.
 
 Texts with equal word sequences form one class, found by partial aggregation of a digest; only classes are compared.
 
@@ -119,22 +119,6 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(batch.column("c").to_numpy(), len(keys)))], names=["key", "c"])
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: each member with the first of its bucket. Nothing of a bucket but its first is held."""
-    last, lead = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, c = (batch.column(x).to_numpy() for x in ("key", "c"))
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        new[0] = last is None or key[0] != last
-        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        leads = np.where(at >= 0, c[at], lead)
-        last, lead = key[-1], leads[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(key[~new]), pa.array(leads[~new]), pa.array(c[~new])], names=["key", "a", "b"])
-
-
 TASK = ["key", "low", "high"]
 
 
@@ -145,14 +129,13 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A text's set, as 32-bit hashes, once for each task that it goes to."""
+    """A text's set of shingle hashes, sorted, once for each task that it goes to."""
     for batch in batches:
         to = batch.column("to")
         bounds, fields = np.asarray(to.offsets), [np.asarray(x) for x in to.flatten().flatten()]
         bounds = bounds - bounds[0]
         for i, j, data, offsets in text_slices(batch.column("text")):
-            h, at = shingles(Words(data, offsets, lower=True))
-            own = [np.unique(h[a:b].astype(np.uint32)).tobytes() for a, b in zip(at[:-1], at[1:])]
+            own = [x.tobytes() for x in _distinct(*shingles(Words(data, offsets, lower=True)))]
             text = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
             sent = np.cumsum(np.array([len(x) for x in own])[text]) // SEND_BYTES  # some bytes at once: a text may go to many
             edges = [0, *(np.flatnonzero(np.diff(sent)) + 1), len(text)]
@@ -162,29 +145,43 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """How many elements each of x shares with each of y: a matrix product, some columns at once."""
+    """How many elements each of x shares with each of y; the sets are sorted. Ranges of hashes one by one: memory has a bound."""
+    ranges = 1 + sum(map(len, (*x, *y))) // ELEMENTS
+    if ranges == 1:
+        return _shared_range(x, y)
+    total = np.zeros((len(x), len(y)), dtype=np.int64)
+    edges = [np.uint64((i << 64) // ranges) for i in range(ranges)]
+    at = [[*np.searchsorted(s, edges), len(s)] for s in (*x, *y)]
+    for r in range(ranges):
+        part = [s[a[r] : a[r + 1]] for s, a in zip((*x, *y), at)]
+        total += _shared_range(part[: len(x)], part[len(x) :])
+    return total
+
+
+def _shared_range(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """A matrix product, some columns at once; each is a hash that several sets have."""
     values, where = np.unique(np.concatenate([*x, *y]), return_inverse=True)
     rows = np.repeat(np.arange(len(x) + len(y)), [len(s) for s in (*x, *y)])
-    several = np.bincount(where) > 1
+    several = np.bincount(where, minlength=len(values)) > 1
     column = np.cumsum(several) - 1
     keep = several[where]
     where, rows = column[where[keep]], rows[keep]
     order = np.argsort(where, kind="stable")
     where, rows = where[order], rows[order]
-    total = np.zeros((len(x), len(y)), dtype=np.float32)
+    total = np.zeros((len(x), len(y)), dtype=np.int64)
     for first in range(0, int(several.sum()), 4096):
         a, b = np.searchsorted(where, [first, first + 4096])
         m = np.zeros((len(x) + len(y), 4096), dtype=np.float32)
         m[rows[a:b], where[a:b] - first] = 1
-        total += m[: len(x)] @ m[len(x) :].T
-    return total.astype(np.int64)
+        total += (m[: len(x)] @ m[len(x) :].T).astype(np.int64)
+    return total
 
 
 def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray], left: int | None = None) -> tuple[list[int], list[int]]:
     """Links that connect all members of a bucket that similar pairs across components connect; no others are needed.
 
+    The sets are whole, so what is given here is a link: nothing later refuses it, and what it connects stays connected.
     With `left`, only pairs of one of the first `left` members with one of the others are looked at.
-    A pair that 32-bit hashes leave in doubt (one element either way) is given as well, and connects nothing here.
     """
     parent: dict[int, int] = {int(r): int(r) for r in root}
 
@@ -203,18 +200,13 @@ def _join_bucket(c: np.ndarray, root: np.ndarray, sets: list[np.ndarray], left:
             if not across.any():
                 continue
             both = _shared(sets[p], sets[q])
-            union = n[p][:, None] + n[q][None, :] - both
-            doubt = (n[p][:, None] * n[q][None, :] > 10_000).astype(np.int64)
-            sure = across & (100 * (both - doubt) >= PERCENT * (union + doubt))
-            maybe = across & ~sure & (100 * (both + doubt) >= PERCENT * (union - doubt))
-            for kind in (sure, maybe):
-                for x, y in zip(*np.nonzero(kind)):
-                    a, b = find(int(root[i + x])), find(int(root[j + y]))
-                    if a != b:
-                        out[0].append(int(min(c[i + x], c[j + y])))
-                        out[1].append(int(max(c[i + x], c[j + y])))
-                        if kind is sure:
-                            parent[a] = b
+            similar = 100 * both >= PERCENT * (n[p][:, None] + n[q][None, :] - both)
+            for x, y in zip(*np.nonzero(across & similar)):
+                a, b = find(int(root[i + x])), find(int(root[j + y]))
+                if a != b:
+                    out[0].append(int(min(c[i + x], c[j + y])))
+                    out[1].append(int(max(c[i + x], c[j + y])))
+                    parent[a] = b
     return out
 
 
@@ -234,7 +226,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(part, kind="stable")
         packed = t.column("set").take(pa.array(first[order])).to_pylist()
         left = None if low == high else int(np.count_nonzero(part == low))
-        a, b = _join_bucket(c[order], root[order], [np.frombuffer(x, dtype=np.uint32) for x in packed], left)
+        a, b = _join_bucket(c[order], root[order], [np.frombuffer(x, dtype=np.uint64) for x in packed], left)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     for batch in batches:
@@ -284,9 +276,12 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     return sent.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(_confirm, "a long, b long")
 
 
-def _roots(classes: DataFrame, links: DataFrame) -> DataFrame:
-    found = connected_components(links)
-    return classes.join(found.withColumnRenamed("node", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"))
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(same, component_id): per class the least id of its component. Only linked classes meet by component."""
+    linked = connected_components(links).withColumnRenamed("node", "c").join(classes.select("c", "least"), "c")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = linked.join(least, "root").select("c", F.lit(True).alias("linked"), "component_id")
+    return classes.select("c", "same", "least").join(named, "c", "left").select("same", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_members: int = PART) -> DataFrame:
@@ -294,15 +289,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = cut(keyed.mapInArrow(_sign, f"id {kind}, _k1 long, _k2 long, same binary, n long, sig binary"))
-    classes = rows.where("n > 0").groupBy("same").agg(F.min(F.struct("_k1", "_k2", "n", "sig")).alias("x"))
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "same", "x.*"))
+    classes = rows.where("n > 0").groupBy("same").agg(F.min(F.struct("_k1", "_k2", "n", "sig")).alias("x"), F.min("id").alias("least"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("c"), "same", "least", "x.*"))
     texts = keyed.select(*KEY, "text")
-    buckets = classes.select("c", "sig").mapInArrow(_keys, "key long, c long").repartition("key").sortWithinPartitions("key", "c")
-    stars = cut(buckets.mapInArrow(_stars, "key long, a long, b long"))
+    keys = classes.select("c", "sig").mapInArrow(_keys, "key long, c long")
+    # the first of a bucket is a minimum, summed up by task before it travels, and the bucket's join is one that Spark can split
+    first = keys.groupBy("key").agg(F.min("c").alias("a"), F.count("*").alias("size")).where("size > 1").select("key", "a")
+    stars = cut(keys.join(first, "key").where("c <> a").select("key", "a", F.col("c").alias("b")))
     links = cut(_links(stars.select("a", "b"), classes, texts))
-    roots = cut(_roots(classes, links))
+    found = cut(connected_components(links))
+    roots = classes.select("c", "n").join(found.withColumnRenamed("node", "c"), "c", "left").select(F.col("c").alias("b"), F.coalesce("root", "c").alias("root"), "n")
 
-    member = stars.join(roots.join(classes.select("c", "n"), "c").select(F.col("c").alias("b"), "root", "n"), "b")
+    member = stars.join(roots, "b")
     # the first of a bucket was held against all others: what is left are the others, if in several components;
     # of buckets with the same members, one is enough
     grouped = member.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), F.sum(F.xxhash64("b").cast("decimal(38,0)")).alias("members"), F.sum("n").alias("elements"))
@@ -312,14 +310,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crossing = crossing.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "c", "root")
     to = crossing.join(classes.select("c", *KEY), "c").groupBy(*KEY).agg(F.collect_set(F.struct(*TASK, "part", "c", "root")).alias("to"))
     sets = texts.join(to, KEY).select("text", "to").mapInArrow(_sets, "key long, low int, high int, part int, c long, root long, set binary")
-    pairs = cut(sets.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(_across, "a long, b long").distinct())
-    if not pairs.isEmpty():
-        links = cut(links.unionByName(_links(pairs, classes, texts)))
-        roots = cut(_roots(classes, links))
-
-    named = rows.select("id", *KEY, "n", "same").join(classes.select("same", "c"), "same", "left").join(roots, "c", "left")
-    least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    out = named.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")))
+    across = sets.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(_across, "a long, b long")
+
+    named = _components(classes, found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(across))
+    out = rows.select("id", *KEY, "n", "same").join(named.withColumn("classed", F.lit(True)), "same", "left")
+    out = out.withColumn("component_id", F.when(F.col("classed"), F.col("component_id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), *KEY, F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 

@@ -80,7 +80,7 @@ def test_large_group_of_changed_copies(spark):
 
 def test_bucket_links_what_brute_force_links():
     rng = np.random.default_rng(3)
-    sets = [np.unique(rng.choice(60, int(rng.integers(30, 60)), replace=False).astype(np.uint32)) for _ in range(600)]
+    sets = [np.unique(rng.choice(60, int(rng.integers(30, 60)), replace=False).astype(np.uint64)) for _ in range(600)]
     c = np.arange(600)
     a, b = near_dedup._join_bucket(c, c, sets)
     assert len(a) < 600
@@ -105,7 +105,7 @@ def test_parts_link_what_the_bucket_links():
     import pyarrow as pa
 
     rng = np.random.default_rng(4)
-    sets = [np.unique(rng.choice(60, int(rng.integers(35, 60)), replace=False).astype(np.uint32)) for _ in range(200)]
+    sets = [np.unique(rng.choice(60, int(rng.integers(35, 60)), replace=False).astype(np.uint64)) for _ in range(200)]
     rows = sorted((7, min(x % 3, o), max(x % 3, o), x % 3, x, x, sets[x].tobytes()) for x in range(200) for o in range(3))
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
@@ -141,3 +141,57 @@ def test_distance_guarantee(spark):
         batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([a.tobytes(), b.tobytes()])], names=["c", "sig"])
         keys = next(near_dedup._keys(iter([batch]))).to_pandas()
         assert set(keys.key[keys.c == 0]) & set(keys.key[keys.c == 1])
+
+
+def test_very_long_sets_are_counted_exactly():
+    """Sets of 700,000 hashes just below and just above the threshold; the pair below must not stand in for the one above."""
+    rng = np.random.default_rng(8)
+    pool = np.unique(rng.integers(0, 1 << 63, 900_000, dtype=np.uint64) * np.uint64(2))
+    shuffled = rng.permutation(pool)
+    take = lambda both, own, at: np.sort(np.concatenate([shuffled[:both], shuffled[at : at + own]]))
+    # 599,998 of 800,000 is not similar, 600,000 of 800,000 is
+    a, below, above = take(599_998, 100_001, 600_000), take(599_998, 100_001, 700_001), None
+    both = len(np.intersect1d(a, below))
+    assert (both, len(a) + len(below) - both) == (599_998, 800_000)
+    assert near_dedup._join_bucket(np.arange(2), np.arange(2), [a, below]) == ([], [])
+    above = np.union1d(below, a[~np.isin(a, below)][:2])
+    above = above[above != below[~np.isin(below, a)][0]]
+    above = above[above != below[~np.isin(below, a)][1]]
+    both = len(np.intersect1d(a, above))
+    assert (both, len(a) + len(above) - both) == (600_000, 799_998)
+    # members 0 and 1 of one component, 2 and 3 of another: the false pair comes first, the link is still found
+    found = near_dedup._join_bucket(np.arange(4), np.array([0, 0, 2, 2]), [below, a, np.unique(shuffled[-9:]), above])
+    assert found == ([0], [3])  # below and above are similar
+    found = near_dedup._join_bucket(np.arange(3), np.array([0, 0, 2]), [below[:400_000], a, above])
+    assert found == ([1], [2])
+
+
+def test_pairs_at_and_beyond_the_distance(spark):
+    """Similar pairs (6 of 8 shingles) whose signatures differ in 33, 34 and 35 symbols, beside texts that link them within it."""
+    pairs = [
+        ("w204ceabf w286edd77 w24fc49e4 w223d9f6e w31ba2577 w327a280a w147c0d9b w223a084a w29a562b wf8d3cbc", "w12dbc530", "w2c63335b", 33),
+        ("w31f596de we7c74c2 w42c21fc w1902cb86 w306a340c w359030f0 w11a2133f we5fd4f0 w64e66e7 w217a3397", "w1692d8c4", "w151aff5b", 34),
+        ("w1ce19f45 w3f96b88a w2e2efa7a w3ecf24f2 w247137e1 w841311f w1c98afdd w824489c w320529c3 w10b2636c", "w3573d1a0", "w9aec7e5", 35),
+    ]
+    rows = []
+    for i, (same, one, two, distance) in enumerate(pairs):
+        texts = [f"{same} {one}", f"{same} {two}", same]
+        h = [near_dedup.shingles(near_dedup.Words(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t)]))) for t in texts]
+        a, b = (near_dedup.signatures(*x)[0] for x in h[:2])
+        assert np.count_nonzero(a != b) == distance
+        for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+            sets = [np.sort(h[x][0]) for x in order]
+            assert len(near_dedup._join_bucket(np.arange(3), np.arange(3), sets)[0]) == 2
+        rows += [(10 * i + x, t) for x, t in enumerate(texts)] if distance > 33 else [(10 * i + x, t) for x, t in enumerate(texts[:2])]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("_k1", "_k2")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_very_long_text(spark):
+    rng = np.random.default_rng(21)
+    long = [f"v{x}" for x in rng.integers(0, 1 << 40, 120_000)]
+    other = long[:100_000] + [f"u{x}" for x in range(10_000)]
+    far = long[:60_000] + [f"t{x}" for x in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(far)), (4, "short text of five words"), (5, " ".join(["same"] * 300_000)), (6, " ".join(["Same"] * 200_000))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("_k1", "_k2")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
