@@ -50,12 +50,14 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    # trimming by a set of characters walks over the whole text: only texts with white space at an end are worth it
+    edges = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    return F.when(edges.rlike(f"[{WHITE_SPACE}]"), F.btrim(c, F.lit(WHITE_SPACE))).otherwise(c)
 
 
 def occurrences(c: Column, literal: str) -> Column:
-    """Non-overlapping occurrences of a literal."""
-    return F.regexp_count(c, F.lit(re.escape(literal))).cast("long")
+    """Non-overlapping occurrences of a literal: by how much the text shrinks without them."""
+    return ((F.octet_length(c) - F.octet_length(F.replace(c, F.lit(literal), F.lit("")))) / len(literal.encode())).cast("long")
 
 
 def bound(value: Column, then) -> Column:
@@ -63,16 +65,20 @@ def bound(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def contains_any_case(c: Column, literal: str) -> Column:
-    return F.upper(c).contains(literal.upper())
+def contains_any_case(c: Column, literal: str, up: Column | None = None) -> Column:
+    """up: c in upper case, where the caller has it as a column of its own; it is dear for texts that aren't ASCII."""
+    return (F.upper(c) if up is None else up).contains(literal.upper())
 
 
-def error_hits(c: Column) -> Column:
+# what the first three characters of any of the patterns' matches are among: most places of a text fail here already
+_BEGIN = "(?=" + "".join("[" + "".join(sorted({re.escape(p.replace("\\", "")[i]) for p in ERROR_PATTERNS})) + "]" for i in range(3)) + ")"
+
+
+def error_hits(c: Column, up: Column | None = None) -> Column:
     """Distinct error texts, in order of first appearance."""
-    hits = F.array_distinct(F.regexp_extract_all(c, F.lit("(?i)" + "|".join(ERROR_PATTERNS)), F.lit(0)))
+    hits = F.array_distinct(F.regexp_extract_all(c, F.lit("(?i)" + _BEGIN + "(?:" + "|".join(ERROR_PATTERNS) + ")"), F.lit(0)))
     # the patterns are plain words but for escapes: only texts with one of them are worth the expression
-    words = [p.replace("\\", "").lower() for p in ERROR_PATTERNS]
-    there = bound(F.lower(c), lambda x: reduce(lambda a, b: a | b, (x.contains(w) for w in words)))
+    there = reduce(lambda a, b: a | b, (contains_any_case(c, p.replace("\\", ""), up) for p in ERROR_PATTERNS))
     return F.when(there, hits).otherwise(F.array().cast("array<string>"))
 
 
@@ -105,12 +111,16 @@ def sanitize_text(c: Column, mode: str = "literal") -> Column:
     c = _when_has(c, "Traceback (most recent", lambda x: F.regexp_replace(x, "(?s)" + TRACEBACK, ""))
     for (p, new), hint in zip(REPLACEMENTS, ("- Status: mcp_unavailable", "[Grok error:", "Search error: HTTPSConnectionPool")):
         c = _when_has(c, hint, lambda x, p=p, new=new: F.regexp_replace(x, "(?s)" + p, new))
-    return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
+    return bound(_when_has(c, "\n\n\n", lambda x: F.regexp_replace(x, r"\n{3,}", "\n\n")), strip)
 
 
-def section_literal(c: Column, heading: str) -> Column:
-    """What follows the last newline of a text that has the heading; null where it hasn't."""
-    there = c.rlike(rf"(?is)(?:^|\n)#+\s*.*{re.escape(heading)}.*\n")
+def section_literal(c: Column, heading: str, up: Column | None = None) -> Column:
+    """What follows the last newline of a text that has the heading; null where it hasn't.
+
+    The text has it if, after the first `#` that begins a line, the words come anywhere, and a newline after them.
+    """
+    up = F.upper(c) if up is None else up
+    there = F.when(up.contains(heading.upper()), up.rlike(rf"(?s)\A(?:#|.*?\n#).*{re.escape(heading.upper())}.*\n"))
     return F.when(there, strip(F.substring_index(c, "\n", -1)))
 
 
@@ -122,8 +132,8 @@ def section(c: Column, heading: str) -> Column:
 
 
 def bullets(c: Column) -> Column:
-    """Lines that begin with a dash or a bullet."""
-    return F.size(F.filter(F.split(c, "\n", -1), lambda x: F.regexp_like(strip(x), F.lit("^[-•]")))).cast("long")
+    """Lines that begin with a dash or a bullet, white space aside."""
+    return F.regexp_count(c, F.lit(f"(?dm)^[{WHITE_SPACE}]*[-•]")).cast("long")
 
 
 def replace_between(c: Column, start: str, end: str, new: Column | str) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsieve.functions.amounts import format_amount
 from recsieve.functions.keys import report_key
-from recsieve.functions.text import error_only, sanitize_text, strip
+from recsieve.functions.text import append_note, error_only, has_dedup_note, sanitize_text, strip
 from recsieve.operators.qa import HIRING, OUTREACH
 
 
@@ -17,6 +17,38 @@ def page_text(blocks: DataFrame, page: str = "page_id", pos: str = "pos", text:
     return blocks.groupBy(page).agg(F.array_join(F.transform(rows, lambda x: x["t"]), "\n").alias("content"))
 
 
+def tree_text(blocks: DataFrame, depths: int, first_page: int | None = None) -> DataFrame:
+    """Per page (page_id), the text of a tree of blocks (page_id, block_id, parent_id, pos, text): each block's text, then its children's.
+
+    Lines are in order of pos; a block with a null text has no line of its own, one with an empty text an empty line. Levels are
+    folded from the deepest up, one join each, `depths` in all; deeper blocks are left out. With `first_page`, only so many children
+    of a nested block are read. Roots have a null parent_id.
+    """
+    keys = ["page_id", "block_id"]
+    rows = blocks.select(*keys, "parent_id", "pos", "text")
+    joined = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block_id", "whole"))), lambda x: x["whole"]), "\n")
+    if first_page is not None:
+        place = F.row_number().over(Window.partitionBy("page_id", "parent_id").orderBy("pos", "block_id"))
+        rows = rows.withColumn("_n", F.when(F.col("parent_id").isNotNull(), place)).where(F.col("_n").isNull() | (F.col("_n") <= first_page)).drop("_n")
+    levels = [rows.where("parent_id is null")]
+    for _ in range(depths - 1):
+        levels.append(rows.join(levels[-1].select("page_id", F.col("block_id").alias("parent_id")), ["page_id", "parent_id"]).select(rows.columns))
+    below = None
+    for level in reversed(levels):
+        whole = level.withColumn("whole", F.col("text"))
+        if below is not None:
+            whole = level.join(below, keys, "left").withColumn("whole", F.when(F.col("text").isNotNull() | F.col("under").isNotNull(), F.concat_ws("\n", "text", "under")))
+        below = whole.groupBy("page_id", F.col("parent_id").alias("block_id")).agg(joined().alias("under"))
+    return below.select("page_id", F.col("under").alias("content"))
+
+
+def text_property(prop: Column) -> Column:
+    """The text of a property struct(type, spans: array of struct(plain_text), name): spans joined and stripped for rich_text and title,
+    the name for select; empty for other types and for nulls."""
+    joined = strip(F.array_join(F.transform(F.coalesce(prop["spans"], F.array().cast("array<struct<plain_text:string>>")), lambda x: F.coalesce(x["plain_text"], F.lit(""))), ""))
+    return F.when(prop["type"].isin("rich_text", "title"), joined).when(prop["type"] == "select", F.coalesce(prop["name"], F.lit(""))).otherwise("")
+
+
 def cleaner_text(blocks: DataFrame, page: str = "page_id", pos: str = "pos", text: str = "text") -> DataFrame:
     """The same, each line with its newline."""
     return page_text(blocks, page, pos, text).withColumn("content", F.concat("content", F.lit("\n")))
@@ -30,6 +62,25 @@ def block_actions(blocks: DataFrame, text: str = "text", mode: str = "literal")
     return blocks.withColumn("action", action).withColumn("cleaned", F.when(F.col("action") == "keep", t).when(F.col("action") == "clean", clean))
 
 
+def apply_actions(actions: DataFrame, text: str = "text") -> DataFrame:
+    """Blocks after block_actions(): cleaned ones with their new text, removed ones gone."""
+    names = [c for c in actions.columns if c not in ("action", "cleaned")]
+    return actions.where("action <> 'remove'").select(*(F.col("cleaned").alias(c) if c == text else F.col(f"`{c}`") for c in names))
+
+
+def moved_notes(pages: DataFrame, now: Column) -> DataFrame:
+    """pages (entry, content, qa_issues) with notes on duplicates moved from the content's lines to the issues; n_moved says how many.
+
+    A line with a note leaves the content, all others stay as they are; a page without notes is unchanged.
+    """
+    lines = F.split(F.coalesce("content", F.lit("")), "\n", -1)
+    out = pages.withColumns({"_has": F.coalesce(has_dedup_note(F.col("content")), F.lit(False)), "_lines": lines})
+    kept = F.filter("_lines", lambda x: ~has_dedup_note(x))
+    out = out.withColumn("n_moved", F.when(F.col("_has"), F.size("_lines") - F.size(kept)).otherwise(0).cast("long"))
+    new = {"content": F.when(F.col("_has"), F.array_join(kept, "\n")).otherwise(F.col("content")), "qa_issues": F.when(F.col("_has"), append_note(F.col("qa_issues"), F.col("entry"), now)).otherwise(F.col("qa_issues"))}
+    return out.withColumns(new).drop("_has", "_lines")
+
+
 def canonical_blocks(company: Column, amount: Column, round_type: Column, investors: Column, sources: Column) -> Column:
     """A page from the template as an array of (type, text, url)."""
     block = lambda kind, text=None, url=None: F.struct(F.lit(kind).alias("type"), (text if isinstance(text, Column) else F.lit(text).cast("string")).alias("text"), (url if isinstance(url, Column) else F.lit(url).cast("string")).alias("url"))
@@ -52,8 +103,10 @@ def title(company: Column, amount: Column, round_type: Column, now: Column) -> C
     return F.concat(company, F.lit(" — "), format_amount(amount), F.lit(" "), round_type, F.lit(" | FUNDING INTEL | "), F.upper(F.date_format(now, "MMM d, yyyy")))
 
 
-def page_properties(company: Column, amount: Column, round_type: Column, run_id: Column, now: Column) -> list[Column]:
+def page_properties(company: Column, amount: Column, round_type: Column, run_id: Column, now: Column, poc: Column | None = None) -> list[Column]:
+    """The columns of a new page; poc, an array of user ids, only if it is given (null where it is empty)."""
     return [
         title(company, amount, round_type, now).alias("entry"), F.lit("FUNDRAISING INTEL").alias("type"), F.lit("funding-intel-brief").alias("source_skill"), report_key(company, amount).alias("report_key"),
         run_id.alias("run_id"), F.lit("PASS").alias("qa_status"), F.lit("").alias("qa_issues"), company.alias("company"), amount.alias("round_amount"),
+        *([F.when(F.size(poc) > 0, poc).alias("poc")] if poc is not None else []),
     ]

@@ -20,30 +20,80 @@ def key_lookup(deals: DataFrame, pages: DataFrame) -> DataFrame:
     return exact.unionByName(legacy)
 
 
+def _bucket(amount: Column, tolerance: float) -> Column:
+    """Matching positive amounts are at most -ln(1 - tolerance) apart in logarithm, so they lie in the same or in neighbouring
+    buckets of that width (a little wider, for rounding). Zeros have a bucket of their own, as have all negative amounts."""
+    width = -math.log(1 - tolerance) * 1.000001
+    return F.when(amount > 0, F.floor(F.log(amount.cast("double")) / width)).when(amount == 0, -1000).when(amount < 0, -2000)
+
+
+def _around(bucket: Column) -> Column:
+    return F.explode(F.when(bucket <= -1000, F.array(bucket)).otherwise(F.array(bucket - 1, bucket, bucket + 1)))
+
+
 def tolerance_pairs(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataFrame:
-    """Pairs (a, b), a < b, of deals (id, amount) that agree in `by` and match in amount."""
-    left = deals.select(by, F.col("id").alias("a"), F.col("amount").alias("amount_a"))
-    right = deals.select(by, F.col("id").alias("b"), F.col("amount").alias("amount_b"))
-    return left.join(right, by).where((F.col("a") < F.col("b")) & amounts_match(F.col("amount_a"), F.col("amount_b"), tolerance)).select("a", "b")
+    """Pairs (a, b), a < b, of deals (id, amount) that agree in `by` and match in amount: an equi-join on `by` and the amount's bucket."""
+    rows = deals.select(by, "id", "amount", _bucket(F.col("amount"), tolerance).alias("at"))
+    left = rows.select(by, F.col("id").alias("a"), F.col("amount").alias("amount_a"), F.col("at").alias("bucket"))
+    right = rows.select(by, F.col("id").alias("b"), F.col("amount").alias("amount_b"), _around(F.col("at")).alias("bucket"))
+    return left.join(right, [by, "bucket"]).where((F.col("a") < F.col("b")) & amounts_match(F.col("amount_a"), F.col("amount_b"), tolerance)).select("a", "b")
+
+
+def tolerance_links(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataFrame:
+    """Per deal (id, amount): class_id (the least id of those that agree in `by` and amount) and n_links, the number of deals it matches.
+
+    Only classes are joined, so equal records, however many, are counted and not paired. A deal without `by` or amount has no class and no links.
+    """
+    classes = deals.where(F.col(by).isNotNull() & F.col("amount").isNotNull()).groupBy(by, "amount").agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
+    rows = classes.withColumn("at", _bucket(F.col("amount"), tolerance))
+    right = rows.select(by, F.col("amount").alias("amount_b"), F.col("n").alias("n_b"), _around(F.col("at")).alias("bucket"))
+    pairs = rows.withColumnRenamed("at", "bucket").join(right, [by, "bucket"]).where(amounts_match(F.col("amount"), F.col("amount_b"), tolerance))
+    links = pairs.groupBy(by, "amount").agg(F.first("class_id").alias("class_id"), (F.sum("n_b") - 1).alias("n_links"))
+    return deals.join(links, [by, "amount"], "left").select("id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def band_pairs(left: DataFrame, right: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Pairs (a, b) of left (a, amount_a) and right (b, amount_b) whose amounts match: an equi-join on logarithmic buckets.
 
-    Matching positive amounts are at most -ln(1 - tolerance) apart in logarithm, so they lie in the same or in neighbouring
-    buckets of that width (a little wider, for rounding). Zeros have a bucket of their own. Amounts are not negative.
+    Rows with negative amounts have no pairs here.
     """
-    width = -math.log(1 - tolerance) * 1.000001
-    bucket = lambda x: F.when(x > 0, F.floor(F.log(x.cast("double")) / width)).otherwise(-1000)
-    l = left.where("amount_a >= 0").withColumn("bucket", bucket(F.col("amount_a")))  # noqa: E741
-    r = right.where("amount_b >= 0").withColumn("at", bucket(F.col("amount_b")))
-    r = r.withColumn("bucket", F.explode(F.when(F.col("at") == -1000, F.array("at")).otherwise(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)))).drop("at")
+    l = left.where("amount_a >= 0").withColumn("bucket", _bucket(F.col("amount_a"), tolerance))  # noqa: E741
+    r = right.where("amount_b >= 0").withColumn("bucket", _around(_bucket(F.col("amount_b"), tolerance)))
     return l.join(r, "bucket").where(amounts_match(F.col("amount_a"), F.col("amount_b"), tolerance)).select("a", "b")
 
 
-def contains_pairs(names: DataFrame, needles: DataFrame) -> DataFrame:
-    """Pairs (id, needle) where names.name contains the needle, in any case. The needles are the small side by contract."""
-    return names.join(F.broadcast(needles), F.upper("name").contains(F.upper("needle"))).select("id", "needle")
+NEEDLES, NEEDLE_BYTES = 1000, 1 << 20
+
+
+def contains_pairs(names: DataFrame, needles: DataFrame, any_case: bool = True, most: int = NEEDLES) -> DataFrame:
+    """Pairs (id, needle) where names.name contains the needle, in any case or as it is spelt.
+
+    At most `most` needles, in NEEDLE_BYTES, are broadcast (both counted before). More are joined by equality with those parts of a
+    name that are as long as some needle. Null names and needles have no pairs; an empty needle is in every name.
+    """
+    fold = F.upper if any_case else (lambda c: c)
+    known = needles.where(F.col("needle").isNotNull()).withColumn("_key", fold(F.col("needle")))
+    size = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("needle")), F.lit(0)).alias("size")).first()
+    own = names.withColumn("_name", fold(F.col("name")))
+    if size.n <= most and size.size <= NEEDLE_BYTES:
+        return own.join(F.broadcast(known), F.contains("_name", "_key")).select("id", "needle")
+    lengths = known.agg(F.collect_set(F.length("_key")).alias("lengths"))  # one row; as many values as needles have lengths
+    n = F.length("_name")
+    of_length = lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr("_name", i, k))
+    parts = F.array_distinct(F.flatten(F.transform(F.filter("lengths", lambda k: k <= n), of_length)))
+    return own.crossJoin(F.broadcast(lengths)).select("id", F.explode(parts).alias("_key")).join(known, "_key").select("id", "needle")
+
+
+def containing(deals: DataFrame, pages: DataFrame, column: str, kind: str, most: int = NEEDLES) -> DataFrame:
+    """Deals (id, company) with the least page_id, and the number, of pages of a type whose `column` contains the company as it is spelt.
+
+    The existence check before a page is made. Companies are taken once however many deals they have. Deals of an empty or null company
+    have no page.
+    """
+    companies = deals.where("company <> ''").select(F.col("company").alias("needle")).distinct()
+    entries = pages.where(F.col("type") == kind).select(F.col("page_id").alias("id"), F.col(column).alias("name"))
+    found = contains_pairs(entries, companies, False, most).groupBy(F.col("needle").alias("company")).agg(F.min("id").alias("page_id"), F.count("*").alias("n_pages"))
+    return deals.select("id", "company").join(found, "company", "left").select("id", "page_id", F.coalesce("n_pages", F.lit(0)).alias("n_pages"))
 
 
 def missing(deals: DataFrame, pages: DataFrame, on: list[str]) -> DataFrame:
@@ -55,8 +105,11 @@ def present(deals: DataFrame, pages: DataFrame, on: list[str]) -> DataFrame:
 
 
 def canonical_pick(pages: DataFrame, by: str, order: list[Column]) -> DataFrame:
-    """The first row of each cluster in the given total order."""
-    return pages.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where("_rank = 1").drop("_rank")
+    """The first row of each cluster in the given total order (nulls first): a minimum, which every task takes of its own rows first."""
+    names = [c for c in pages.columns if c != by]
+    row = F.struct(*(F.col(f"`{c}`") for c in names))
+    best = pages.groupBy(by).agg(F.min_by(row, F.struct(*order)).alias("_row"))
+    return best.select(by, *(F.col(f"_row.`{c}`") for c in names)).select(*(F.col(f"`{c}`") for c in pages.columns))
 
 
 def zero_amount_guard(deals: DataFrame, pages: DataFrame) -> DataFrame:
@@ -71,10 +124,14 @@ def greedy_dedup(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataFram
     """Deals (id, seen_at, amount) with the id of their canonical: the first one of `by`, in order of time, that they match.
 
     Matching isn't transitive, so the order matters. Records of one amount share a canonical: what the first of them found is
-    still the first match for the others. So the fold takes an amount once, whatever its number of records, and holds the
+    still the first match for the others. So the fold takes an amount once, whatever its number of records. Amounts in order with
+    a gap over the tolerance between them can't match across it, so each run between two gaps is folded on its own, and holds its
     canonicals alone, which no two match. An unknown amount matches nothing. A null `by` is a group like others.
     """
     known = deals.where("amount is not null").groupBy(by, "amount").agg(F.min(F.struct("seen_at", "id")).alias("first"))
+    ordered = Window.partitionBy(by).orderBy("amount")
+    gap = ~F.coalesce(amounts_match(F.lag("amount").over(ordered), F.col("amount"), tolerance), F.lit(False))
+    known = known.withColumn("gap", gap.cast("int")).withColumn("run", F.sum("gap").over(ordered))
     rows = F.array_sort(F.collect_list(F.struct("first.seen_at", "first.id", "amount")))
     empty = F.array().cast("array<struct<id:bigint,amount:bigint>>")
 
@@ -85,7 +142,7 @@ def greedy_dedup(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataFram
         new = F.array(F.struct(x["id"].alias("id"), x["amount"].alias("amount")))
         return F.when(found(canon, x["amount"]).isNull(), F.concat(canon, new)).otherwise(canon)
 
-    folded = known.groupBy(by).agg(rows.alias("rows")).select(by, "rows", F.aggregate("rows", empty, step).alias("canon"))
+    folded = known.groupBy(by, "run").agg(rows.alias("rows")).select(by, "rows", F.aggregate("rows", empty, step).alias("canon"))
     each = F.transform("rows", lambda x: F.struct(x["amount"].alias("of"), found(F.col("canon"), x["amount"])["id"].alias("canonical")))
     named = folded.select(F.col(by).alias("owner"), F.explode(each).alias("x")).select("owner", "x.*")
     out = deals.join(named, F.col(by).eqNullSafe(F.col("owner")) & (F.col("amount") == F.col("of")), "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +25,13 @@ def archived(entry: Column) -> Column:
 
 
 def facts(mode: str = "literal") -> dict[str, Column]:
-    """What the rules ask of a page's content. They are computed in a projection of their own, once for each page."""
-    content = _text("content")
-    investors = section_literal(content, "INVESTORS") if mode == "literal" else section(content, "INVESTORS")
+    """What the rules ask of a page's content, and of that in upper case (`_up`). They are computed in a projection of their own, once for each page."""
+    content, up = _text("content"), F.col("_up")
+    investors = section_literal(content, "INVESTORS", up) if mode == "literal" else section(content, "INVESTORS")
     marks = {"outreach_start": OUTREACH[0], "outreach_end": OUTREACH[1], "hiring_start": HIRING[0], "hiring_end": HIRING[1], "noise": "mcp_unavailable"}
     return {
-        "hits": F.slice(error_hits(content), 1, 3), "investors": investors, "bullets": bullets(investors), "size": F.length(strip(content)),
-        "snapshot": contains_any_case(content, "MARKET SNAPSHOT"), "signal": contains_any_case(content, "SIGNAL"), **{n: occurrences(content, m) for n, m in marks.items()},
+        "hits": F.slice(error_hits(content, up), 1, 3), "investors": investors, "size": F.length(strip(content)),
+        "snapshot": contains_any_case(content, "MARKET SNAPSHOT", up), "signal": contains_any_case(content, "SIGNAL", up), **{n: occurrences(content, m) for n, m in marks.items()},
     }
 
 
@@ -39,7 +41,7 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
     intel, pack = kind == "FUNDRAISING INTEL", kind == "SIGNAL PACK"
     fact = {name: F.col(f"_fact_{name}") for name in facts(mode)}
     starts, ends = {n: fact[f"{n}_start"] for n in ("outreach", "hiring")}, {n: fact[f"{n}_end"] for n in ("outreach", "hiring")}
-    hits, noise, size, n = fact["hits"], fact["noise"], fact["size"], fact["bullets"]
+    hits, noise, size, n = fact["hits"], fact["noise"], fact["size"], bullets(fact["investors"])
     listed = F.coalesce(fact["investors"], F.lit("")) != ""
     return [
         ("FAIL", _text("report_key") == "", say("Empty REPORT KEY — page is invisible to dedup system.")),
@@ -63,13 +65,18 @@ def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
 
 
 def validate_pages(pages: DataFrame, mode: str = "literal") -> DataFrame:
-    """pages with qa_status (PASS, WARN, FAIL, or SKIP for archived ones) and qa_issues (at most 2,000 characters)."""
-    found = F.array_compact(F.array(*(F.when(cond, F.struct(F.lit(sev).alias("sev"), msg.alias("msg"))) for sev, cond, msg in qa_rules(mode))))
-    pages = pages.withColumns({f"_fact_{n}": c for n, c in facts(mode).items()})
-    out = pages.withColumn("_found", F.when(archived(F.col("entry")), F.array().cast("array<struct<sev:string,msg:string>>")).otherwise(found))
-    status = F.when(archived(F.col("entry")), "SKIP").when(F.exists("_found", lambda x: x["sev"] == "FAIL"), "FAIL").when(F.size("_found") > 0, "WARN").otherwise("PASS")
-    issues = F.when(archived(F.col("entry")), "").when(F.size("_found") == 0, "All checks passed.").otherwise(F.substring(F.array_join(F.transform("_found", lambda x: x["msg"]), " | "), 1, 2000))
-    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_found", *(f"_fact_{n}" for n in facts(mode)))
+    """pages with qa_status (PASS, WARN, FAIL, or SKIP for archived ones) and qa_issues (at most 2,000 characters).
+
+    The status depends on the rules' conditions alone: where only it is asked for, no message is put together.
+    """
+    rules, gone = qa_rules(mode), archived(F.col("entry"))
+    any_of = lambda kinds: F.coalesce(reduce(lambda a, b: a | b, (F.coalesce(cond, F.lit(False)) for sev, cond, _ in rules if sev in kinds)), F.lit(False))
+    out = pages.withColumn("_up", F.upper(_text("content"))).withColumns({f"_fact_{n}": c for n, c in facts(mode).items()})
+    out = out.withColumns({"_gone": gone, "_failed": any_of(["FAIL"]), "_found": any_of(["FAIL", "WARN"])})
+    status = F.when(F.col("_gone"), "SKIP").when(F.col("_failed"), "FAIL").when(F.col("_found"), "WARN").otherwise("PASS")
+    said = F.substring(F.concat_ws(" | ", *(F.when(cond, msg) for _, cond, msg in rules)), 1, 2000)
+    issues = F.when(F.col("_gone"), "").when(~F.col("_found"), "All checks passed.").otherwise(said)
+    return out.withColumns({"qa_status": status, "qa_issues": issues}).drop("_up", "_gone", "_failed", "_found", *(f"_fact_{n}" for n in facts(mode)))
 
 
 def status_histogram(validated: DataFrame) -> DataFrame:
@@ -79,15 +86,43 @@ def status_histogram(validated: DataFrame) -> DataFrame:
     return F.broadcast(domain).join(counts, "qa_status", "left").select("qa_status", F.coalesce("n", F.lit(0)).alias("n_pages"))
 
 
-def structure_issues(content: Column) -> Column:
-    """What a page lacks of the template, in the template's order."""
+def status_json(histogram: DataFrame) -> DataFrame:
+    """One row: the histogram as a JSON object, statuses in their usual order."""
+    n = [F.coalesce(F.sum(F.when(F.col("qa_status") == s, F.col("n_pages"))), F.lit(0)).alias(s) for s in STATUSES]
+    return histogram.agg(*n).select(F.to_json(F.struct(*STATUSES)).alias("stats"))
+
+
+def audited(pages: DataFrame, now: Column, mode: str = "literal") -> DataFrame:
+    """pages after a write-back: qa_status, qa_issues and last_audited_at are new, but for archived pages, which keep theirs.
+
+    Columns of these names that pages lack are null before. A null status of before stays null for archived pages.
+    """
+    old = {c: F.col(c) if c in pages.columns else F.lit(None) for c in ("qa_status", "qa_issues", "last_audited_at")}
+    kept = pages.withColumns({f"_old_{c}": x for c, x in old.items()}).drop(*old)
+    out = validate_pages(kept, mode).withColumn("_skip", F.col("qa_status") == "SKIP")
+    new = {"qa_status": F.col("qa_status"), "qa_issues": F.col("qa_issues"), "last_audited_at": now}
+    kinds = {"qa_status": "string", "qa_issues": "string", "last_audited_at": "timestamp"}
+    out = out.withColumns({c: F.when(F.col("_skip"), F.col(f"_old_{c}").cast(kinds[c])).otherwise(x) for c, x in new.items()})
+    names = [*pages.columns, *(c for c in old if c not in pages.columns)]
+    return out.select(*(F.col(f"`{c}`") for c in names))
+
+
+def post_write_hook(pages: DataFrame, page_id: object, mode: str = "literal") -> str | None:
+    """The status of one page after it was written; null if there is no such page."""
+    found = validate_pages(pages.where(F.col("page_id") == F.lit(page_id)), mode).select("qa_status").first()
+    return found and found.qa_status
+
+
+def structure_issues(content: Column, up: Column | None = None) -> Column:
+    """What a page lacks of the template, in the template's order. up: the content in upper case, if the caller has it."""
     c, out = F.coalesce(content, F.lit("")), []
     for heading, required, markers in SECTIONS:
         if required:
-            out.append(F.when(~contains_any_case(c, heading), F.lit(f"Missing required section: {heading}")))
+            out.append(F.when(~contains_any_case(c, heading, up), F.lit(f"Missing required section: {heading}")))
         if markers:
             n = occurrences(c, markers[0])
             out.append(F.when(n == 0, F.lit(f"Missing start marker for {heading}: {markers[0]}")))
-            out.append(F.when(occurrences(c, markers[1]) == 0, F.lit(f"Missing end marker for {heading}: {markers[1]}")))
+            out.append(F.when(~F.contains(c, F.lit(markers[1])), F.lit(f"Missing end marker for {heading}: {markers[1]}")))
             out.append(F.when(n > 1, F.concat(F.lit(f"Duplicate markers for {heading}: "), n.cast("string"), F.lit(f" instances of {markers[0]}"))))
-    return F.array_compact(F.array(*out))
+    # takes the nulls out without a lambda, so that the whole stays generated code; no two issues are equal
+    return F.array_except(F.array(*out), F.array(F.lit(None).cast("string")))

@@ -5,39 +5,59 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Breakers by service, and the errors that are worth a retry.
 BREAKERS = [("duckduckgo", 3, 600), ("grok", 3, 300), ("clay", 3, 300), ("icebreaker", 2, 900)]
 RETRYABLE = ["ConnectionError", "TimeoutError", "Timeout", "ReadTimeout", "ConnectTimeout", "MaxRetryError"]
 
-def breaker_log(calls: DataFrame, threshold: int, reset_after: float) -> DataFrame:
+
+def breakers(spark: SparkSession) -> DataFrame:
+    """service, threshold, reset_after: the breakers that are set from the start."""
+    return spark.createDataFrame(BREAKERS, "service string, threshold int, reset_after int")
+
+
+def preset_breaker_log(calls: DataFrame, others: tuple[int, float] = (3, 300.0)) -> DataFrame:
+    """breaker_log() with each service's own threshold and reset, by its name; other services have those of `others`."""
+    known = breakers(calls.sparkSession).withColumnRenamed("service", "_service")
+    rows = calls.join(F.broadcast(known), F.col("service").eqNullSafe(F.col("_service")), "left")
+    return breaker_log(rows.drop("_service").withColumns({"threshold": F.coalesce("threshold", F.lit(others[0])), "reset_after": F.coalesce("reset_after", F.lit(others[1])).cast("double")}))
+
+
+def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: float | None = None) -> DataFrame:
     """Per call (service, t in seconds, id, ok): whether it was allowed, and failures and state after it.
 
     A denied call has no outcome. A breaker opens at `threshold` failures in a row, is half open (all calls pass) once
-    `reset_after` seconds have gone by since the last failure, closes on success, and opens again on a failure. Each call depends
-    on the one before, so a service's calls are read in order, as a stream of batches: nothing but its state is held.
+    `reset_after` seconds have gone by since the last failure, closes on success, and opens again on a failure. Without these two,
+    calls have them as columns. Each call depends on the one before, but a success that comes `reset_after` or more after the call
+    before it is let through and clears everything, whatever was before: such calls begin sessions, which are read apart, each as a
+    stream of batches in order. Nothing but a session's state is held.
     """
+    own = {"threshold": F.lit(threshold) if threshold is not None else F.col("threshold"), "reset_after": F.lit(reset_after) if reset_after is not None else F.col("reset_after")}
+    rows = calls.select("service", "t", "id", "ok", own["threshold"].cast("int").alias("threshold"), own["reset_after"].cast("double").alias("reset_after"))
+    order = Window.partitionBy("service").orderBy("t", "id")
+    fresh = F.col("ok") & (F.col("t") - F.lag("t").over(order) >= F.col("reset_after"))
+    rows = rows.withColumn("fresh", F.coalesce(fresh, F.lit(False)).cast("int")).withColumn("session", F.sum("fresh").over(order)).drop("fresh")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        service, fails, last, is_open = None, 0, 0.0, False
+        key, fails, last, is_open = None, 0, 0.0, False
         for batch in batches:
             out = []
-            for s, t, i, ok in zip(batch["service"], batch["t"], batch["id"], batch["ok"]):
-                if s != service:
-                    service, fails, last, is_open = s, 0, 0.0, False
-                allowed = not is_open or t - last >= reset_after
+            for s, x, t, i, ok, most, wait in zip(*(batch[c] for c in ("service", "session", "t", "id", "ok", "threshold", "reset_after"))):
+                if (s, x) != key:
+                    key, fails, last, is_open = (s, x), 0, 0.0, False
+                allowed = not is_open or t - last >= wait
                 if allowed and ok:
                     fails, is_open = 0, False
                 elif allowed:
                     fails, last = fails + 1, t
-                    is_open = fails >= threshold
+                    is_open = fails >= most
                 out.append((s, t, i, allowed, fails, "open" if is_open else "closed"))
             yield pd.DataFrame(out, columns=["service", "t", "id", "allowed", "fails", "state"])
 
     kind = calls.schema["service"].dataType.simpleString()
-    ordered = calls.select("service", "t", "id", "ok").repartition("service").sortWithinPartitions("service", "t", "id")
+    ordered = rows.repartition("service", "session").sortWithinPartitions("service", "session", "t", "id")
     return ordered.mapInPandas(run, f"service {kind}, t double, id long, allowed boolean, fails int, state string")
 
 
@@ -48,11 +68,19 @@ def breaker_summary(log: DataFrame) -> DataFrame:
     return out.select("service", "n_allowed", "n_denied", F.col("x.fails").cast("long").alias("fails"), "x.state")
 
 
-def failure_runs(calls: DataFrame) -> DataFrame:
-    """Each run of failures in a row by service: its first call and its length (gaps and islands)."""
-    w = Window.partitionBy("service").orderBy("t", "id")
-    island = F.sum(F.col("ok").cast("int")).over(w)
-    return calls.withColumn("island", island).where("not ok").groupBy("service", "island").agg(F.min("id").alias("first_id"), F.count("*").alias("run_length")).drop("island")
+def failure_runs(calls: DataFrame, slice_s: float = 3600.0) -> DataFrame:
+    """Each run of failures in a row by service: its first call (the least id) and its length (gaps and islands).
+
+    A run's number is how many calls succeeded before it. They are counted within slices of time, and slices are added up on their
+    own, so no task sorts a whole service.
+    """
+    sliced = calls.withColumn("slice", F.floor(F.col("t") / slice_s))
+    here = F.sum(F.col("ok").cast("int")).over(Window.partitionBy("service", "slice").orderBy("t", "id"))
+    totals = sliced.groupBy("service", "slice").agg(F.sum(F.col("ok").cast("int")).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("service").orderBy("slice")) - F.col("n")
+    totals = totals.select(F.col("service").alias("_service"), F.col("slice").alias("_slice"), before.alias("before"))
+    rows = sliced.withColumn("here", here).where("not ok").join(totals, F.col("service").eqNullSafe(F.col("_service")) & F.col("slice").eqNullSafe(F.col("_slice")))
+    return rows.groupBy("service", (F.col("before") + F.col("here")).alias("island")).agg(F.min("id").alias("first_id"), F.count("*").alias("run_length")).drop("island")
 
 
 def backoff(retries: Column, base: Column) -> Column:

@@ -33,6 +33,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
+def upper(df: DataFrame) -> DataFrame:
+    """With the content in upper case as `up`: a projection of its own, computed once however many rules look at it."""
+    return df.withColumn("up", F.upper("content"))
+
+
 def joined(c, sep: str = "|"):
     return F.array_join(c, sep)
 
@@ -186,8 +191,8 @@ def greedy_dedup(spark, sf_dir):
 
 @query
 def error_hits(spark, sf_dir):
-    hits = text.error_hits(F.col("content"))
-    return T.pages(spark, sf_dir).select("page_id", F.size(hits).cast("long").alias("n_hits"), joined(F.slice(hits, 1, 3)).alias("first_hits"))
+    hits = text.error_hits(F.col("content"), F.col("up"))
+    return upper(T.pages(spark, sf_dir)).select("page_id", F.size(hits).cast("long").alias("n_hits"), joined(F.slice(hits, 1, 3)).alias("first_hits"))
 
 
 @query
@@ -211,7 +216,7 @@ def dedup_notes(spark, sf_dir):
 
 @query
 def structure_issues(spark, sf_dir):
-    return T.pages(spark, sf_dir).select("page_id", joined(qa.structure_issues(F.col("content"))).alias("issues"))
+    return upper(T.pages(spark, sf_dir)).select("page_id", joined(qa.structure_issues(F.col("content"), F.col("up"))).alias("issues"))
 
 
 @query
@@ -243,7 +248,7 @@ def recent_pages(spark, sf_dir):
 
 @query
 def investor_section_literal(spark, sf_dir):
-    return T.pages(spark, sf_dir).select("page_id", text.section_literal(F.col("content"), "INVESTORS").alias("section"))
+    return upper(T.pages(spark, sf_dir)).select("page_id", text.section_literal(F.col("content"), "INVESTORS", F.col("up")).alias("section"))
 
 
 @query
@@ -265,11 +270,11 @@ def sanitize_text_lines(spark, sf_dir):
 def raw_scans(spark, sf_dir):
     """Whole documents, pages and benchmark through the scanners unchanged."""
     c = F.col("content")
-    hits = text.error_hits(c)
+    hits, up = text.error_hits(c, F.col("up")), F.col("up")
     n_markers = sum(text.occurrences(c, m) for m in (*qa.OUTREACH, *qa.HIRING))
-    return T.raw_texts(spark, sf_dir).select(
+    return upper(T.raw_texts(spark, sf_dir)).select(
         "source", "id", F.size(hits).cast("long").alias("n_hits"), joined(F.slice(hits, 1, 3)).alias("first_hits"), text.error_only(c).alias("error_only"), n_markers.alias("n_markers"),
-        joined(qa.structure_issues(c)).alias("issues"), F.md5(text.section(c, "INVESTORS")).alias("section_md5"), F.md5(text.sanitize_text(c)).alias("cleaned_md5"),
+        joined(qa.structure_issues(c, up)).alias("issues"), F.md5(text.section(c, "INVESTORS")).alias("section_md5"), F.md5(text.sanitize_text(c)).alias("cleaned_md5"),
     )
 
 
@@ -394,3 +399,91 @@ def event_rollup(spark, sf_dir):
     """Calls and failures by service and hour: what the stream of error counts gives at its end."""
     e = T.table(spark, sf_dir, "events")
     return e.groupBy((F.col("user_id") % 4).alias("service"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count_if(F.col("event_type") == "error").alias("n_failed"), F.count("*").alias("n_calls"))
+
+
+@query
+def amount_match_links(spark, sf_dir):
+    """The pairs of amount_match_pairs as classes of equal amounts and a number of links per deal."""
+    return dedup.tolerance_links(T.deals(spark, sf_dir), "slug")
+
+
+@query
+def page_by_id(spark, sf_dir):
+    """A point read: one page's properties."""
+    return T.pages(spark, sf_dir).where("page_id = 7").select("page_id", "entry", "type", "source_skill", "report_key", "run_id")
+
+
+@query
+def outreach_page_exists(spark, sf_dir):
+    """Outreach pages whose title contains a deal's company."""
+    return dedup.containing(T.deals(spark, sf_dir), T.pages(spark, sf_dir), "entry", "OUTREACH TARGET")
+
+
+@query
+def zero_amount_lookup(spark, sf_dir):
+    """Canonical pages whose company contains that of a deal of unknown amount."""
+    return dedup.containing(T.deals(spark, sf_dir).where("amount = 0"), T.pages(spark, sf_dir), "company", "FUNDRAISING INTEL")
+
+
+def _audited_before(spark, sf_dir):
+    old = {"qa_status": F.expr("CASE page_id % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' END"), "qa_issues": F.expr("CASE page_id % 3 WHEN 1 THEN 'old' ELSE '' END"), "last_audited_at": F.lit("2026-01-01").cast("timestamp")}
+    return T.pages(spark, sf_dir).withColumns(old)
+
+
+@query
+def qa_write_back(spark, sf_dir):
+    """Pages after their check was written back; archived ones keep what they had."""
+    out = qa.audited(_audited_before(spark, sf_dir), F.lit(NOW).cast("timestamp"))
+    return out.select("page_id", "qa_status", "qa_issues", F.date_format("last_audited_at", "yyyy-MM-dd HH:mm:ss").alias("audited_at"))
+
+
+@query
+def qa_stats_json(spark, sf_dir):
+    return qa.status_json(qa.status_histogram(qa.validate_pages(T.pages(spark, sf_dir))))
+
+
+@query
+def moved_dedup_notes(spark, sf_dir):
+    note = F.expr("CASE page_id % 9 WHEN 1 THEN '\\nArchived duplicate: x\\nend' WHEN 2 THEN '\\n- Dedup cleanup' WHEN 3 THEN '\\narchived duplicate: y' ELSE '' END")
+    p = T.pages(spark, sf_dir).withColumns({"content": F.concat("content", note), "qa_issues": F.expr("CASE WHEN page_id % 2 = 0 THEN 'old' END")})
+    return B.moved_notes(p, F.date_format("date", "yyyy-MM-dd")).select("page_id", F.md5("content").alias("content_md5"), "qa_issues", "n_moved")
+
+
+@query
+def applied_blocks(spark, sf_dir):
+    """Blocks as they are after cleaning: removed ones gone, cleaned ones with their new text."""
+    return B.apply_actions(B.block_actions(T.blocks(spark, sf_dir))).select("page_id", "pos", "type", F.md5("text").alias("text_md5"))
+
+
+@query
+def tree_page_text(spark, sf_dir):
+    return B.tree_text(T.block_tree(spark, sf_dir), 3).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def tree_page_text_first_page(spark, sf_dir):
+    """With one child read of each nested block, as a reader does that doesn't ask for further pages."""
+    return B.tree_text(T.block_tree(spark, sf_dir), 3, 1).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def text_properties(spark, sf_dir):
+    c = T.table(spark, sf_dir, "conversations")
+    kind = F.expr("CASE conv_id % 5 WHEN 0 THEN 'rich_text' WHEN 1 THEN 'title' WHEN 2 THEN 'select' WHEN 3 THEN 'number' END")
+    spans = F.array(F.struct(F.concat(F.lit(" "), "role").alias("plain_text")), F.struct(F.when(F.col("turn") % 2 == 0, F.lit(": ")).alias("plain_text")), F.struct(F.col("text").alias("plain_text")))
+    prop = F.struct(kind.alias("type"), spans.alias("spans"), F.when(F.col("turn") % 3 > 0, F.col("role")).alias("name"))
+    return c.select("conv_id", "turn", prop.alias("p")).select("conv_id", "turn", F.md5(B.text_property(F.col("p"))).alias("value_md5"))
+
+
+@query
+def page_properties_poc(spark, sf_dir):
+    users = F.expr("CASE id % 3 WHEN 0 THEN cast(array() AS array<string>) WHEN 1 THEN array(concat('user-', id)) ELSE array('a', concat('b', id)) END")
+    d = T.deals(spark, sf_dir)
+    out = d.select("id", *B.page_properties(F.col("company"), F.col("amount"), F.col("round_type"), F.col("run_id"), F.lit(NOW).cast("timestamp"), users))
+    return out.select("id", "entry", "qa_status", joined(F.col("poc")).alias("poc"))
+
+
+@query
+def preset_breaker_states(spark, sf_dir):
+    """Services with their own thresholds; one that has none set uses the usual ones."""
+    return R.breaker_summary(R.preset_breaker_log(T.named_calls(spark, sf_dir)))

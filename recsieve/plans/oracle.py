@@ -34,7 +34,7 @@ pages_ AS (SELECT id AS page_id, CASE WHEN id % 23 = 0 THEN '[Archived] ' ELSE '
           WHEN 3 THEN e'\nSearch error: HTTPSConnectionPool(host=''other'') x\n\n\n\nmore' WHEN 4 THEN e'\nHTTPSConnectionPool(host=a): Max retries exceeded' ELSE '' END,
       CASE id % 13 WHEN 0 THEN e'\nMarket Snapshot and signal' WHEN 1 THEN e'\nDeal Summary\nSources' ELSE '' END,
       CASE id % 4 WHEN 0 THEN e'\n# INVESTORS\n- a\n- b' WHEN 1 THEN e'\n# INVESTORS\n- a\n' WHEN 2 THEN e'\n## Investors\nnone' ELSE '' END) AS content
-  FROM deals JOIN documents ON doc_id = id % 200),
+  FROM deals LEFT JOIN documents ON doc_id = id % (SELECT count(*) FROM documents)),
 keyed AS (SELECT *, string_split(report_key, ':') AS p FROM pages_),
 pages_k AS (SELECT *, CASE WHEN p[1] = 'fundraising-intel' AND len(p) = 4 AND p[2] = 'v3' THEN 'v3' WHEN p[1] = 'fundraising-intel' AND len(p) = 3 THEN 'legacy' ELSE 'none' END AS scheme FROM keyed)
 """
@@ -51,6 +51,16 @@ def clean(c: str) -> str:
     """Literal cleaning; RE2 has no lookahead, so an error that runs to the end of its line is matched by `[^\\n]*`. The inputs have no traceback."""
     for i, p in enumerate((r"Search error: HTTPSConnectionPool\(host=''html\.duckduckgo\.com''", r"\[Grok error: HTTPSConnectionPool\(host=''api\.x\.ai''.*?\]", r"HTTPSConnectionPool\(host=.*?Max retries exceeded", r"requests\.exceptions\.\w+Error", r"ConnectionError\(MaxRetryError")):
         c = f"CASE WHEN regexp_matches({c}, '{p}', 's') THEN '' ELSE {c} END" if c.isidentifier() else f"(SELECT CASE WHEN regexp_matches(q{i}, '{p}', 's') THEN '' ELSE q{i} END FROM (SELECT {c} AS q{i}))"
+    return inline(c)
+
+
+def clean_lines(c: str) -> str:
+    """Only lines with a hit go."""
+    bad = r"Search error: HTTPSConnectionPool\(host=''html\.duckduckgo\.com''|\[Grok error: HTTPSConnectionPool\(host=''api\.x\.ai''.*\]|HTTPSConnectionPool\(host=.*Max retries exceeded|requests\.exceptions\.\w+Error|ConnectionError\(MaxRetryError"
+    return inline(rf"array_to_string(list_filter(string_split({c}, e'\n'), lambda l: NOT regexp_matches(l, '{bad}')), e'\n')")
+
+
+def inline(c: str) -> str:
     for p, new in ((r"- Status: mcp_unavailable\n- Notes: Icebreaker MCP URL not configured.*", "- Status: Pending — Icebreaker integration not yet configured."), (r"\[Grok error:.*?\]", "[Analysis unavailable — API timeout. Manual review recommended.]"), (r"Search error: HTTPSConnectionPool[^\n]*", "[Search unavailable — service timeout.]")):
         c = f"regexp_replace({c}, '{p}', '{new}', 'gs')"
     return STRIP.format(rf"regexp_replace({c}, '\n{{3,}}', e'\n\n', 'g')")
@@ -162,7 +172,7 @@ SQL: dict[str, str] = {
     "amount_band_pairs": f"WITH l AS (SELECT s_suppkey AS a, floor(abs(s_acctbal))::BIGINT AS m FROM supplier), r AS (SELECT p_partkey AS b, floor(p_retailprice)::BIGINT AS n FROM part) SELECT a, b FROM l, r WHERE {MATCH.format('m', 'n')}",
     "amount_conflicts": f"{D}, g AS (SELECT slug, year(seen_at) AS year, min(amount) AS low, max(amount) AS high, count(DISTINCT amount) AS n_amounts FROM deals WHERE amount > 0 GROUP BY ALL) SELECT * FROM g WHERE NOT {MATCH.format('low', 'high')}",
     "canonical_pick": f"{P} SELECT slug, page_id, report_key FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY CASE WHEN scheme = 'v3' THEN 0 ELSE 1 END, CASE WHEN coalesce(CASE WHEN scheme <> 'none' THEN p[-1] END, '0') <> '0' THEN 0 ELSE 1 END, date, page_id) AS k FROM pages_k) WHERE k = 1",
-    "legacy_or_v3_lookup": f"{P} SELECT id, page_id, scheme FROM (SELECT * FROM deals WHERE id % 5 = 1 OR amount > 0) d JOIN pages_k k ON (k.scheme = 'v3' AND k.report_key = d.report_key) OR (k.scheme = 'legacy' AND starts_with(k.report_key, 'fundraising-intel:' || d.slug || ':'))",
+    "legacy_or_v3_lookup": f"{P} SELECT id, page_id, scheme FROM deals d JOIN pages_k k USING (report_key) WHERE scheme = 'v3' UNION ALL SELECT id, page_id, scheme FROM deals d JOIN pages_k k ON k.scheme = 'legacy' AND k.p[2] = d.slug",
     "zero_amount_guard": f"{P}, k AS (SELECT company, min(page_id) AS page_id FROM pages_ WHERE type = 'FUNDRAISING INTEL' GROUP BY company) SELECT id, CASE WHEN amount <> 0 THEN 'key' WHEN page_id IS NOT NULL THEN 'reuse' ELSE 'flag' END AS action, CASE WHEN amount = 0 THEN page_id END AS page_id FROM deals LEFT JOIN k USING (company)",
     "canonical_missing": f"{P} SELECT id, slug FROM deals WHERE slug NOT IN (SELECT slug FROM pages_ WHERE type = 'FUNDRAISING INTEL')",
     "canonical_present": f"{P} SELECT id, slug FROM deals WHERE slug IN (SELECT slug FROM pages_ WHERE type = 'FUNDRAISING INTEL')",
@@ -221,3 +231,45 @@ SQL["block_actions"] = rf"""WITH {BLOCKS}, s AS (SELECT page_id, pos, text AS x,
       WHEN z = x THEN 'keep' WHEN z = '' THEN 'remove' ELSE 'clean' END AS action FROM c)
     SELECT page_id, pos, action, md5(CASE action WHEN 'keep' THEN x WHEN 'clean' THEN z END) AS cleaned_md5 FROM a"""
 SQL["block_action_counts"] = SQL["block_actions"].rpartition("SELECT page_id, pos, action")[0] + "SELECT page_id, count(*) FILTER (WHERE action = 'clean') AS n_cleaned, count(*) FILTER (WHERE action = 'remove') AS n_removed FROM a GROUP BY page_id"
+
+SQL["applied_blocks"] = rf"""WITH {BLOCKS.replace("AS pos,", "AS pos, role AS type,")}, s AS (SELECT page_id, pos, type, text AS x, {STRIP.format('text')} AS y FROM blocks),
+    c AS (SELECT *, {_cleaned} AS z FROM s),""" + SQL["block_actions"].partition("AS z FROM s),")[2].rpartition("SELECT page_id, pos, action")[0] + "SELECT page_id, pos, type, md5(CASE action WHEN 'keep' THEN x ELSE z END) AS text_md5 FROM a WHERE action <> 'remove'"
+SQL["sanitize_text_lines"] = f"{P} SELECT page_id, md5({clean_lines('content')}) AS cleaned_md5 FROM pages_"
+NOTE = "> Warm intro mapping pending — Icebreaker MCP integration not yet configured. Manual warm intro research recommended."
+# the section is the text's first, and its end is the first blank line before a heading
+SQL["mcp_section_clean"] = rf"""{P}, r AS (SELECT page_id, '- x ' || content || e'\n\n## NEXT\nz\n' AS r FROM pages_), b AS (SELECT *, regexp_extract(r, '(?s)^(.*?\n)\n##\s', 1) AS body FROM r)
+    SELECT page_id, md5(e'## INVESTOR WARM INTRO MAP\n' || CASE WHEN contains(body, 'mcp_unavailable') THEN '{NOTE}' || e'\n\n' || substr(r, length(body) + 1) ELSE r END) AS content_md5 FROM b"""
+SQL["amount_band_pairs_customers"] = f"WITH l AS (SELECT c_custkey AS a, floor(c_acctbal)::BIGINT AS m FROM customer), r AS (SELECT p_partkey AS b, floor(p_retailprice)::BIGINT AS n FROM part) SELECT a, b FROM l, r WHERE m >= 0 AND {MATCH.format('m', 'n')}"
+_only = r"regexp_matches(y, '^Search error: HTTPSConnectionPool|^\[Grok error:.*\]\z|^mcp_unavailable\z|^Traceback \(most recent call last\):|^requests\.exceptions\.|^HTTPSConnectionPool\(host=.*Max retries exceeded', 's')"
+_issues = SQL["structure_issues"].partition("SELECT page_id, ")[2].rpartition(" AS issues FROM pages_")[0]
+SQL["raw_scans"] = f"""WITH t AS (SELECT 'documents' AS source, doc_id::BIGINT AS id, coalesce(text, '') AS content FROM documents UNION ALL SELECT 'pages', page_id, coalesce(html, '') FROM pages UNION ALL SELECT 'benchmark', item_id, coalesce(text, '') FROM benchmark),
+    s AS (SELECT *, {STRIP.format("content")} AS y, content AS x FROM t)
+    SELECT source, id, len({HITS}) AS n_hits, array_to_string(({HITS})[1:3], '|') AS first_hits, y <> '' AND {_only} AS error_only, {" + ".join(count(m) for m in (OS, OE, HS, HE))} AS n_markers,
+      {_issues} AS issues, md5({INTENDED}) AS section_md5, md5({_cleaned}) AS cleaned_md5 FROM s"""
+SQL["amount_match_links"] = f"{D}, k AS (SELECT slug, amount, min(id) AS class_id, count(*) AS n FROM deals GROUP BY ALL), l AS (SELECT x.slug, x.amount, any_value(x.class_id) AS class_id, sum(y.n)::BIGINT - 1 AS n_links FROM k x JOIN k y ON x.slug = y.slug AND ({MATCH.format('x.amount', 'y.amount')}) GROUP BY x.slug, x.amount) SELECT id, class_id, n_links FROM deals JOIN l USING (slug, amount)"
+SQL["page_by_id"] = f"{P} SELECT page_id, entry, type, source_skill, report_key, run_id FROM pages_ WHERE page_id = 7"
+
+
+def _containing(which: str, column: str, kind: str) -> str:
+    return f"""{P}, c AS (SELECT DISTINCT company FROM deals), e AS (SELECT {column} AS e, min(page_id) AS page_id, count(*) AS n FROM pages_ WHERE type = '{kind}' GROUP BY {column}),
+        f AS (SELECT c.company, min(page_id) AS page_id, sum(n) AS n_pages FROM c JOIN e ON contains(e, c.company) GROUP BY c.company)
+        SELECT id, page_id, coalesce(n_pages, 0)::BIGINT AS n_pages FROM deals LEFT JOIN f USING (company) {which}"""
+
+
+SQL["outreach_page_exists"] = _containing("", "entry", "OUTREACH TARGET")
+SQL["zero_amount_lookup"] = _containing("WHERE amount = 0", "company", "FUNDRAISING INTEL")
+SQL["qa_write_back"] = f"""WITH {QA} SELECT page_id, CASE WHEN qa_status <> 'SKIP' THEN qa_status ELSE CASE page_id % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' END END AS qa_status,
+    CASE WHEN qa_status <> 'SKIP' THEN qa_issues ELSE CASE page_id % 3 WHEN 1 THEN 'old' ELSE '' END END AS qa_issues, CASE WHEN qa_status <> 'SKIP' THEN '2026-03-08 12:00:00' ELSE '2026-01-01 00:00:00' END AS audited_at FROM qa"""
+SQL["qa_stats_json"] = f"WITH {QA} SELECT '{{' || string_agg('\"' || s || '\":' || n, ',' ORDER BY k) || '}}' AS stats FROM (SELECT s, k, count(page_id) AS n FROM (VALUES ('PASS', 1), ('WARN', 2), ('FAIL', 3), ('SKIP', 4)) v(s, k) LEFT JOIN qa ON s = qa_status GROUP BY s, k)"
+SQL["moved_dedup_notes"] = f"""{P}, n AS (SELECT page_id, entry, date, CASE WHEN page_id % 2 = 0 THEN 'old' END AS old,
+      content || CASE page_id % 9 WHEN 1 THEN e'\\nArchived duplicate: x\\nend' WHEN 2 THEN e'\\n- Dedup cleanup' WHEN 3 THEN e'\\narchived duplicate: y' ELSE '' END AS c FROM pages_),
+    l AS (SELECT *, string_split(c, e'\\n') AS ls FROM n), k AS (SELECT *, list_filter(ls, lambda x: NOT contains(x, 'Archived duplicate:') AND NOT contains(x, 'Dedup cleanup')) AS kept FROM l)
+    SELECT page_id, md5(array_to_string(kept, e'\\n')) AS content_md5, CASE WHEN len(ls) > len(kept) THEN trim(coalesce(old, '') || e'\\nArchived: ' || entry || ' (' || strftime(date, '%Y-%m-%d') || ')', e' \\n') ELSE old END AS qa_issues, (len(ls) - len(kept))::BIGINT AS n_moved FROM k"""
+SQL["tree_page_text"] = "SELECT conv_id AS page_id, md5(coalesce(string_agg(text, e'\\n' ORDER BY turn) FILTER (WHERE turn % 5 <> 4), '')) AS content_md5 FROM conversations GROUP BY conv_id"
+SQL["tree_page_text_first_page"] = SQL["tree_page_text"].replace("turn % 5 <> 4", "turn % 5 <> 4 AND turn % 4 <> 3")
+SQL["text_properties"] = f"""SELECT conv_id, turn, md5(CASE WHEN conv_id % 5 < 2 THEN {STRIP.format("' ' || role || CASE WHEN turn % 2 = 0 THEN ': ' ELSE '' END || coalesce(text, '')")} WHEN conv_id % 5 = 2 AND turn % 3 > 0 THEN role ELSE '' END) AS value_md5 FROM conversations"""
+SQL["page_properties_poc"] = f"{D} SELECT id, company || ' — ' || ({FORMAT.format('amount')}) || ' ' || round_type || ' | FUNDING INTEL | MAR 8, 2026' AS entry, 'PASS' AS qa_status, CASE id % 3 WHEN 1 THEN 'user-' || id WHEN 2 THEN 'a|b' || id END AS poc FROM deals"
+SQL["preset_breaker_states"] = (
+    SQL["breaker_states"].replace("user_id % 4 AS service", "['duckduckgo', 'grok', 'icebreaker', 'other'][user_id % 4 + 1] AS service")
+    .replace("fails + 1 >= 2 END", "fails + 1 >= CASE service WHEN 'icebreaker' THEN 2 ELSE 3 END END").replace("o.t - w.last >= 1800", "o.t - w.last >= CASE w.service WHEN 'duckduckgo' THEN 600 WHEN 'icebreaker' THEN 900 ELSE 300 END")
+)

@@ -79,3 +79,18 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.expr("""CASE (conv_id + turn) % 9 WHEN 0 THEN 'mcp_unavailable' WHEN 1 THEN concat(text, ' [Grok error: q] b') WHEN 2 THEN concat('[Grok error: x] ', text, ' [y]')
         WHEN 3 THEN concat('Search error: HTTPSConnectionPool(host=''o'') ', text) WHEN 4 THEN concat('a\\nHTTPSConnectionPool(host=a): Max retries exceeded\\n', text) WHEN 5 THEN concat(' \\n', text, '\\n\\n\\n\\nz') WHEN 6 THEN NULL ELSE text END""")
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page_id"), F.col("turn").alias("pos"), F.col("role").alias("type"), text.alias("text"))
+
+
+def block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, block_id, parent_id, pos, text: of four turns the first is a root, the second and fourth are its children, the third the second's."""
+    parent = F.expr("CASE turn % 4 WHEN 0 THEN NULL WHEN 3 THEN turn - 3 ELSE turn - 1 END")
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page_id"), F.col("turn").alias("block_id"), parent.alias("parent_id"), F.col("turn").alias("pos"), F.expr("CASE WHEN turn % 5 <> 4 THEN text END").alias("text"))
+
+
+SERVICES = ["duckduckgo", "grok", "icebreaker", "other"]
+
+
+def named_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """calls() with services by name."""
+    name = F.element_at(F.array(*map(F.lit, SERVICES)), F.col("service").cast("int") + 1)
+    return calls(spark, sf_dir).withColumn("service", name)

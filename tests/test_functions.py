@@ -174,3 +174,86 @@ def test_greedy_against_a_plain_fold(spark):
             known.append((i, amount))
     assert {r.id: r.canonical_id for r in dedup.greedy_dedup(df, "slug").collect()} == want
     assert dedup.greedy_dedup(df.where("false"), "slug").count() == 0
+
+
+def test_contains_by_parts_is_the_broadcast_join(spark):
+    names = spark.createDataFrame([(1, "Acme Corp"), (2, "the ACME"), (3, ""), (4, None), (5, "é Straße"), (6, "corp acm")], "id int, name string")
+    needles = spark.createDataFrame([("acme",), ("corp",), ("",), (None,), ("straße",), ("zz",), ("c",)], "needle string")
+    show = lambda **k: sorted(map(tuple, dedup.contains_pairs(names, needles, **k).collect()))
+    assert show() == show(most=0) and (1, "acme") in show() and (3, "") in show()
+    assert show(any_case=False) == show(any_case=False, most=0) and (2, "acme") not in show(any_case=False)
+
+
+def test_breaker_sessions_and_presets(spark):
+    rng = random.Random(3)
+    t, rows = 0.0, []
+    for i in range(3000):
+        t += rng.choice([1, 1, 5, 200, 301, 900])
+        rows.append((rng.choice(["grok", "icebreaker", "x", None]), t, i, rng.random() < 0.5))
+    df = spark.createDataFrame(rows, "service string, t double, id long, ok boolean")
+    want, state, limits = {}, {}, {"grok": (3, 300), "icebreaker": (2, 900)}
+    for s, at, i, ok in rows:
+        most, wait = limits.get(s, (3, 300))
+        fails, last, is_open = state.get(s, (0, 0.0, False))
+        allowed = not is_open or at - last >= wait
+        if allowed:
+            fails, last = (0, last) if ok else (fails + 1, at)
+            is_open = fails >= most
+        state[s] = (fails, last, is_open)
+        want[i] = (allowed, fails, "open" if is_open else "closed")
+    assert {r.id: (r.allowed, r.fails, r.state) for r in R.preset_breaker_log(df).collect()} == want
+    assert [tuple(r) for r in R.breakers(spark).collect()] == R.BREAKERS
+    runs, length = [], {}
+    for s, _, i, ok in rows:
+        if ok:
+            length.pop(s, None)
+        elif s in length:
+            runs[length[s]][2] += 1
+        else:
+            length[s] = len(runs)
+            runs.append([s, i, 1])
+    for width in (10.0, 3600.0):
+        assert sorted(map(str, map(tuple, R.failure_runs(df, width).collect()))) == sorted(str(tuple(r)) for r in runs)
+
+
+def test_write_back_and_hook(spark):
+    rows = [(1, "a", "OUTREACH TARGET", "s", "k", "r", "x"), (2, "[Archived] b", "OUTREACH TARGET", "s", "", "r", "x"), (3, "c", "OUTREACH TARGET", "", "k", "r", None)]
+    df = spark.createDataFrame(rows, "page_id int, entry string, type string, source_skill string, report_key string, run_id string, content string")
+    out = {r.page_id: r for r in qa.audited(df, F.lit("2026-01-02").cast("timestamp")).collect()}
+    assert [out[i].qa_status for i in (1, 2, 3)] == ["PASS", None, "WARN"] and out[2].last_audited_at is None and out[3].last_audited_at is not None
+    again = qa.audited(qa.audited(df, F.lit("2026-01-02").cast("timestamp")), F.lit("2026-01-03").cast("timestamp"))
+    assert again.columns == [*df.columns, "qa_status", "qa_issues", "last_audited_at"]
+    assert [qa.post_write_hook(df, i) for i in (1, 2, 3, 4)] == ["PASS", "SKIP", "WARN", None]
+    assert qa.status_json(qa.status_histogram(qa.validate_pages(df))).first().stats == '{"PASS":1,"WARN":1,"FAIL":0,"SKIP":1}'
+
+
+def test_moved_notes_and_properties(spark):
+    rows = [("t", "a\nArchived duplicate: x\nb", None), ("t", "a", None), ("t", None, "old"), ("t", "Dedup cleanup", "old")]
+    df = spark.createDataFrame(rows, "entry string, content string, qa_issues string")
+    got = [(r.content, r.qa_issues, r.n_moved) for r in blocks.moved_notes(df, F.lit("2026-01-01")).collect()]
+    assert got == [("a\nb", "Archived: t (2026-01-01)", 1), ("a", None, 0), (None, "old", 0), ("", "old\nArchived: t (2026-01-01)", 1)]
+    props = [("rich_text", [(" a",), (None,), ("b ",)], None), ("title", None, None), ("select", None, "n"), ("select", None, None), ("number", [("x",)], "n"), None]
+    assert column(spark, props, blocks.text_property, "struct<type:string,spans:array<struct<plain_text:string>>,name:string>")[:5] == ["a" + "b", "", "n", "", ""]
+
+
+def test_tree_text(spark):
+    rows = [("p", 1, None, 0, "root"), ("p", 2, 1, 1, "child"), ("p", 3, 2, 2, None), ("p", 4, 3, 3, "deep"), ("p", 5, 1, 4, ""), ("p", 6, None, 5, "last"), ("q", 1, None, 0, None)]
+    df = spark.createDataFrame(rows, "page_id string, block_id int, parent_id int, pos int, text string")
+    show = lambda *a: {r.page_id: r.content for r in blocks.tree_text(df, *a).collect()}
+    assert show(4) == {"p": "root\nchild\ndeep\n\nlast", "q": ""}
+    assert show(4, 1) == {"p": "root\nchild\ndeep\nlast", "q": ""} and show(1)["p"] == "root\nlast"
+
+
+def test_command_line(spark, tmp_path):
+    from recsieve import cli
+    from recsieve.sources import tables as T
+
+    T.blocks(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/blocks")
+    T.pages(spark, "/root/testdata/sf0.001").limit(50).write.parquet(f"{tmp_path}/pages")
+    one = str(spark.read.parquet(f"{tmp_path}/pages").first().page_id)
+    assert cli.main(["validate", f"{tmp_path}/pages"], spark) == 1 and cli.main(["clean", f"{tmp_path}/blocks", "--recent", "3"], spark) == 1
+    assert cli.main(["validate", f"{tmp_path}/pages", "--page-id", one, "--out", f"{tmp_path}/out"], spark) == 0
+    assert spark.read.parquet(f"{tmp_path}/out").select("page_id", "qa_status").count() == 1
+    assert cli.main(["validate", f"{tmp_path}/pages", "--recent", "24", "--out", f"{tmp_path}/none", "--dry-run"], spark) == 0
+    assert not (tmp_path / "none").exists()
+    assert cli.main(["clean", f"{tmp_path}/blocks", "--page-id", "3", "--out", f"{tmp_path}/clean"], spark) == 0
