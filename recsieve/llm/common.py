@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +15,10 @@ SLICE_BYTES = 1 << 21
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
+    """The shared folder of the cluster, from spark.checkpoint.dir; where that is unset, a folder of the warehouse, which is shared too."""
     sc = spark.sparkContext
-    if not (at := sc.getCheckpointDir()):
-        at = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(at)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -42,6 +40,44 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
 
 KEY = ["_k1", "_k2"]
 
+RUN = 128
+"""Elements that running() folds in one piece."""
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once: bound to a lambda's variable."""
+    return F.transform(F.array(value), then)[0]
+
+
+def running(xs: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array of longs, op folded over it and all before; op takes a null for nothing, and is associative.
+
+    A fold that appends to an array copies it each time: pieces of RUN elements are folded, then what they come to, so that
+    the time grows with the array's length and not with its square.
+    """
+    none = F.array().cast("array<bigint>")
+    fold = lambda a: F.aggregate(a, none, lambda acc, x: F.concat(acc, F.array(op(F.get(acc, F.size(acc) - 1), x))))
+
+    def whole(v: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / RUN).cast("int") - 1), lambda b: fold(F.slice(v, b * RUN + 1, F.lit(RUN))))
+        after = lambda ps: fold(F.transform(ps, lambda p: F.element_at(p, -1)))
+        return let(pieces, lambda ps: let(after(ps), lambda c: F.flatten(F.transform(ps, lambda p, i: F.transform(p, lambda x: op(F.get(c, i - 1), x))))))
+
+    return F.when(F.size(xs) > 0, let(xs, whole)).otherwise(none)
+
+
+def merged(spans: Column, touching: bool) -> Column:
+    """Spans (start, end), sorted by start, with those that overlap, or with `touching` meet, as one."""
+    ends = running(F.transform(spans, lambda x: x["end"].cast("long")), lambda a, x: F.greatest(a, x))
+
+    def groups(s: Column, e: Column) -> Column:
+        fresh = lambda i: (F.get(s, i)["start"] > F.get(e, i - 1)) if touching else (F.get(s, i)["start"] >= F.get(e, i - 1))
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | fresh(i))
+        return let(first, lambda f: F.transform(f, lambda i, k: F.struct(F.get(s, i)["start"].alias("start"), F.get(e, F.coalesce(F.get(f, k + 1), F.size(s)) - 1).cast("int").alias("end"))))
+
+    found = let(spans, lambda s: let(ends, lambda e: groups(s, e)))
+    return F.when(F.size(spans) > 0, found).otherwise(F.array().cast("array<struct<start:int,`end`:int>>"))
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Splitmix finaliser: spreads every input bit over all output bits."""

@@ -48,16 +48,30 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_tokens", "epoch", "weight", "mix_order")
 
 
-def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recsieve.llm.secrets import BASE, render, scan
+def _secrets(found: DataFrame) -> DataFrame:
+    from recsieve.llm.secrets import BASE, render
 
-    found, _ = scan(table(spark, sf_dir, "documents"))
     kinds = [r.kind for r in BASE]
     n = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("found", lambda x: x["kind"].isin(kinds))
     return found.select("doc_id", *map(n, kinds), F.sha2(render(base), 256).alias("base_sha256"), render(F.col("found")).alias("spans"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.secrets import scan
+
+    return _secrets(scan(table(spark, sf_dir, "documents"))[0])
+
+
+def secret_scan_with_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two goes: a first scan with some rules leaves its ledger, and the second scans what that lacks."""
+    from recsieve.llm.secrets import BASE, scan
+
+    docs = table(spark, sf_dir, "documents")
+    _, ledger = scan(docs, rules=BASE[:2])
+    return _secrets(scan(docs, ledger=ledger)[0])
+
+
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsieve.llm.quality_model import held_out, score, train
 
@@ -74,11 +88,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsieve.llm.chat_format import pack_conversations, unpack
+    from recsieve.llm.common import cut
 
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = r"\### Assistant: </turn> ok"
     rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema))
-    out = unpack(pack_conversations(rows))
+    out = unpack(cut(pack_conversations(rows)))
     turns = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
@@ -94,7 +109,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"secret_scan_with_ledger": secret_scan_with_ledger}
 
 
 def _spans_sql(kind: str, pattern: str, group: int, least: int, place: int) -> str:
@@ -212,5 +227,8 @@ SQL: dict[str, str] = {
 }
 
 
+SQL["secret_scan_with_ledger"] = SQL["op6_secret_scan"]
+
+
 def oracle_sql() -> dict[str, str]:
     return SQL

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsieve.llm.common import KEY, cut, row_key
+from recsieve.llm.common import KEY, cut, let, merged, row_key, running
 
 
 @dataclass(frozen=True)
@@ -58,24 +58,22 @@ FOUND = f"array<struct<rule:string,version:string,spans:{SPANS}>>"
 def spans(text: Column, rule: Rule) -> Column:
     """Where the rule's leftmost non-overlapping matches are, in code points, end exclusive.
 
-    The pieces between matches and the matches alternate: each match begins where the lengths so far add up to.
+    The pieces between matches and the matches alternate: a match ends where the lengths so far add up to.
     """
     # a run of one class: the first `least` characters can be asked for in the pattern itself, which gives the same matches
     pattern = rule.pattern[:-1] + f"{{{rule.least},}}" if rule.pattern == "[0-9a-f]+" else rule.pattern
     sizes = lambda x: F.transform(x, F.length)
     matches = sizes(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    values = sizes(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))) if rule.group else matches
-    parts = F.arrays_zip(sizes(F.split(text, pattern, -1)).alias("gap"), matches.alias("size"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    values = sizes(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))) if rule.group else None
 
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        found = F.concat(a["out"], F.array(F.struct(begin.alias("start"), end.alias("end"))))
-        return F.struct(end.alias("at"), F.when(x["value"] >= rule.least, found).otherwise(a["out"]).alias("out"))
+    def place(size: Column, gap: Column, value: Column) -> Column:
+        ends = running(F.transform(size, lambda x, i: (F.get(gap, i) + x).cast("long")), lambda a, x: F.coalesce(a, F.lit(0)) + x)
+        each = let(ends, lambda e: F.transform(size, lambda x, i: F.struct((F.get(e, i) - x).cast("int").alias("start"), F.get(e, i).cast("int").alias("end"), F.get(value, i).alias("value"))))
+        return F.transform(F.filter(each, lambda x: x["value"] >= rule.least), lambda x: F.struct(x["start"], x["end"]))
 
+    found = let(matches, lambda m: let(sizes(F.split(text, pattern, -1)), lambda g: place(m, g, m) if values is None else let(values, lambda v: place(m, g, v))))
     there = F.contains(text, F.lit(rule.hint)) if rule.hint else text.rlike(pattern)
-    return F.when(there, F.aggregate(parts, start, step, lambda a: a["out"])).otherwise(F.array().cast(SPANS))
+    return F.when(there, found.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
 def scan(versions: DataFrame, path_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
@@ -117,15 +115,22 @@ def render(found: Column) -> Column:
 
 
 def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
-    """text with each span, or run of overlapping spans, replaced by the mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """text with each span, or run of overlapping spans, replaced by the mark.
 
-    def step(a: Column, x: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, F.greatest(x["start"] - a["at"], F.lit(0)))
-        out = F.when(x["start"] >= a["at"], F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], x["end"]).alias("at"), out.alias("out"))
+    Finding a place in a text takes time with its distance from the text's beginning: pieces are cut out of chunks of 512 characters.
+    """
+
+    def piece(chunks: Column, a: Column, b: Column) -> Column:
+        first = F.shiftright(a, 9)
+        near = F.array_join(F.slice(chunks, first + 1, F.shiftright(F.greatest(b - 1, a), 9) - first + 1), "")
+        return F.when(b > a, F.substr(near, a.bitwiseAND(511) + 1, b - a)).otherwise("")
+
+    def pieces(chunks: Column, groups: Column, n: Column) -> Column:
+        edges = lambda i: (F.coalesce(F.get(groups, i - 1)["end"], F.lit(0)), F.coalesce(F.get(groups, i)["start"], n))
+        return F.transform(F.sequence(F.lit(0), F.size(groups)), lambda i: piece(chunks, *edges(i)))
 
-    return F.when(F.size(found) > 0, F.aggregate(found, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))).otherwise(text)
+    whole = let(merged(found, False), lambda g: let(F.length(text), lambda n: let(F.regexp_extract_all(text, F.lit("(?s).{1,512}"), F.lit(0)), lambda c: F.array_join(pieces(c, g, n), mark))))
+    return F.when(F.size(found) > 0, whole).otherwise(text)
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:

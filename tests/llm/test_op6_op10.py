@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+
 from recsieve.llm import decontaminate, queries, secrets
 from oracle import check
 
@@ -110,10 +112,54 @@ def test_decontaminate_edges(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     show = lambda x: sorted(((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in x.collect()), key=str)
     assert show(decontaminate.contaminated_words(df, bench)) == contaminated(docs, items)
-    old, decontaminate.BROADCAST_ROWS = decontaminate.BROADCAST_ROWS, 0
+    old, decontaminate.BROADCAST_BYTES = decontaminate.BROADCAST_BYTES, -1
     assert show(decontaminate.contaminated_words(df, bench)) == contaminated(docs, items)
-    decontaminate.BROADCAST_ROWS = old
+    decontaminate.BROADCAST_BYTES = old
     assert decontaminate.contaminated_words(df.where("false"), bench).count() == 0
     assert show(decontaminate.contaminated_words(df, bench.where("false"))) == contaminated(docs, [])
     kept = decontaminate.clean(df, bench)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 9]
+
+
+def test_running_and_merged(spark):
+    from pyspark.sql import functions as F
+    from recsieve.llm import common
+
+    rng = np.random.default_rng(6)
+    cases = [[], [3], *([int(x) for x in rng.integers(-9, 9, n)] for n in (127, 128, 129, 1000, 40_000))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, x array<bigint>")
+    got = {r.i: (r.s, r.m) for r in df.select("i", common.running(F.col("x"), lambda a, x: F.coalesce(a, F.lit(0)) + x).alias("s"), common.running(F.col("x"), lambda a, x: F.greatest(a, x)).alias("m")).collect()}
+    for i, x in enumerate(cases):
+        assert got[i] == (list(np.cumsum(x)), list(np.maximum.accumulate(x) if x else []))
+    spans = sorted((int(a), int(a) + int(n)) for a, n in zip(rng.integers(0, 3000, 400), rng.integers(1, 9, 400)))
+    for touching in (True, False):
+        want = []
+        for a, b in spans:
+            if want and (a <= want[-1][1] if touching else a < want[-1][1]):
+                want[-1][1] = max(b, want[-1][1])
+            else:
+                want.append([a, b])
+        df = spark.createDataFrame([(spans,), ([],)], "x array<struct<start:int,`end`:int>>")
+        assert [[list(y) for y in r.y] for r in df.select(common.merged(F.col("x"), touching).alias("y")).collect()] == [want, []]
+
+
+def test_very_many_matches(spark):
+    """Time grows with the matches, not with their square, and positions stay right."""
+    import time
+
+    took = []
+    for n in (4_000, 64_000):
+        text = "é " + "".join(f"{i:016x} token={i:012d}x " for i in range(n // 2))
+        df = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, n_chars long")
+        began = time.perf_counter()
+        r = secrets.scan(df)[0].first()
+        out = secrets.redact(df).first()
+        took.append(time.perf_counter() - began)
+        assert [(x.start, x.end, x.kind) for x in r.found if x.kind in ("assign", "access", "hex")] == [(s, e, k) for s, _, e, k in found(text)]
+        assert out.text == "é " + "[SECRET] [SECRET] " * (n // 2) and out.n_chars == len(out.text)
+    assert took[1] < 16 * max(took[0], 2.0)
+
+
+def test_scan_with_a_stored_ledger_finds_the_same(spark, sf):
+    show = lambda q: sorted(map(tuple, q(spark, sf).collect()))
+    assert show(queries.queries()["secret_scan_with_ledger"]) == show(queries.op6_secret_scan)
