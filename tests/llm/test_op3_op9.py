@@ -101,23 +101,28 @@ def test_tree_has_shared_turns_once():
     assert [n["start"] for n in pack["nodes"]] == sorted(n["start"] for n in pack["nodes"])
 
 
-def test_hot_prefixes_are_split_by_the_tree(spark):
-    """Over 128 conversations with one first turn: turns that they share further down come once."""
+def test_each_prefix_has_one_node(spark):
+    """Over 128 conversations with one first turn: every turn that some share comes once, hot ones too."""
     def said(i):
-        return [("system", "prompt"), ("user", f"second {i // 3}"), ("assistant", f"third {i // 3}"), ("user", f"own {i}")]
+        return [("system", "pr:om###pt"), ("user", f"second {i // 3}"), ("assistant", f"third {i // 3}"), ("user", f"own {i}")]
 
     chats = {i: said(i) for i in range(600)}
-    chats |= {1000 + i: [("system", "prompt"), ("user", "common"), ("assistant", f"answer {i // 2}"), ("user", f"own {i}")] for i in range(300)}  # a hot second turn
-    chats |= {2000 + i: [("system", "prompt"), ("user", "equal")] for i in range(300)}  # equal whole conversations
+    chats |= {1000 + i: [("system", "pr:om###pt"), ("assistant", "com</turn>mon"), ("assistant", f"answer {i // 2}"), ("user", f"own {i}")] for i in range(300)}  # a hot second turn
+    chats |= {2000 + i: [("system", "pr:om###pt"), ("user", "equal")] for i in range(300)}  # equal whole conversations
+    chats |= {3000 + i: [("a:b\\\\", "ten"), ("user", f"branch {i % 10}"), ("assistant", f"leaf {i}")] for i in range(1000)}
     rows = [(c, t, r, x) for c, turns in chats.items() for t, (r, x) in enumerate(turns)]
     packs = chat_format.pack_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     found = packs.collect()
-    text = "".join(p.text for p in found)
     size = lambda r, x: sum(map(len, chat_format.turn_parts(r, x)))
     nodes = {tuple(turns[: d + 1]) for turns in chats.values() for d in range(len(turns))}
-    hot = [(("system", "prompt"), len(found)), (("user", "common"), 3), (("user", "equal"), 3)]
-    assert len(found) == 5 + 3 + 3
-    assert len(text) == sum(size(*n[-1]) for n in nodes) + sum((times - 1) * size(*turn) for turn, times in hot)
+    assert sum(len(p.nodes) for p in found) == len(nodes)
+    assert sum(len(p.text) for p in found) == sum(size(*n[-1]) for n in nodes)
     assert sorted(c.conv_id for p in found for c in p.conversations) == sorted(chats)
-    assert max(len(p.conversations) for p in found) <= 256
+    assert sum(not p.conversations for p in found) == 4 and max(len(p.conversations) for p in found) <= 300
+    by_name = {p["pack"]: p for p in found}
+    for p in found:
+        offset = sum(len(by_name[x].text) for x in p.path)
+        for n in p.nodes:
+            assert n.position == offset + sum(x.end - x.start for x in n.attends)
     assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat_format.unpack(packs).collect()} == chats
+    assert {r.conv_id: r.loss_text for r in chat_format.unpack(packs).collect()} == {c: "".join(x for r, x in turns if r == "assistant") for c, turns in chats.items()}
