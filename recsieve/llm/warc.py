@@ -5,8 +5,11 @@ block that follows, and only that length says where it ends. The converter gives
 URL, date and digest), a timestamp, a type and a SHA-1 payload digest. Of records with equal payloads one is a response
 and the others are revisits that refer to it and carry no payload.
 
-Records are written with Spark's text writer: a record is UTF-8 text whose last byte is a newline, which is the writer's line
-separator, so each part file is a gzipped WARC file. They're read as whole files and parsed by Content-Length.
+An archive file begins with a `warcinfo` record made from the ARC file's version block. Every record is a gzip member of its own, so a
+reader can begin at any of them. A file is closed at ARCHIVE_BYTES, so it is that and one record long at most, whatever the size of
+the records; tasks read files one by one, member by member. Files are written with Spark's text writer, which puts a line separator
+after each row: a member's last byte is the top byte of its text's length, which is zero for texts under 16 MB and for the empty
+member that is added to others, so the separator is a zero byte that stands for it.
 
 Nulls: a null payload is empty; a null URL is `urn:missing`; a null page_id is never the response while an equal payload has
 an id, and if none has, all are responses. Repeated rows: all rows of the largest page_id are responses.
@@ -24,6 +27,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ FIELDS = {
 """The header fields of ARC versions 1 and 2, in order."""
 
 DATE = "20240101000000"
-PER_FILE = 20_000
+ARCHIVE_BYTES = 64 << 20
 PER_ARC = 64
 
 
@@ -90,6 +94,25 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
         at = end + 1 + length + 1
 
 
+def arc_info(data: bytes) -> dict[str, str]:
+    """What an ARC file's version block says: its version, who made it, and the fields of its records."""
+    head, _, rest = data.partition(b"\n")
+    lines = rest[: int(head.split(b" ")[-1])].decode("ascii").splitlines()
+    version, _, origin = lines[0].split(" ", 2)
+    return {"arc-file": head.split(b" ")[0].decode("ascii"), "arc-version": version, "arc-origin": origin, "arc-fields": lines[1]}
+
+
+def to_warcinfo(info: dict[str, str], name: str) -> str:
+    """The record that an archive of this name begins with."""
+    block = "".join(f"{k}: {v}\r\n" for k, v in {"software": "recsieve", "format": "WARC File Format 1.0", **info}.items())
+    lines = ["WARC/1.0", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(name, DATE, digest_of(block.encode()), None)}", f"WARC-Date: {iso(DATE)}", f"WARC-Filename: {name}", "Content-Type: application/warc-fields", f"Content-Length: {len(block.encode())}"]
+    return "\r\n".join(lines) + "\r\n\r\n" + block + "\r\n\r\n"
+
+
+def iso(d: str) -> str:
+    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+
+
 def digest_of(block: bytes) -> str:
     return base64.b32encode(hashlib.sha1(block).digest()).decode()
 
@@ -98,22 +121,31 @@ def record_id(url: str, date: str, digest: str, number: int | None) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{url} {date} {digest} {number}'.encode()).digest()[:16], version=5)}>"
 
 
-def to_warc(arc: ArcRecord, number: int | None, refers_to: int | None) -> str:
-    """The WARC record for an ARC record, all but its last newline. refers_to: the page of the response with this payload."""
+def to_warc(arc: ArcRecord, number: int | None, refers_to: tuple[int, str] | None) -> str:
+    """The WARC record for an ARC record. refers_to: page and URL of the response with this payload."""
     digest = digest_of(arc.block)
-    d = arc.date
     lines = [
-        "WARC/1.0", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(arc.url, d, digest, number)}",
-        f"WARC-Date: {d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z", f"WARC-Target-URI: {arc.url}", f"WARC-Payload-Digest: sha1:{digest}",
+        "WARC/1.0", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(arc.url, arc.date, digest, number)}",
+        f"WARC-Date: {iso(arc.date)}", f"WARC-Target-URI: {arc.url}", f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-IP-Address: {arc.extra['ip']}", f"Content-Type: {arc.type}", f"X-Payload-Length: {len(arc.block)}", f"X-ARC-Version: {arc.version}",
     ]
     if number is not None:
         lines.append(f"X-Page-ID: {number}")
     if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers_to}"]
+        page, url = refers_to
+        lines += [
+            "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(url, DATE, digest, page)}",
+            f"WARC-Refers-To-Target-URI: {url}", f"WARC-Refers-To-Date: {iso(DATE)}", f"X-Refers-To-Page: {page}",
+        ]
     block = "" if refers_to is not None else arc.block.decode()
     lines.append(f"Content-Length: {0 if refers_to is not None else len(arc.block)}")
-    return "\r\n".join(lines) + "\r\n\r\n" + block + "\r\n\r"
+    return "\r\n".join(lines) + "\r\n\r\n" + block + "\r\n\r\n"
+
+
+def member(record: str) -> bytes:
+    """A record as a gzip member, or that and an empty one, without the last byte, which is zero."""
+    data = gzip.compress(record.encode(), 6, mtime=0)
+    return (data if data[-1] == 0 else data + gzip.compress(b"", mtime=0))[:-1]
 
 
 def read_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -132,28 +164,47 @@ def read_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes
         yield headers, block
 
 
-def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows to ARC files of a few records, of either version by turns, and these to WARC records."""
-    turn = 0
-    for batch in batches:
-        for i in range(0, batch.num_rows, PER_ARC):
-            numbers, urls, payloads, refers = (batch.column(c).slice(i, PER_ARC).to_pylist() for c in ("number", "url", "payload", "refers_to"))
-            turn += 1
-            kept = [(quote(u, safe="!#$%&'()*+,/:;=?@[]~") if u else "urn:missing", DATE, "text/html", p.encode()) for u, p in zip(urls, payloads)]
-            records = read_arc(write_arc(1 + turn % 2, kept))
-            yield pa.RecordBatch.from_arrays([pa.array([to_warc(r, n, x) for r, n, x in zip(records, numbers, refers, strict=True)], pa.string())], names=["value"])
-
-
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+def target(url: str | None) -> str:
+    return quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url else "urn:missing"
+
+
+def _convert(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows to ARC files of a few records, of either version by turns, and these to members of WARC files."""
+        task, turn, number, size = TaskContext.get().partitionId(), 0, 0, 0
+        for batch in batches:
+            for i in range(0, batch.num_rows, PER_ARC):
+                numbers, urls, payloads, refers, refer_urls = (batch.column(c).slice(i, PER_ARC).to_pylist() for c in ("number", "url", "payload", "refers_to", "refers_url"))
+                turn += 1
+                arc = write_arc(1 + turn % 2, [(target(u), DATE, "text/html", p.encode()) for u, p in zip(urls, payloads)])
+                names, members = [], []
+                for record, n, to, to_url in zip(read_arc(arc), numbers, refers, refer_urls, strict=True):
+                    name = f"{task:06d}-{number:06d}"
+                    if not size:
+                        names.append(name)
+                        members.append(member(to_warcinfo(arc_info(arc), name)))
+                    names.append(name)
+                    members.append(member(to_warc(record, n, None if to is None else (to, target(to_url)))))
+                    size += len(members[-1])
+                    if size >= most:
+                        number, size = number + 1, 0
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(members, pa.binary())], names=["archive", "value"])
+
+    return run
+
+
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> None:
     """A folder of gzipped WARC files with a record per row of pages."""
     rows = pages.select(F.col(id_col).cast("long").alias("number"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha1(F.encode("payload", "UTF-8"))))
     # sums by payload first: of a payload that a third of all pages share, one row leaves each task
-    last = rows.groupBy("digest").agg(F.max("number").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last")
-    places = rows.select("digest", "number").join(last, "digest").where("not (number <=> last)").select(F.col("number").alias("own"), F.col("digest").alias("same"), "last").distinct()
+    last = rows.groupBy("digest").agg(F.max(F.struct("number", "url")).alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last")
+    places = rows.select("digest", "number").join(last, "digest").where("not (number <=> last.number)").select(F.col("number").alias("own"), F.col("digest").alias("same"), "last").distinct()
     # joined on page and payload, so rows of one payload don't meet in one place
-    out = rows.join(places, F.col("number").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("same")), "left").select("number", "url", "payload", F.col("last").alias("refers_to"))
-    out.mapInArrow(_convert, "value string").write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    out = rows.join(places, F.col("number").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("same")), "left")
+    out = out.select("number", "url", "payload", F.col("last.number").alias("refers_to"), F.col("last.url").alias("refers_url"))
+    files = out.mapInArrow(_convert(archive_bytes), "archive string, value binary").select("archive", F.col("value").cast("string").alias("value"))
+    files.write.partitionBy("archive").option("lineSep", "\0").text(path)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +214,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             rows: list[tuple] = []
-            for h, block in read_warc(gzip.GzipFile(fileobj=io.BytesIO(content.as_py()))):
+            for h, block in read_warc(gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer()))):
+                if h["WARC-Type"] == "warcinfo":
+                    continue
                 digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
                 if h["WARC-Type"] == "response" and digest_of(block) != digest:
                     raise ValueError(f"record {h['WARC-Record-ID']}: payload and digest differ")
@@ -177,7 +230,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str, id_col: str = "page_id") -> DataFrame:
     """Per record: id_col, payload_bytes, payload_digest, record_type, refers_to, url, record_id, date."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("content")
     schema = "number long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, record_id string, date string"
     return files.mapInArrow(_parse, schema).withColumnRenamed("number", id_col)
 

@@ -42,7 +42,7 @@ def test_arc_versions_and_lengths():
         data = warc.write_arc(version, [(f"http://h/{i}", "20240102030405", "text/html", b) for i, b in enumerate(blocks)])
         found = list(warc.read_arc(data))
         assert [(r.version, r.url, r.date, r.block) for r in found] == [(version, f"http://h/{i}", "20240102030405", b) for i, b in enumerate(blocks)]
-        text = warc.to_warc(found[3], 5, None) + "\n"
+        text = warc.to_warc(found[3], 5, None)
         (head, block), = warc.read_warc(io.BytesIO(text.encode()))
         assert block == blocks[3] and head["WARC-Date"] == "2024-01-02T03:04:05Z" and head["WARC-Record-ID"].startswith("<urn:uuid:")
         assert warc.to_warc(found[3], 5, None) == warc.to_warc(found[3], 5, None)
@@ -52,6 +52,42 @@ def test_arc_versions_and_lengths():
         list(warc.read_arc(data.replace(b"2 0 rec", b"3 0 rec")))
 
 
+def test_archives_are_bounded_and_refer(spark, tmp_path):
+    """Files of some bytes, a member per record, a warcinfo first, revisits that name their response; a record over 16 MB too."""
+    import gzip
+    import random
+    import zlib
+    from pathlib import Path
+
+    rng = random.Random(1)
+    noise = lambda n: "".join(chr(rng.randrange(33, 1000)) for _ in range(n))
+    rows = [(i, f"http://h/{i}", noise(20_000)) for i in range(60)] + [(100 + i, f"http://c/{i}", "copy") for i in range(30)] + [(200, "http://big", "0123456789abcdef" * 1_200_000)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w", archive_bytes=100_000)
+    files = sorted(Path(f"{tmp_path}/w").rglob("part-*"))
+    assert len(files) > 10 and max(f.stat().st_size for f in files) < 250_000
+    ids, refers, n = {}, [], 0
+    for f in files:
+        data, members = f.read_bytes(), 0
+        records = list(warc.read_warc(io.BytesIO(gzip.decompress(data))))
+        while data:
+            d = zlib.decompressobj(31)
+            members += bool(d.decompress(data))
+            data = d.unused_data
+        assert members == len(records) and [h["WARC-Type"] == "warcinfo" for h, _ in records] == [True] + [False] * (len(records) - 1)
+        assert b"arc-version: " in records[0][1]
+        for h, _ in records[1:]:
+            n += 1
+            assert h["WARC-Record-ID"] not in ids
+            ids[h["WARC-Record-ID"]] = h
+            refers += [h] if "WARC-Refers-To" in h else []
+    assert n == len(rows) and len(refers) == 29
+    for h in refers:
+        to = ids[h["WARC-Refers-To"]]
+        assert to["WARC-Type"] == "response" and to["X-Page-ID"] == "129" and to["WARC-Target-URI"] == h["WARC-Refers-To-Target-URI"] == "http://c/29"
+    got = warc.read_archives(spark, f"{tmp_path}/w")
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == expected_pages(rows)
+
+
 def expected_chats(rows):
     convs = {}
     for c, t, r, x in rows:
