@@ -5,9 +5,14 @@ windows that share it form a super-k-mer, which travels as one packed string (it
 of the minimiser, where its windows are sorted by hash, compared word by word and so counted exactly. Equal windows have
 equal minimisers, so a minimiser that the corpus has once holds no repeated window: those super-k-mers stay at home.
 
-Skew: only repeated minimisers travel; the count of a minimiser is pre-aggregated. A minimiser with more than `hot`
-super-k-mers isn't gathered in one bucket: its windows travel one by one, keyed by their own words, and are counted by
-partial aggregation and an equi-join, whose skewed partitions Spark can split. Nothing is dropped on either way.
+A run of over PIECE windows, as in periodic texts, is cut into pieces, so a packed string is so many words at most.
+
+Skew: only repeated minimisers travel; their super-k-mers and bytes are pre-aggregated. A minimiser whose super-k-mers have more than
+`hot` bytes isn't gathered in one bucket: equal super-k-mers (those of copies) are counted by partial aggregation, and each different one
+is taken once, as a text of its own, through the same method with a second hash, so that its windows go, packed, to the buckets of
+their second minimisers. A super-k-mer that comes several times is repeated as a whole. What is hot then too (windows that very many
+different super-k-mers share) is counted window by window, by partial aggregation and an equi-join, whose skewed partitions Spark can
+split. Nothing is dropped on any of these ways.
 
 Nulls: a null text has no words; a null id is an id like others. Repeated rows (equal id and text) are separate rows, each of
 them the "elsewhere" of the other. Empty texts and texts under k words keep all their words. Other columns are ignored.
@@ -22,10 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsieve.llm.common import KEY, Words, binary_array, cut, full_starts, gather, gram_hashes, ranges, row_key, text_slices
+from recsieve.llm.common import KEY, Words, binary_array, cut, full_starts, gather, gram_hashes, mix, ranges, row_key, text_slices
 
-HOT = 50_000
-"""Super-k-mers of one minimiser that a bucket takes at most; some 15 MB."""
+HOT = 16 << 20
+"""Bytes of super-k-mers of one minimiser that a bucket takes at most."""
+PIECE = 1024
+"""Windows of a super-k-mer at most."""
+ROW = 64
+"""Bytes that a super-k-mer counts for besides its words."""
+SEEDS = (0, 0x5851F42D4C957F2D)
+"""What sets the first and the second hash apart."""
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -38,11 +49,12 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(least[:size], least[w - span : w - span + size])
 
 
-def super_kmers(words: Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def super_kmers(words: Words, k: int, m: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all runs of windows with one minimiser: the text's number, first word in that text, windows, minimiser, and
     whether the run has the minimiser in several places (only then can it hold equal windows itself)."""
     w = k - m + 1
     grams = gram_hashes(words.hashes(), m)
+    grams = mix(grams ^ np.uint64(seed)) if seed else grams
     least = sliding_min(grams, w)
     at = full_starts(words.ptr, k)
     if not len(at):
@@ -52,6 +64,8 @@ def super_kmers(words: Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray, n
     new = np.ones(len(at), dtype=bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (mini[1:] != mini[:-1])
     first = np.flatnonzero(new)
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    first = np.flatnonzero(place % PIECE == 0)
     doc = np.searchsorted(words.ptr, at[first], side="right") - 1
     n = np.diff(np.append(first, len(at)))
     left = np.argmax(grams[at[first][:, None] + np.arange(w)] == mini[first][:, None], axis=1)
@@ -59,26 +73,29 @@ def super_kmers(words: Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray, n
     return doc, at[first] - words.ptr[doc], n, mini[first].view(np.int64), left != n - 1 + w - 1 - right
 
 
-def _minimisers(k: int, m: int):
+def _minimisers(k: int, m: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
             for i, j, data, offsets in text_slices(batch.column("text")):
-                doc, first, n, mini, _ = super_kmers(Words(data, offsets), k, m)
+                doc, first, n, mini, _ = super_kmers(Words(data, offsets), k, m, seed)
                 if len(doc):
                     yield pa.RecordBatch.from_arrays([pa.array(k1[i:j][doc]), pa.array(k2[i:j][doc]), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(mini)], names=[*KEY, "first", "n", "mini"])
 
     return run
 
 
-def _only_minimisers(k: int, m: int):
+def _only_minimisers(k: int, m: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column("text")):
-                *_, mini, several = super_kmers(Words(data, offsets), k, m)
+                words = Words(data, offsets)
+                doc, first, n, mini, several = super_kmers(words, k, m, seed)
+                a = words.ptr[doc] + first
+                size = words.ends[a + n + k - 2] - words.starts[a] + ROW if len(a) else a
                 mini, which = np.unique(mini, return_inverse=True)
-                n = np.bincount(which, weights=1 + several, minlength=len(mini))
-                yield pa.RecordBatch.from_arrays([pa.array(mini.astype(np.int64)), pa.array(n.astype(np.int64))], names=["mini", "n"])
+                sums = [np.bincount(which, weights=x, minlength=len(mini)).astype(np.int64) for x in (1 + several, size)]
+                yield pa.RecordBatch.from_arrays([pa.array(mini.astype(np.int64)), *map(pa.array, sums)], names=["mini", "n", "size"])
 
     return run
 
@@ -148,11 +165,15 @@ def repeated_windows(words: Words, k: int) -> np.ndarray:
 
 def _count(k: int):
     def done(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        packed = table.column("packed").chunk(0) if table.num_rows else pa.array([], pa.binary())
-        where = np.frombuffer(packed.buffers()[1], dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64)
-        data = np.frombuffer(packed.buffers()[2], dtype=np.uint8)[where[0] : where[-1]]
-        words = Words(data, where - where[0])
+        table = pa.Table.from_batches(rows)
+        if not table.num_rows:
+            return
+        sizes, parts = [], []
+        for x in table.column("packed").chunks:
+            where = np.frombuffer(x.buffers()[1], dtype=np.int32)[x.offset : x.offset + len(x) + 1].astype(np.int64)
+            sizes.append(np.diff(where))
+            parts.append(np.frombuffer(x.buffers()[2], dtype=np.uint8)[where[0] : where[-1]])
+        words = Words(np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]))
         at = full_starts(words.ptr, k)[repeated_windows(words, k)]
         if len(at):
             row = np.searchsorted(words.ptr, at, side="right") - 1
@@ -211,32 +232,47 @@ def _cover(k: int):
     return run
 
 
+def repeated_spans(texts: DataFrame, k: int, m: int, hot: int, level: int = 0) -> DataFrame:
+    """(_k1, _k2, start, end): word ranges of the rows (_k1, _k2, text) whose windows also start anywhere else among the rows."""
+    pair, seed = "_k1 long, _k2 long", SEEDS[level]
+    repeated = texts.select("text").mapInArrow(_only_minimisers(k, m, seed), "mini long, n long, size long").groupBy("mini").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
+    repeated = cut(repeated.where("n > 1").select("mini", "size"))
+    most = repeated.agg(F.max("size")).first()[0] or 0
+    places = texts.mapInArrow(_minimisers(k, m, seed), f"{pair}, first int, n int, mini long").join(repeated, "mini")
+
+    def packed(which: DataFrame, windows: bool) -> DataFrame:
+        at = which.groupBy(*KEY).agg(F.collect_set(F.struct("first", "n", "mini")).alias("at"))
+        return texts.join(at, KEY).mapInArrow(_pack(k, windows), f"mini long, {pair}, first int, packed binary")
+
+    strings = packed(places.where(F.col("size") <= hot), False)
+    found = strings.repartition("mini").sortWithinPartitions("mini").mapInArrow(_count(k), f"{pair}, start int, `end` int")
+    if most <= hot:
+        return found
+    rest = places.where(F.col("size") > hot)
+    if level + 1 < len(SEEDS):
+        own = [F.xxhash64(F.lit(x), "packed").alias(x) for x in KEY]
+        several = cut(packed(rest, False).select(F.struct(*KEY, "first").alias("at"), *own, "packed"))
+        # one of each; the number of words of those that come several times is what is repeated of them
+        single = cut(several.groupBy(*KEY, "packed").agg(F.count("*").alias("copies")).withColumn("text", F.col("packed").cast("string")))
+        whole = single.where("copies > 1").select(*KEY, F.lit(0).alias("start"), F.size(F.split("text", " ")).alias("end"))
+        inside = repeated_spans(single.select(*KEY, "text"), k, m, hot, level + 1)
+        spans = whole.unionByName(inside)
+        back = several.select("at", *KEY).join(spans, KEY).select("at.*", "start", "end")
+        return found.unionByName(back.select(*KEY, (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end")))
+    single = packed(rest, True).select(*KEY, "first", "packed")
+    twice = single.groupBy("packed").agg(F.count("*").alias("c")).where("c > 1")
+    return found.unionByName(single.join(twice, "packed").select(*KEY, F.col("first").alias("start"), (F.col("first") + k).alias("end")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35, m: int = 8, hot: int = HOT) -> DataFrame:
     """Per row of docs: id_col, n_words, n_removed, removed (word ranges, end exclusive) and kept_text.
 
     A word goes if a window of k words covers it whose word sequence also starts anywhere else, in the same text or another.
     """
     keyed = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
-    pair = "_k1 long, _k2 long"
-    texts = keyed.select(*KEY, "text")
-    repeated = cut(texts.select("text").mapInArrow(_only_minimisers(k, m), "mini long, n long").groupBy("mini").agg(F.sum("n").alias("total")).where("total > 1"))
-    most = repeated.agg(F.max("total")).first()[0] or 0
-    places = texts.mapInArrow(_minimisers(k, m), f"{pair}, first int, n int, mini long").join(repeated, "mini")
-
-    def packed(which: DataFrame, windows: bool) -> DataFrame:
-        at = which.groupBy(*KEY).agg(F.collect_set(F.struct("first", "n", "mini")).alias("at"))
-        return keyed.join(at, KEY).mapInArrow(_pack(k, windows), f"mini long, {pair}, first int, packed binary")
-
-    strings = packed(places.where(F.col("total") <= hot), False)
-    found = strings.repartition("mini").sortWithinPartitions("mini").mapInArrow(_count(k), f'{pair}, start int, `end` int')
-    if most > hot:
-        single = packed(places.where(F.col("total") > hot), True).select(*KEY, "first", "packed")
-        twice = single.groupBy("packed").agg(F.count("*").alias("c")).where("c > 1")
-        found = found.unionByName(single.join(twice, "packed").select(*KEY, F.col("first").alias("start"), (F.col("first") + k).alias("end")))
+    found = repeated_spans(keyed, k, m, hot)
     spans = found.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("at"))
     kind = docs.schema[id_col].dataType.simpleString()
     # keyed has the same columns here as in packed(), so its rows are shuffled once for both joins
     out = keyed.join(spans, KEY, "left")
     return out.mapInArrow(_cover(k), f"id {kind}, n_words long, n_removed long, removed array<struct<start:int,`end`:int>>, kept_text string").withColumnRenamed("id", id_col)
-
-
