@@ -4,26 +4,34 @@ A source's weight is its share of tokens to the power of an exponent, normalised
 keeps every source's repetitions within `max_repeats` or, with `target_entropy`, one that meets that entropy (in nats) if
 it isn't less than that. The budget is the number of tokens of the mix; by default the least at which no source is cut.
 
-A source's share of the budget is so many epochs of it. Its documents lie in blocks by a hash (a power of two of them, at most
-MOST_BLOCKS); each epoch visits the blocks in a permutation of its own (multiplication by an odd number and a shift). All
+A source's share of the budget is so many epochs of it. Its documents lie in blocks by a hash (a power of two of them, that grows with
+the root of their number); each epoch visits the blocks in a permutation of its own (multiplication by an odd number and a shift). All
 but the last epoch are whole; the last takes blocks in that order while their tokens fit, and in the block where they
 stop, documents in hash order. That stop is one row per source, so no document is joined with another and a source with a
 third of all rows is one row of a small plan. `mix_order` says where a copy stands, so that a reader in that order gets the
 sources in their weights all along.
 
+Sources may be many: without a budget and an entropy the exponent follows from the least and the largest share; otherwise each
+halving needs sums over all sources, of which SECTION exponents are taken at once. Nothing is gathered but such sums. A budget that
+no exponent meets within `max_repeats` is a ValueError. Columns of the input named n_tokens, epoch, weight or mix_order are replaced.
+
 Nulls: a null source is a source; a null text has no tokens. Documents without tokens are free and come once. Repeated rows
 are taken or left together.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsieve.llm.common import KEY, cut, row_key
 
 MAX_REPEATS = 2.0
-MOST_BLOCKS = 4096
+SECTION = 64
+"""Exponents that one pass over the sources tries: six halvings."""
 BLOCK_DOCS = 64
 SEED = 17
 BROADCAST_SOURCES = 100_000
@@ -33,29 +41,46 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def exponent(stats: DataFrame, budget: float | None, max_repeats: float, target_entropy: float | None) -> DataFrame:
-    """One row: exponent, from the rows (source, t) with t > 0. Sixty bisections, in one row's arrays of a number per source."""
-    one = stats.where("t > 0").agg(F.sort_array(F.collect_list(F.col("t").cast("double"))).alias("ts"), F.sum("t").cast("double").alias("total"))
-    z = "aggregate(ts, 0D, (b, t) -> b + pow(t / total, m))"
-    if budget is None:
-        repeats = "array_max(transform(ts, t -> pow(t / total, m - 1))) / array_min(transform(ts, t -> pow(t / total, m - 1)))"
-    else:
-        repeats = f"{float(budget)!r}D / total * array_max(transform(ts, t -> pow(t / total, m - 1))) / {z}"
-    entropy = f"(ln({z}) - m * aggregate(ts, 0D, (b, t) -> b + pow(t / total, m) * ln(t / total)) / {z})"
+def _bisect(top: float, fits: Callable[[list[float]], list[bool]], rounds: int) -> float:
+    """The least exponent in (0, top] that fits, all above it fitting too; so many rounds of SECTION parts."""
+    low, high = 0.0, top
+    for _ in range(rounds):
+        tried = [low + (high - low) * i / SECTION for i in range(1, SECTION)]
+        n = sum(not x for x in fits(tried))
+        low, high = [low, *tried][n], [*tried, high][n]
+    return high
 
-    def bisect(top: float, fits: str) -> str:
-        return f"""aggregate(sequence(1, 60), named_struct('lo', 0D, 'hi', {top}D), (a, i) -> transform(array((a.lo + a.hi) / 2),
-            m -> if({fits}, named_struct('lo', a.lo, 'hi', m), named_struct('lo', m, 'hi', a.hi)))[0]).hi"""
 
-    least = bisect(1.0, f"{repeats} <= {float(max_repeats)!r}D")
+def exponent(stats: DataFrame, budget: float | None, max_repeats: float, target_entropy: float | None) -> float:
+    """The exponent for the rows (source, t) with t > 0."""
+    used = stats.where("t > 0")
+    r = used.agg(F.sum("t").cast("double").alias("total"), F.min("t").cast("double").alias("low"), F.max("t").cast("double").alias("high")).first()
+    if not r.total:
+        return 1.0
+
+    def sums(ms: list[float]) -> list[tuple[float, float]]:
+        """For each exponent: the sum of the powers of all shares, and that of powers times logarithms."""
+        p = F.col("t") / F.lit(r.total)
+        x = used.agg(*(f(F.pow(p, F.lit(m))).alias(f"{n}{i}") for i, m in enumerate(ms) for n, f in (("z", F.sum), ("l", lambda c: F.sum(c * F.log(p)))))).first()
+        return [(x[f"z{i}"], x[f"l{i}"]) for i in range(len(ms))]
+
+    least = lambda m: (r.low / r.total) ** (m - 1)  # noqa: E731  the repeats of the smallest source, before normalising
+    if budget is None:
+        found = _bisect(1.0, lambda ms: [least(m) / (r.high / r.total) ** (m - 1) <= max_repeats for m in ms], 10)
+    else:
+        if budget / r.total > max_repeats:
+            raise ValueError(f"a budget of {budget} tokens needs {budget / r.total:.3f} repeats of {r.total:.0f} tokens, {max_repeats} are allowed")
+        found = 0.0 if budget / r.total * least(0.0) / sums([0.0])[0][0] <= max_repeats else _bisect(1.0, lambda ms: [budget / r.total * least(m) / z <= max_repeats for m, (z, _) in zip(ms, sums(ms))], 8)
     if target_entropy is not None:
-        least = f"greatest({least}, {bisect(16.0, f'{entropy} <= {float(target_entropy)!r}D')})"
-    return one.selectExpr(f"if(size(ts) > 0, {least}, 1D) AS exponent")
+        found = max(found, _bisect(16.0, lambda ms: [math.log(z) - m * w / z <= target_entropy for m, (z, w) in zip(ms, sums(ms))], 8))
+    return found
 
 
 def _blocks(n: Column) -> Column:
-    """A power of two: about a block for each BLOCK_DOCS documents, at most MOST_BLOCKS."""
-    return F.least(F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n / BLOCK_DOCS, F.lit(1.0))))), F.lit(float(MOST_BLOCKS))).cast("long")
+    """A power of two: about a block for each BLOCK_DOCS documents, and at most some times their number's root, as one task each
+    reads a source's blocks and the documents of one block."""
+    power = lambda x: F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(x, F.lit(1.0)))))
+    return F.least(power(n / BLOCK_DOCS), power(8 * F.sqrt(n))).cast("long")
 
 
 def _place(epoch: Column) -> Column:
@@ -68,7 +93,7 @@ def _place(epoch: Column) -> Column:
 def plan(rows: DataFrame, budget: float | None = None, max_repeats: float = MAX_REPEATS, target_entropy: float | None = None) -> DataFrame:
     """Per source: its share, weight, epochs, and where its last epoch stops. rows: source, n_tokens, _k1, _k2."""
     stats = cut(rows.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")))
-    power = exponent(stats, budget, max_repeats, target_entropy).first()[0]
+    power = exponent(stats, budget, max_repeats, target_entropy)
     raw = F.when(F.col("t") > 0, F.pow(F.col("t") / F.lit(float(stats.agg(F.sum("t")).first()[0] or 1)), F.lit(power))).otherwise(F.lit(0.0))
     shares = stats.withColumn("raw", raw)
     totals = shares.agg(F.sum("raw").alias("z"), F.max(F.when(F.col("raw") > 0, F.col("t") / F.col("raw"))).alias("most"), F.sum("t").alias("all")).first()
@@ -81,7 +106,7 @@ def plan(rows: DataFrame, budget: float | None = None, max_repeats: float = MAX_
     placed = _with_blocks(rows.where("n_tokens > 0"), out.where("part > 0")).withColumn("place", _place(F.col("whole")))
     sums = placed.groupBy("source", "place", "part").agg(F.sum("n_tokens").alias("s"))
     before = F.sum("s").over(Window.partitionBy("source").orderBy("place")) - F.col("s")
-    # a source has at most MOST_BLOCKS sums; the edge is the block in which the part is used up
+    # a source has as many sums as blocks; the edge is the block in which the part is used up
     edge = cut(sums.withColumn("before", before).where("before <= part and before + s > part").select("source", F.col("place").alias("edge"), (F.col("part") - F.col("before")).alias("left")))
     order = F.struct("h", *KEY)
     at_edge = placed.join(edge, placed.source.eqNullSafe(edge.source) & (placed.place == edge.edge)).select(placed.source, "h", *KEY, "n_tokens", "left")

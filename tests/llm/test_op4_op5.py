@@ -3,6 +3,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+import xxhash
 
 from recsieve.llm import mixing, queries, url_filter
 
@@ -118,8 +120,73 @@ def test_mix_budget_entropy_and_edges(spark):
     h = -(p * np.log(p)).sum()
     stats = spark.createDataFrame([(s, n) for s, n in have.items()], "source string, t long")
     for goal in (h + 0.1, h - 0.1):
-        m = mixing.exponent(stats, 1.0, 1e9, goal).first()[0]
+        m = mixing.exponent(stats, 1.0, 1e9, goal)
         w = p**m / (p**m).sum()
         assert abs(-(w * np.log(w)).sum() - goal) < 1e-6
     assert mixing.mix(df.where("false")).count() == 0
     assert mixing.mix(df.where("doc_id >= 5000")).count() == 4
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of longs, ints and strings; a null leaves the hash as it is."""
+    seed = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else int(v[0]).to_bytes(4, "little", signed=True) if isinstance(v, tuple) else int(v).to_bytes(8, "little", signed=True)
+            # an int is hashed in four bytes, a long in eight
+            seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def brute_mix(rows, max_repeats=2.0):
+    """(doc_id, epoch, mix_order) of all copies, from (doc_id, text, source): the plan and every document's place, in plain Python."""
+    docs = []
+    for d, text, source in rows:
+        keys = spark_hash("id", d), spark_hash("text", text)
+        docs.append((d, source, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")), keys, spark_hash((mixing.SEED,), *keys)))
+    have, count = Counter(), Counter()
+    for _, s, n, _, _ in docs:
+        have[s] += n
+        count[s] += 1
+    total = sum(have.values())
+    shares = [n / total for n in have.values() if n]
+    m = max(0.0, 1 - math.log(max_repeats) / math.log(max(shares) / min(shares))) if max(shares) > min(shares) else 0.0
+    raw = {s: (n / total) ** m if n else 0.0 for s, n in have.items()}
+    z, most = sum(raw.values()), max(have[s] / raw[s] for s in have if have[s])
+    out, power = [], lambda x: 2 ** math.ceil(math.log2(max(x, 1)))
+    for s in have:
+        epochs = round(raw[s] / z * most * z / have[s], 6) if have[s] else 0.0
+        blocks = min(power(count[s] / mixing.BLOCK_DOCS), power(8 * math.sqrt(count[s])))
+
+        def place(block, epoch, s=s, blocks=blocks):
+            mixed = spark_hash((mixing.SEED,), s, (epoch,))
+            return (block * (2 * (mixed % (1 << 20)) + 1) + (mixed >> 21) % (1 << 20)) % blocks
+
+        left, last = int((epochs - int(epochs)) * have[s] + 1e-6), set()
+        own = [d for d in docs if d[1] == s]
+        for d in sorted((d for d in own if d[2]), key=lambda d: (place(d[4] % blocks, int(epochs)), d[4] % (1 << 64), d[3])):
+            if d[2] > left:
+                break
+            left -= d[2]
+            last.add(d[0])
+        for d, _, n, _, h in own:
+            for epoch in range(int(epochs) + (d in last) if n else 1):
+                out.append((d, epoch, round((epoch + (place(h % blocks, epoch) + h % (1 << 64) / 2**64) / blocks) / max(epochs, 1), 5)))
+    return sorted(out, key=str)
+
+
+def test_mix_copies_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    sizes = {"big": 1500, "middle": 400, "small": 120, None: 30}
+    rows = [(10_000 * i + x, "w " * int(rng.integers(0, 40)), s) for i, (s, n) in enumerate(sizes.items()) for x in range(n)] + [(90_000, None, "big"), (90_001, "", "none"), (90_002, "long " * 3_000, "middle")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = brute_mix(rows)
+    assert sorted((r.doc_id, r.epoch) for r in got) == sorted(w[:2] for w in want)
+    assert max(abs(a[2] - b[2]) for a, b in zip(sorted((r.doc_id, r.epoch, r.mix_order) for r in got), sorted(want))) < 1e-4
+
+
+def test_budgets_out_of_reach(spark):
+    df = spark.createDataFrame([(1, "a b c", "x"), (2, "d", "y")], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):
+        mixing.mix(df, budget=9, max_repeats=2)
+    assert sum(r.n_tokens for r in mixing.mix(df, budget=8, max_repeats=2).collect()) == 8
