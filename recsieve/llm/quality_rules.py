@@ -6,7 +6,9 @@ number of rules rows, whatever the input's size. A text is kept if the posterior
 No single rule has to pass.
 
 A base check goes first: texts under 50 words, or with more than half of their words in repeated 3-word windows, are rejected.
-Were they left in, they'd be the whole of the class of bad texts, and other faults would be taken for chance.
+Were they left in, they'd be the whole of the class of bad texts, and other faults would be taken for chance. So the rule on length,
+whose bad vote the base check has taken, can only speak for a text.
+
 Nulls: a null text is empty and so rejected; a null id is an id like others. Repeated rows get equal results.
 """
 
