@@ -1,7 +1,7 @@
 """A quality classifier: gradient-boosted trees on histograms of document statistics.
 
-Trees are grown on the driver from a bounded sample of labelled rows (`sample`, those of least id hash), on binned
-features, level by level, from sums of gradients per bin. The ensemble is flattened into five arrays (feature, threshold, left,
+Trees are grown on the driver from a bounded sample of labelled rows (`sample`: labels of least id hash, and of the texts with those
+ids, which may be more, rows of least hash), on binned features, level by level, from sums of gradients per bin. The ensemble is flattened into five arrays (feature, threshold, left,
 right, value) and applied to whole Arrow batches: all texts go down one level of one tree at once.
 
 Nulls: a null text is empty and gets a score like any other; rows with a null label aren't learned from; a null id is not held
@@ -122,12 +122,13 @@ def held_out(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Trees:
-    """Trees from at most `sample` labelled rows that aren't held out."""
+    """Trees from at most `sample` labelled rows that aren't held out, however many texts share an id."""
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     chosen = usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(stats_batches, f"id {kind}, label int, {SCHEMA}").toPandas()
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(stats_batches, f"id {kind}, label int, {SCHEMA}")
+    rows = rows.orderBy(F.xxhash64("id", "label", *NAMES), "id", "label", *NAMES).limit(sample).toPandas()
     rows = rows.sort_values(["id", "label", *NAMES])
     return fit(features(rows[NAMES].to_numpy()), (rows["label"].to_numpy() > 0).astype(float))
 

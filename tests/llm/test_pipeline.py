@@ -1,9 +1,9 @@
 from collections import Counter
 
 import corpus_pipeline
-from recsieve.llm import quality_rules
 from test_op2 import brute as near_groups
 from test_op6_op10 import contaminated, found
+from test_op7_op8 import plain_verdicts
 
 
 def test_stages_against_brute_force(spark):
@@ -14,7 +14,8 @@ def test_stages_against_brute_force(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "redact_secrets", "mix_sources"]
 
     kept = stage["quality_rules"](spark, docs, sf)
-    good = {r.doc_id for r in quality_rules.judge(docs).where("kept").select("doc_id").collect()}
+    every = [(r.doc_id, r.text) for r in docs.collect()]
+    good = {d for (d, _), (_, ok) in zip(every, plain_verdicts([t for _, t in every])) if ok}
     rows = [(r.doc_id, r.text) for r in kept.collect()]
     assert {d for d, _ in rows} == good and len(rows) == len(good) < docs.count()
 
