@@ -187,29 +187,35 @@ FROM b
 
 
 def _op4_sql() -> str:
-    from recsieve.llm.url_filter import RULES, STRENGTH, SYMBOLS
+    from recsieve.llm.url_filter import MIN_SHARE, MODELS, ORDER, RULES, STRENGTH, SYMBOLS
 
     rules = sorted(RULES, key=lambda r: -len(r[1]))
     fits = lambda t: "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')".format(*t.split("/", 1))
     case = lambda at: "CASE " + " ".join(f"WHEN {fits(r[1])} THEN '{r[at]}'" for r in rules) + " END"
-
-    def log(kind: str) -> str:
-        n = lambda by: f"(sum({kind}) OVER ({by}))"
-        one = f"(({n('PARTITION BY g[3]')} + 1) / ({n('')} + {SYMBOLS})::DOUBLE)"
-        two = f"(({n('PARTITION BY g[2:3]')} + {STRENGTH} * {one}) / ({n('PARTITION BY g[2]')} + {STRENGTH}))"
-        return f"ln(({kind} + {STRENGTH} * {two}) / ({n('PARTITION BY g[1:2]')} + {STRENGTH}))"
+    of = {"all": "", "first": " AND half = 0", "second": " AND half = 1"}
+    names = [f"{m}_{k}" for m in MODELS for k in ("allow", "block")]
+    each = lambda form: ", ".join(form.format(n=n) for n in names)
+    counted = ", ".join(f"coalesce(sum(n) FILTER (WHERE said = '{k}'{of[m]}), 0) AS {m}_{k}" for m in MODELS for k in ("allow", "block"))
+    levels = [f"l0 AS (SELECT g, {each('({n} + 1) / (of_{n} + ' + str(SYMBOLS) + ')::DOUBLE AS {n}')} FROM nodes WHERE length(g) = 1)"]
+    levels += [f"l{k} AS (SELECT a.g, {each('(a.{n} + ' + str(STRENGTH) + '::DOUBLE * b.{n}) / (a.of_{n} + ' + str(STRENGTH) + '::DOUBLE) AS {n}')} FROM nodes a JOIN l{k - 1} b ON length(a.g) = {k + 1} AND a.g[2:] = b.g)" for k in range(1, ORDER + 1)]
+    joins = " ".join(f"LEFT JOIN l{k} ON l{k}.g = g.g[{ORDER + 1 - k}:]" for k in range(ORDER + 1))
+    ratio = lambda m: "coalesce(" + ", ".join(f"ln(l{k}.{m}_allow) - ln(l{k}.{m}_block)" for k in reversed(range(ORDER + 1))) + ")"
 
     return f"""
     WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
     hp AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-    j AS (SELECT *, {case(1)} AS rule, {case(0)} AS said, '^^' || regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9./_-]', '*', 'g') || '$' AS s FROM hp),
-    u AS (SELECT host, path, said, s, count(*) AS n FROM j GROUP BY ALL),
-    grams AS (SELECT host, path, said, n, substr(s, i, 3) AS g FROM (SELECT *, unnest(range(1, length(s) - 1)) AS i FROM u)),
-    counts AS (SELECT g, coalesce(sum(n) FILTER (WHERE said = 'allow'), 0)::DOUBLE AS allow, coalesce(sum(n) FILTER (WHERE said = 'block'), 0)::DOUBLE AS block FROM grams GROUP BY g),
-    ratios AS (SELECT g, {log('allow')} - {log('block')} AS ratio FROM counts),
-    scores AS (SELECT host, path, round(avg(ratio), 9) AS score FROM grams JOIN ratios USING (g) GROUP BY host, path),
-    scored AS (SELECT page_id, host, path, rule, said, score FROM j JOIN scores USING (host, path)),
-    c AS (SELECT avg(score) FILTER (WHERE said = 'allow') AS ma, stddev_pop(score) FILTER (WHERE said = 'allow') AS sa, avg(score) FILTER (WHERE said = 'block') AS mb, stddev_pop(score) FILTER (WHERE said = 'block') AS sb FROM scored)
+    j AS (SELECT *, {case(1)} AS rule, {case(0)} AS said, '{'^' * ORDER}' || regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9./_-]', '*', 'g') || '$' AS s FROM hp),
+    u AS (SELECT host, path, said, s, CASE WHEN md5(host || path) < '8' THEN 0 ELSE 1 END AS half, count(*) AS n FROM j GROUP BY ALL),
+    grams AS MATERIALIZED (SELECT host, path, said, half, n, substr(s, i, {ORDER + 1}) AS g FROM (SELECT *, unnest(range(1, length(s) - {ORDER - 1})) AS i FROM u)),
+    long AS (SELECT g, {counted} FROM grams GROUP BY g),
+    counts AS (SELECT g[-k:] AS g, {each('sum({n}) AS {n}')} FROM long, range(1, {ORDER + 2}) AS x(k) GROUP BY ALL),
+    sums AS (SELECT *, {each('sum({n}) OVER (PARTITION BY g[:-2]) AS of_{n}')} FROM (SELECT * FROM counts WHERE length(g) > 1)
+      UNION ALL SELECT *, {each('sum({n}) OVER () AS of_{n}')} FROM (SELECT * FROM counts WHERE length(g) = 1)),
+    nodes AS MATERIALIZED (SELECT * FROM sums WHERE length(g) = 1 OR of_all_allow + of_all_block >= {MIN_SHARE}::DOUBLE * (SELECT sum(all_allow + all_block) FROM counts WHERE length(g) = 1)),
+    {", ".join(levels)},
+    scores AS (SELECT host, path, round(avg({ratio("all")}), 9) AS score, round(avg(CASE WHEN half = 0 THEN {ratio("second")} ELSE {ratio("first")} END), 9) AS unseen FROM grams g {joins} GROUP BY host, path),
+    scored AS (SELECT page_id, host, path, rule, said, score, unseen FROM j JOIN scores USING (host, path)),
+    c AS (SELECT avg(unseen) FILTER (WHERE said = 'allow') AS ma, stddev_pop(unseen) FILTER (WHERE said = 'allow') AS sa, avg(unseen) FILTER (WHERE said = 'block') AS mb, stddev_pop(unseen) FILTER (WHERE said = 'block') AS sb FROM scored)
     SELECT page_id, host, path, rule, coalesce(said, CASE WHEN ma IS NULL OR mb IS NULL OR score >= round(CASE WHEN sa + sb > 0 THEN (ma * sb + mb * sa) / (sa + sb) ELSE (ma + mb) / 2 END, 9) THEN 'allow' ELSE 'block' END) AS verdict FROM scored, c"""
 
 

@@ -1,3 +1,5 @@
+import functools
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -22,28 +24,32 @@ def judge(rows):
             if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
                 rule, said = text, say
         out.append((i, host, path, rule, said))
-    grams = lambda s: [("^^" + s + "$")[j : j + 3] for j in range(len(s) + 1)]
-    fold = lambda h, p: re.sub(r"[^a-z0-9./_-]", "*", (h + p).translate(A_Z))
-    count = {"allow": Counter(), "block": Counter()}
+    order, fold = url_filter.ORDER, lambda h, p: re.sub(r"[^a-z0-9./_-]", "*", (h + p).translate(A_Z))
+    half = lambda h, p: 0 if hashlib.md5((h + p).encode()).hexdigest() < "8" else 1
+    places = lambda s: [("^" * order + s)[j : j + order] + c for j, c in enumerate(s + "$")]
+    seen = {(m, k): Counter() for m in ("all", 0, 1) for k in ("allow", "block")}
     for _, h, p, _, said in out:
         if said:
-            count[said].update(grams(fold(h, p)))
-    tables = {}
-    for kind, c in count.items():
-        t = defaultdict(int)
+            for g in places(fold(h, p)):
+                for m in ("all", half(h, p)):
+                    seen[m, said].update(g[j:] for j in range(order + 1))
+    total = {key: Counter() for key in seen}
+    for key, c in seen.items():
         for g, n in c.items():
-            for key in (("c", g[2]), ("bc", g[1:]), ("b", g[1]), ("ab", g[:2]), ("n",)):
-                t[key] += n
-        tables[kind] = (c, t)
-
-    def log_p(kind, g):
-        c, t = tables[kind]
-        one = (t["c", g[2]] + 1) / (t["n",] + 43)
-        two = (t["bc", g[1:]] + 5 * one) / (t["b", g[1]] + 5)
-        return math.log((c[g] + 5 * two) / (t["ab", g[:2]] + 5))
-
-    scores = [round(float(np.mean([log_p("allow", g) - log_p("block", g) for g in grams(fold(h, p))])), 9) for _, h, p, _, _ in out]
-    stats = {k: (np.mean(x), np.std(x)) for k in count if (x := [s for s, r in zip(scores, out) if r[4] == k])}
+            total[key][g[:-1]] += n
+    enough = url_filter.MIN_SHARE * (total["all", "allow"][""] + total["all", "block"][""])
+    used = lambda context: total["all", "allow"][context] + total["all", "block"][context] >= enough
+
+    @functools.cache
+    def p(key, g):
+        if len(g) == 1:
+            return (seen[key][g] + 1) / (total[key][""] + 43)
+        return (seen[key][g] + 5 * p(key, g[1:])) / (total[key][g[:-1]] + 5) if used(g[:-1]) else p(key, g[1:])
+
+    score = lambda m, s: round(float(np.mean([math.log(p((m, "allow"), g)) - math.log(p((m, "block"), g)) for g in places(s)])), 9)
+    scores = [score("all", fold(h, q)) for _, h, q, _, _ in out]
+    unseen = [score(1 - half(h, q), fold(h, q)) for _, h, q, _, _ in out]
+    stats = {k: (np.mean(x), np.std(x)) for k in ("allow", "block") if (x := [s for s, r in zip(unseen, out) if r[4] == k])}
     if len(stats) == 2:
         (ma, sa), (mb, sb) = stats["allow"], stats["block"]
         at = round((ma * sb + mb * sa) / (sa + sb) if sa + sb else (ma + mb) / 2, 9)
