@@ -5,9 +5,8 @@ texts are good, are estimated by expectation-maximisation over the counts of vot
 number of rules rows, whatever the input's size. A text is kept if the posterior probability that it is good reaches a half.
 No single rule has to pass.
 
-A base check goes first: texts under 50 words, or with more than half of their words in repeated 3-word windows, are rejected.
-Were they left in, they'd be the whole of the class of bad texts, and other faults would be taken for chance. So the rule on length,
-whose bad vote the base check has taken, can only speak for a text.
+A base check rejects texts under 50 words, or with more than half of their words in repeated 3-word windows, whatever the rules say of
+them. They count in the estimates like others.
 
 Nulls: a null text is empty and so rejected; a null id is an id like others. Repeated rows get equal results.
 """
@@ -74,8 +73,7 @@ def posterior(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: id_col, _k1, _k2, text_stats, base_failed, votes, p_good (null
-    for votes that only texts with base_failed have), kept."""
+    """Per row of docs: id_col, _k1, _k2, text_stats, base_failed, votes, p_good, kept."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
     stats = rows.mapInArrow(stats_batches, f"id {kind}, _k1 long, _k2 long, {SCHEMA}")
@@ -86,13 +84,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = cut(stats.withColumn("votes", votes.cast("int")).withColumn("base_failed", failed))
     # at most 3 ** len(names) rows come to the driver
-    found = sorted((r.votes, r["count"]) for r in stats.where("not base_failed").groupBy("votes").count().collect())
+    found = sorted((r.votes, r["count"]) for r in stats.groupBy("votes").count().collect())
     codes, counts = np.array([x[0] for x in found], dtype=np.int64), np.array([x[1] for x in found], dtype=float)
     patterns = np.stack([codes // 3 ** (len(names) - 1 - i) % 3 for i in range(len(names))], axis=1) if len(found) else np.zeros((0, len(names)))
     p = posterior(patterns, counts)
     table = docs.sparkSession.createDataFrame([(int(v), float(round(x, 9))) for v, x in zip(codes, p)], "votes int, p_good double")
     out = stats.join(F.broadcast(table), "votes", "left")
-    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("p_good") >= 0.5, F.lit(False))).withColumnRenamed("id", id_col)
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)).withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -85,12 +85,12 @@ def plain_posterior(votes):
 
 
 def plain_verdicts(texts):
-    """(p_good or None, kept) for each text."""
+    """(p_good, kept) for each text."""
     seen = [fourteen(t) for t in texts]
     failed = [base(t)[5] for t in texts]
     votes = [plain_votes(s) for s in seen]
-    p = plain_posterior([v for v, f in zip(votes, failed) if not f])
-    return [(p.get(v), not f and p[v] >= 0.5) for v, f in zip(votes, failed)]
+    p = plain_posterior(votes)
+    return [(p[v], not f and p[v] >= 0.5) for v, f in zip(votes, failed)]
 
 
 ODD = ["", None, " \n\t\n", "é ü\n\né ü.\n # a", "a b c a b c!\r\n\x0b\nA1 \x85 \u00a0.\u00a0", "x" * 100_000, "Wörter sind länger?! " * 30_000]
@@ -114,7 +114,7 @@ def test_verdicts_against_plain_python(spark):
     for r in got:
         p, kept = want[r.doc_id]
         assert r.kept == kept
-        assert (r.p_good is None and p is None) or abs(r.p_good - p) < 1e-6
+        assert abs(r.p_good - p) < 1e-6
     assert {r.kept for r in got if not r.base_failed} == {True, False}
 
 
