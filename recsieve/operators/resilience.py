@@ -25,7 +25,35 @@ def preset_breaker_log(calls: DataFrame, others: tuple[int, float] = (3, 300.0))
     return breaker_log(rows.drop("_service").withColumns({"threshold": F.coalesce("threshold", F.lit(others[0])), "reset_after": F.coalesce("reset_after", F.lit(others[1])).cast("double")}))
 
 
-def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: float | None = None) -> DataFrame:
+def _before(rows: DataFrame, slice_s: float) -> DataFrame:
+    """Per service and slice of time that has calls: the last call's t of the slices before (null for the first)."""
+    ends = rows.groupBy("service", F.floor(F.col("t") / slice_s).alias("slice")).agg(F.max("t").alias("end"))
+    return ends.select("service", "slice", F.lag("end").over(Window.partitionBy("service").orderBy("slice")).alias("before"))
+
+
+def _by_slice(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows with the columns that table has for their service and slice."""
+    named = table.withColumnsRenamed({"service": "_service", "slice": "_slice"})
+    return rows.join(named, F.col("service").eqNullSafe(F.col("_service")) & F.col("slice").eqNullSafe(F.col("_slice"))).drop("_service", "_slice")
+
+
+def _sessions(rows: DataFrame, slice_s: float) -> DataFrame:
+    """rows with `session`: how many calls up to this one are successes that come reset_after or more after the call before.
+
+    Both the call before and the count are found within slices of time; slices are put together on their own, so no task sorts a
+    whole service.
+    """
+    order = Window.partitionBy("service", "slice").orderBy("t", "id")
+    sliced = _by_slice(rows.withColumn("slice", F.floor(F.col("t") / slice_s)), _before(rows, slice_s))
+    fresh = F.col("ok") & (F.col("t") - F.coalesce(F.lag("t").over(order), F.col("before")) >= F.col("reset_after"))
+    marked = sliced.withColumn("fresh", F.coalesce(fresh, F.lit(False)).cast("int")).drop("before")
+    totals = marked.groupBy("service", "slice").agg(F.sum("fresh").alias("n"))
+    earlier = totals.select("service", "slice", (F.sum("n").over(Window.partitionBy("service").orderBy("slice")) - F.col("n")).alias("earlier"))
+    out = _by_slice(marked.withColumn("here", F.sum("fresh").over(order)), earlier)
+    return out.withColumn("session", F.col("earlier") + F.col("here")).drop("slice", "fresh", "here", "earlier")
+
+
+def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: float | None = None, slice_s: float = 3600.0) -> DataFrame:
     """Per call (service, t in seconds, id, ok): whether it was allowed, and failures and state after it.
 
     A denied call has no outcome. A breaker opens at `threshold` failures in a row, is half open (all calls pass) once
@@ -36,9 +64,7 @@ def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: flo
     """
     own = {"threshold": F.lit(threshold) if threshold is not None else F.col("threshold"), "reset_after": F.lit(reset_after) if reset_after is not None else F.col("reset_after")}
     rows = calls.select("service", "t", "id", "ok", own["threshold"].cast("int").alias("threshold"), own["reset_after"].cast("double").alias("reset_after"))
-    order = Window.partitionBy("service").orderBy("t", "id")
-    fresh = F.col("ok") & (F.col("t") - F.lag("t").over(order) >= F.col("reset_after"))
-    rows = rows.withColumn("fresh", F.coalesce(fresh, F.lit(False)).cast("int")).withColumn("session", F.sum("fresh").over(order)).drop("fresh")
+    rows = _sessions(rows, slice_s)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, fails, last, is_open = None, 0, 0.0, False
@@ -77,9 +103,8 @@ def failure_runs(calls: DataFrame, slice_s: float = 3600.0) -> DataFrame:
     sliced = calls.withColumn("slice", F.floor(F.col("t") / slice_s))
     here = F.sum(F.col("ok").cast("int")).over(Window.partitionBy("service", "slice").orderBy("t", "id"))
     totals = sliced.groupBy("service", "slice").agg(F.sum(F.col("ok").cast("int")).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("service").orderBy("slice")) - F.col("n")
-    totals = totals.select(F.col("service").alias("_service"), F.col("slice").alias("_slice"), before.alias("before"))
-    rows = sliced.withColumn("here", here).where("not ok").join(totals, F.col("service").eqNullSafe(F.col("_service")) & F.col("slice").eqNullSafe(F.col("_slice")))
+    before = totals.select("service", "slice", (F.sum("n").over(Window.partitionBy("service").orderBy("slice")) - F.col("n")).alias("before"))
+    rows = _by_slice(sliced.withColumn("here", here).where("not ok"), before)
     return rows.groupBy("service", (F.col("before") + F.col("here")).alias("island")).agg(F.min("id").alias("first_id"), F.count("*").alias("run_length")).drop("island")
 
 

@@ -203,6 +203,9 @@ def test_breaker_sessions_and_presets(spark):
         want[i] = (allowed, fails, "open" if is_open else "closed")
     assert {r.id: (r.allowed, r.fails, r.state) for r in R.preset_breaker_log(df).collect()} == want
     assert [tuple(r) for r in R.breakers(spark).collect()] == R.BREAKERS
+    logs = [{r.id: (r.allowed, r.fails, r.state) for r in R.breaker_log(df, 3, 300.0, slice_s=w).collect()} for w in (0.5, 10.0, 450.0, 1e9)]
+    assert all(log == logs[0] for log in logs) and {i: x for i, x in logs[0].items() if rows[i][0] in ("grok", "x")} == {i: x for i, x in want.items() if rows[i][0] in ("grok", "x")}
+    assert R.breaker_log(df.where("false"), 3, 300.0).count() == 0
     runs, length = [], {}
     for s, _, i, ok in rows:
         if ok:
