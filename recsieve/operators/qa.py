@@ -13,6 +13,7 @@ from recsieve.functions.text import bullets, contains_any_case, error_hits, occu
 OUTREACH = ("[[OUTREACH_INTEL_AUTO_START]]", "[[OUTREACH_INTEL_AUTO_END]]")
 HIRING = ("[[HIRING_INTEL_AUTO_START]]", "[[HIRING_INTEL_AUTO_END]]")
 SECTIONS = [("DEAL SUMMARY", True, None), ("INVESTORS", True, None), ("SOURCES", True, None), ("OUTREACH INTEL (AUTO)", False, OUTREACH), ("HIRING INTELLIGENCE", False, HIRING)]
+INTEL, PACK = "FUNDRAISING INTEL", "SIGNAL PACK"
 STATUSES = ["PASS", "WARN", "FAIL", "SKIP"]
 
 
@@ -25,20 +26,23 @@ def archived(entry: Column) -> Column:
 
 
 def facts(mode: str = "literal") -> dict[str, Column]:
-    """What the rules ask of a page's content, and of that in upper case (`_up`). They are computed in a projection of their own, once for each page."""
-    content, up = _text("content"), F.col("_up")
+    """What the rules ask of a page's content, and of that in upper case (`_up`). They are computed in a projection of their own, once
+    for each page, and only for the types of pages whose rules ask for them; they are null for others."""
+    content, up, kind = _text("content"), F.col("_up"), _text("type")
     investors = section_literal(content, "INVESTORS", up) if mode == "literal" else section(content, "INVESTORS")
     marks = {"outreach_start": OUTREACH[0], "outreach_end": OUTREACH[1], "hiring_start": HIRING[0], "hiring_end": HIRING[1], "noise": "mcp_unavailable"}
+    intel = {"investors": investors, **{n: occurrences(content, m) for n, m in marks.items()}}
+    pack = {"snapshot": contains_any_case(content, "MARKET SNAPSHOT", up), "signal": contains_any_case(content, "SIGNAL", up)}
     return {
-        "hits": F.slice(error_hits(content, up), 1, 3), "investors": investors, "size": F.length(strip(content)),
-        "snapshot": contains_any_case(content, "MARKET SNAPSHOT", up), "signal": contains_any_case(content, "SIGNAL", up), **{n: occurrences(content, m) for n, m in marks.items()},
+        "hits": F.slice(error_hits(content, up), 1, 3), "size": F.when(kind.isin(INTEL, PACK), F.length(strip(content))),
+        **{n: F.when(kind == INTEL, c) for n, c in intel.items()}, **{n: F.when(kind == PACK, c) for n, c in pack.items()},
     }
 
 
 def qa_rules(mode: str = "literal") -> list[tuple[str, Column, Column]]:
     """(severity, condition, message) in the order in which issues are given. Columns: report_key, type, source_skill, run_id and the facts."""
     kind, say = _text("type"), F.lit
-    intel, pack = kind == "FUNDRAISING INTEL", kind == "SIGNAL PACK"
+    intel, pack = kind == INTEL, kind == PACK
     fact = {name: F.col(f"_fact_{name}") for name in facts(mode)}
     starts, ends = {n: fact[f"{n}_start"] for n in ("outreach", "hiring")}, {n: fact[f"{n}_end"] for n in ("outreach", "hiring")}
     hits, noise, size, n = fact["hits"], fact["noise"], fact["size"], bullets(fact["investors"])
