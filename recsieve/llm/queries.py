@@ -108,6 +108,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from recsieve.llm.byte_bpe import decode, encode, read_vocabulary
+
+    vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"secret_scan_with_ledger": secret_scan_with_ledger}
 
