@@ -118,6 +118,38 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _repeating(text, doc_id):
+    """The words of a tenth of the texts with a period put in, as a text; others as they are."""
+    from recsieve.llm.common import let
+
+    h, i64 = F.crc32(doc_id.cast("string").cast("binary")), lambda x: F.floor(x).cast("long")
+    g = i64(h / 10)
+
+    def changed(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + i64((n - a) / (3 + g % 8))
+        of = lambda x: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, F.when(i < x["a"], i).otherwise(x["a"] + (i - x["a"]) % x["p"]).cast("int")))
+        return F.when(n > 0, F.array_join(let(F.struct(a.alias("a"), p.alias("p")), of), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, let(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), changed)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.periodic_runs import find_runs
+
+    docs = table(spark, sf_dir, "documents")
+    found = find_runs(docs.select("doc_id", _repeating(F.col("text"), F.col("doc_id")).alias("text")))
+    stronger = lambda best, x: F.when(best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"]), x).otherwise(best)
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), stronger)
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"].cast("string"), x["length"].cast("string"), x["period"].cast("string")), F.lit("\n"))), "")
+    out = found.withColumn("best", best)
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"secret_scan_with_ledger": secret_scan_with_ledger}
 
@@ -238,8 +270,28 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)) + y))) AS h FROM documents),
+put AS (SELECT *, g % len(w) AS a, 1 + (len(w) - g % len(w)) // (3 + g % 8) AS p FROM (SELECT *, h // 10 AS g FROM d WHERE h % 10 = 0) WHERE len(w) > 0),
+e AS MATERIALIZED (SELECT doc_id, list_transform(range(0, len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) AS w FROM put
+  UNION ALL SELECT doc_id, w FROM d WHERE h % 10 <> 0 OR len(w) = 0),
+grams AS MATERIALIZED (SELECT doc_id, i, n, array_to_string(w[i + 1:i + 5], ' ') AS x FROM (SELECT doc_id, w, len(w) AS n, unnest(range(0, len(w) - 4)) AS i FROM e WHERE len(w) > 4)),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+islands AS (SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs) GROUP BY doc_id, q, k),
+runs AS MATERIALIZED (SELECT doc_id, s, l, min(q) AS q FROM islands WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l),
+by_doc AS (SELECT doc_id, count(*) AS n_runs, string_agg(s::BIGINT || ',' || l::BIGINT || ',' || q::BIGINT || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY l / q DESC, s, q) AS place FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM e) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period, (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM e LEFT JOIN by_doc USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": _OP1_SQL, "op2_near_dedup": _OP2_SQL, "op3_warc": _OP3_SQL, "op4_url_filter": _op4_sql(), "op6_secret_scan": _op6_sql(), "op9_chat_format": _OP9_SQL, "op10_decontaminate": _OP10_SQL,
+    "op12_periodic_runs": _OP12_SQL,
 }
 
 
