@@ -118,13 +118,16 @@ _LOWER[0x41:0x5B] += 0x20
 
 
 class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of some texts: byte ranges, and where each text's words begin in `ptr`."""
+    """The words `[^\\x20\\x09-\\x0D]+` of some texts: byte ranges, and where each text's words begin in `ptr`.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    `between`: which bytes part words, where they are others.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, between: np.ndarray = _SPACE):
         self.data = data = _LOWER[data] if lower else data
         self.offsets = offsets
         n = len(data)
-        space = _SPACE[data]
+        space = between[data]
         before = np.ones(n + 1, dtype=bool)
         before[1:] = space
         before[offsets] = True

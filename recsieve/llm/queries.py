@@ -150,6 +150,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsieve.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()} | {"secret_scan_with_ledger": secret_scan_with_ledger}
 
@@ -289,9 +295,25 @@ SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::B
 FROM e LEFT JOIN by_doc USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_OP13_SQL = r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+w AS MATERIALIZED (SELECT lang, w FROM (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece) WHERE len(w) > 0),
+total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS x(k) WHERE len(w) >= k)) GROUP BY ALL HAVING count(*) >= 100),
+cand AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1),
+inner_ AS (SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(a) AS most FROM (SELECT lang, p, a, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 5) AS x(m) WHERE m < k) GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inner_ USING (lang, phrase) WHERE coalesce(100 * most < 100 * a, true)),
+cuts AS (SELECT lang, k, phrase, a, c, array_to_string(p[1:c], ' ') AS x, array_to_string(p[c + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS c FROM kept)),
+scores AS (SELECT cuts.*, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score FROM cuts JOIN f l ON cuts.lang = l.lang AND x = l.phrase JOIN f r ON cuts.lang = r.lang AND y = r.phrase JOIN total ON cuts.lang = total.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": _OP1_SQL, "op2_near_dedup": _OP2_SQL, "op3_warc": _OP3_SQL, "op4_url_filter": _op4_sql(), "op6_secret_scan": _op6_sql(), "op9_chat_format": _OP9_SQL, "op10_decontaminate": _OP10_SQL,
-    "op12_periodic_runs": _OP12_SQL,
+    "op12_periodic_runs": _OP12_SQL, "op13_collocations": _OP13_SQL,
 }
 
 
