@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from recsieve.llm.common import Words, cut, gather, mix, ranges, text_slices
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 BUCKET = 1 << 15
 """Bits of one of Spark's bitmaps."""
 BITS = 4096 * BUCKET
@@ -50,24 +51,33 @@ _BETWEEN = _BREAK.copy()
 _BETWEEN[[0x20, 0x09]] = True
 
 
+@dataclass
 class Shard:
-    """Words of some texts: hashes that differ by language, and which words follow which in one piece."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, names: list[str]):
-        self.words = words = Words(data, offsets, lower=True, between=_BETWEEN)
-        of_name = np.array([int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little") for name in names], dtype=np.uint64)
-        self.lang = np.repeat(lang, np.diff(words.ptr))
-        self.hash = mix(words.hashes() ^ of_name[self.lang])
-        piece = np.cumsum(_BREAK[data])[words.starts] if len(data) else np.zeros(0, dtype=np.int64)
-        self.follows = np.zeros(len(words.starts), dtype=bool)  # the word before is in the same piece
-        self.follows[1:] = piece[1:] == piece[:-1]
-        self.follows[words.ptr[:-1][words.ptr[:-1] < len(piece)]] = False
+    """The words of some texts: byte ranges, languages, hashes that differ by language, and which words follow which in one piece."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    lang: np.ndarray
+    hash: np.ndarray
+    follows: np.ndarray
 
     def pair_hashes(self) -> np.ndarray:
         """For each word but the last, a hash of it and the next one."""
         return mix(self.hash[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ self.hash[1:])
 
 
+def _slice(data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, of_lang: np.ndarray) -> Shard:
+    """A slice's words; its texts have the languages `lang`, whose hashes are `of_lang`."""
+    words = Words(data, offsets, lower=True, between=_BETWEEN)
+    lang = np.repeat(lang, np.diff(words.ptr))
+    piece = np.cumsum(_BREAK[data], dtype=np.int32)[words.starts]
+    follows = np.zeros(len(words.starts), dtype=bool)  # the word before is in the same piece
+    follows[1:] = piece[1:] == piece[:-1]
+    follows[words.ptr[:-1][words.ptr[:-1] < len(piece)]] = False
+    return Shard(words.data, words.starts.astype(np.int32), words.ends.astype(np.int32), lang.astype(np.int32), mix(words.hashes() ^ of_lang[lang]), follows)
+
+
 def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For k = 1 to `longest`: a place of each phrase of k elements, and how often x has it. `left`: elements from a place to its piece's end."""
     ranks = {1: np.unique(x, return_inverse=True)[1]}
@@ -103,25 +113,31 @@ def _left(follows: np.ndarray) -> np.ndarray:
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[Shard, list[str]]]:
-    held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+    """Shards and the languages' names, by number."""
+    held: list[Shard] = []
+    numbers: dict[str, int] = {}
+    hashes = np.zeros(0, dtype=np.uint64)
     size = 0
 
     def done() -> tuple[Shard, list[str]]:
-        data = np.concatenate([d for d, _, _ in held])
-        starts = np.cumsum([0, *(len(d) for d, _, _ in held)])
-        offsets = np.concatenate([[0], *(o[1:] + s for (_, o, _), s in zip(held, starts))])
-        lang = pa.concat_arrays([x for _, _, x in held]).dictionary_encode()
+        shift = np.cumsum([0, *(len(x.data) for x in held)]).astype(np.int32)
+        places = (np.concatenate([getattr(x, a) + s for x, s in zip(held, shift)]) for a in ("starts", "ends"))
+        shard = Shard(np.concatenate([x.data for x in held]), *places, *(np.concatenate([getattr(x, a) for x in held]) for a in ("lang", "hash", "follows")))
         held.clear()
-        names = lang.dictionary.to_pylist()
-        return Shard(data, offsets, lang.indices.to_numpy(), names), names
+        return shard, list(numbers)
 
     for batch in batches:
-        lang = batch.column("lang").cast(pa.string()).fill_null("und")
+        named = batch.column("lang").cast(pa.string()).fill_null("und").dictionary_encode()
+        names = named.dictionary.to_pylist()
+        for name in names:
+            if numbers.setdefault(name, len(numbers)) == len(hashes):
+                hashes = np.append(hashes, np.frombuffer(hashlib.blake2b(name.encode(), digest_size=8).digest(), dtype=np.uint64))
+        lang = np.array([numbers[x] for x in names], dtype=np.int64)[named.indices.to_numpy()] if len(named) else np.zeros(0, dtype=np.int64)
         for i, j, data, offsets in text_slices(batch.column("text")):
             if held and size + len(data) > shard_bytes:
                 yield done()
                 size = 0
-            held.append((data, offsets, lang.slice(i, j - i)))
+            held.append(_slice(data, offsets, lang[i:j], hashes))
             size += len(data)
     if held:
         yield done()
@@ -154,7 +170,7 @@ def _bitmap(keys: DataFrame, size: int) -> np.ndarray:
     return out.ravel()
 
 
-def _phrases(words: Words, place: np.ndarray, k: np.ndarray) -> pa.Array:
+def _phrases(words: Shard, place: np.ndarray, k: np.ndarray) -> pa.Array:
     """The k words from each place on, joined by one space."""
     at = ranges(place, k)
     data, ends = gather(np.append(words.data, 0x20).astype(np.uint8), words.starts[at], words.ends[at] + 1)
@@ -186,7 +202,7 @@ def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> C
             place, count = (np.concatenate(x) for x in zip(*found))
             k = np.repeat(np.arange(1, len(found) + 1), [len(at) for at, _ in found])
             lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
-            yield pa.RecordBatch.from_arrays([lang, _phrases(shard.words, place, k), pa.array(count, pa.int64())], names=["lang", "phrase", "n"])
+            yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, k), pa.array(count, pa.int64())], names=["lang", "phrase", "n"])
 
     return run
 
