@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from recsieve.llm import near_dedup, queries
 
@@ -106,13 +107,22 @@ def test_parts_link_what_the_bucket_links():
 
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.choice(60, int(rng.integers(35, 60)), replace=False).astype(np.uint64)) for _ in range(200)]
-    rows = sorted((7, min(x % 3, o), max(x % 3, o), x % 3, x, x, sets[x].tobytes()) for x in range(200) for o in range(3))
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-    whole = pa.RecordBatch.from_arrays(columns, names=[*near_dedup.TASK, "part", "c", "root", "set"])
-    found = [(a, b) for out in near_dedup._across(whole.slice(i, 70) for i in range(0, len(rows), 70)) for a, b in zip(*(out.column(x).to_pylist() for x in ("a", "b")))]
-
-    def groups(links):
+    x = np.arange(200)
+    own, of, root = np.where(x % 5, x % 3, -1), x % 4, np.where(x % 5, x, 0)  # every fifth is of the largest component
+    at, low, high, left, right = near_dedup._tasks(own, of, np.full(200, 3), np.full(200, 4))
+    assert len(at) == 40 * 3 + 160 * (3 + 4 - 1)
+    for i in range(3):
+        for j in range(4):
+            here = (low == i) & (high == j)
+            assert sorted(at[here & left]) == list(x[own == i]) and sorted(at[here & right]) == list(x[of == j])
+    order = np.lexsort((high, low))
+    at, low, high, left, right = (v[order] for v in (at, low, high, left, right))
+    columns = [pa.array(np.full(len(at), 7)), *(pa.array(v) for v in (low, high, left, right, at, root[at])), pa.array([sets[a].tobytes() for a in at], pa.binary())]
+    whole = pa.RecordBatch.from_arrays(columns, names=[*near_dedup.TASK, "left", "right", "c", "root", "set"])
+    found = [(a, b) for out in near_dedup._across(whole.slice(i, 70) for i in range(0, len(at), 70)) for a, b in zip(*(out.column(x).to_pylist() for x in ("a", "b")))]
+    one = [(0, y) for y in range(0, 200, 5)]
+
+    def groups(links, given=()):
         root = list(range(200))
 
         def find(x):
@@ -120,13 +130,15 @@ def test_parts_link_what_the_bucket_links():
                 x = root[x]
             return x
 
+        for x, y in given:
+            root[find(x)] = find(y)
         for x, y in links:
             both = len(np.intersect1d(sets[x], sets[y]))
             if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
                 root[find(x)] = find(y)
         return [{y for y in range(200) if find(y) == find(x)} for x in range(200)]
 
-    assert groups(found) == groups((x, y) for x in range(200) for y in range(x))
+    assert groups(found, one) == groups(((x, y) for x in range(200) for y in range(x)), one)
 
 
 def test_distance_guarantee(spark):
@@ -195,3 +207,54 @@ def test_very_long_text(spark):
     rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(far)), (4, "short text of five words"), (5, " ".join(["same"] * 300_000)), (6, " ".join(["Same"] * 200_000))]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).drop("_k1", "_k2")
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
+def places(spark, rows):
+    """(members of open buckets, tasks that whole sets go to)."""
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    _, classes, texts, stars = near_dedup._stars(df, "doc_id", "text")
+    found = near_dedup.connected_components(near_dedup.cut(near_dedup._links(stars.select("a", "b"), classes, texts)))
+    out = near_dedup._open_places(stars, found, classes, texts, near_dedup.PART).selectExpr("if(own < 0, parts_own, parts_own + parts_of - 1) as n")
+    return stars.count(), out.agg({"n": "sum"}).first()[0] or 0
+
+
+@pytest.mark.parametrize("common", [240, 275])
+def test_pages_with_one_frame_meet_no_more_often_as_they_grow(spark, common):
+    """Texts that share most words and keys, of which no two are similar (similarity 0.54 and 0.67): whole sets go nowhere."""
+    frame = " ".join(f"c{x}" for x in range(common))
+    for n in (1_000, 4_000, 16_000):
+        stars, copies = places(spark, [(i, frame + " " + " ".join(f"w{i}x{x}" for x in range(340 - common))) for i in range(n)])
+        assert stars > 10 * n and copies <= n // 10
+
+
+def test_pages_with_one_frame_and_copies_among_them(spark):
+    """Pairs and chains of near copies in a frame of many others, long and short, keep their links."""
+    rng = np.random.default_rng(6)
+    frame = [f"c{x}" for x in range(90)]
+    rows = []
+    for i in range(300):
+        words = frame[: int(rng.integers(60, 91))] + [f"w{i}x{x}" for x in range(int(rng.integers(10, 50)))]
+        rows.append((i, " ".join(words)))
+        for k in range(int(rng.integers(0, 3))):
+            words = list(words)
+            words[int(rng.integers(0, len(words)))] = f"new{i}x{k}"
+            words[int(rng.integers(0, len(words)))] = f"also{i}x{k}"
+            rows.append((1000 + 3 * i + k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (near_dedup.PART, 20):
+        assert sorted((tuple(r) for r in near_dedup.near_duplicates(df, part_members=part).drop("_k1", "_k2").collect()), key=str) == brute(rows)
+
+
+def test_classes_whose_digests_agree_get_different_numbers(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real, calls = F.xxhash64, []
+
+    def poor(*columns):
+        calls.append(columns)
+        return F.lit(0).cast("long") if len(calls) == 1 else real(*columns)
+
+    df = spark.createDataFrame([(bytes([x]),) for x in range(20)], "same binary")
+    monkeypatch.setattr(near_dedup.F, "xxhash64", poor)
+    named = near_dedup._numbered(df).collect()
+    assert len(calls) == 2 and len({r.c for r in named}) == len({bytes(r.same) for r in named}) == 20
