@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 
 from recsieve.llm.common import Words, cut, gather, mix, ranges, text_slices
 
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 BUCKET = 1 << 15
 """Bits of one of Spark's bitmaps."""
 BITS = 4096 * BUCKET
+BATCH = 1 << 16
+"""Rows that a task gives to Spark at once."""
 LEAST, LONGEST, TOP = 100, 5, 2000
 BROADCAST_BYTES = 1 << 20
 PARTS = 64
@@ -143,6 +145,11 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tup
         yield done()
 
 
+def _in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(0, batch.num_rows, BATCH):
+        yield batch.slice(i, BATCH)
+
+
 def _hashed(shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each shard's words and pairs with their counts."""
@@ -150,7 +157,7 @@ def _hashed(shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             if len(shard.hash):
                 (at, n), (first, pairs) = intervals(shard.hash, _left(shard.follows), 2)
                 key = np.concatenate([shard.hash[at], shard.pair_hashes()[first]])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.concatenate([n, pairs]), pa.int64())], names=["key", "n"])
+                yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.concatenate([n, pairs]), pa.int64())], names=["key", "n"]))
 
     return run
 
@@ -202,7 +209,7 @@ def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> C
             place, count = (np.concatenate(x) for x in zip(*found))
             k = np.repeat(np.arange(1, len(found) + 1), [len(at) for at, _ in found])
             lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
-            yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, k), pa.array(count, pa.int64())], names=["lang", "phrase", "n"])
+            yield from _in_batches(pa.RecordBatch.from_arrays([lang, _phrases(shard, place, k), pa.array(count, pa.int64())], names=["lang", "phrase", "n"]))
 
     return run
 
