@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recsieve.functions import amounts, entities, keys, text
 from recsieve.operators import blocks as B
-from recsieve.operators import dedup, qa
+from recsieve.operators import dedup, qa, trees
 from recsieve.operators import resilience as R
 from recsieve.plans.oracle import SQL
 from recsieve.sources import tables as T
@@ -457,13 +457,26 @@ def applied_blocks(spark, sf_dir):
 
 @query
 def tree_page_text(spark, sf_dir):
-    return B.tree_text(T.block_tree(spark, sf_dir), 3).select("page_id", F.md5("content").alias("content_md5"))
+    return trees.tree_text(T.block_tree(spark, sf_dir)).select("page_id", F.md5("content").alias("content_md5"))
 
 
 @query
 def tree_page_text_first_page(spark, sf_dir):
     """With one child read of each nested block, as a reader does that doesn't ask for further pages."""
-    return B.tree_text(T.block_tree(spark, sf_dir), 3, 1).select("page_id", F.md5("content").alias("content_md5"))
+    return trees.tree_text(T.block_tree(spark, sf_dir), 1).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def deep_tree_text(spark, sf_dir):
+    """Trees whose depth grows with the events: a spine with leaves at each place."""
+    return trees.tree_text(T.deep_blocks(spark, sf_dir)).select("page_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def unread_tree_blocks(spark, sf_dir):
+    """Blocks of those trees that no root leads to after some were deleted and one put below its own child."""
+    b = T.deep_blocks(spark, sf_dir).where("block_id % 400 <> 201").withColumn("parent_id", F.expr("CASE WHEN block_id div 4 = 15 THEN block_id + 20 ELSE parent_id END"))
+    return trees.unread_blocks(b).groupBy("page_id", "reason").agg(F.count("*").alias("n_blocks"), F.min("block_id").alias("first_block"))
 
 
 @query

@@ -267,6 +267,17 @@ SQL["moved_dedup_notes"] = f"""{P}, n AS (SELECT page_id, entry, date, CASE WHEN
     SELECT page_id, md5(array_to_string(kept, e'\\n')) AS content_md5, CASE WHEN len(ls) > len(kept) THEN trim(coalesce(old, '') || e'\\nArchived: ' || entry || ' (' || strftime(date, '%Y-%m-%d') || ')', e' \\n') ELSE old END AS qa_issues, (len(ls) - len(kept))::BIGINT AS n_moved FROM k"""
 SQL["tree_page_text"] = "SELECT conv_id AS page_id, md5(coalesce(string_agg(text, e'\\n' ORDER BY turn) FILTER (WHERE turn % 5 <> 4), '')) AS content_md5 FROM conversations GROUP BY conv_id"
 SQL["tree_page_text_first_page"] = SQL["tree_page_text"].replace("turn % 5 <> 4", "turn % 5 <> 4 AND turn % 4 <> 3")
+_DEEP = """deep AS (SELECT event_id % 4 AS page_id, event_id AS block_id, CASE WHEN event_id // 4 = 0 THEN NULL WHEN event_id // 4 % 5 = 0 THEN event_id - 20 ELSE event_id - 4 * (event_id // 4 % 5) END AS parent_id,
+  CASE WHEN event_id // 4 % 5 = 0 THEN 2 ELSE event_id // 4 % 5 END AS pos, CASE WHEN event_id % 7 <> 3 THEN event_type || ' ' || event_id END AS text FROM events)"""
+SQL["deep_tree_text"] = f"""WITH RECURSIVE {_DEEP},
+tree AS (SELECT page_id, block_id, text, [(pos, block_id)] AS path FROM deep WHERE parent_id IS NULL UNION ALL SELECT d.page_id, d.block_id, d.text, list_append(path, (d.pos, d.block_id)) FROM tree t JOIN deep d ON d.page_id = t.page_id AND d.parent_id = t.block_id),
+silent AS (SELECT page_id, parent_id FROM deep d WHERE parent_id IS NOT NULL GROUP BY ALL HAVING bool_and(text IS NULL AND NOT EXISTS (SELECT 1 FROM deep c WHERE c.page_id = d.page_id AND c.parent_id = d.block_id))),
+lines AS (SELECT page_id, path, text FROM tree WHERE text IS NOT NULL UNION ALL SELECT page_id, list_append(path, (99, 0)), '' FROM tree SEMI JOIN silent ON silent.page_id = tree.page_id AND silent.parent_id = tree.block_id)
+SELECT r.page_id, md5(coalesce(string_agg(l.text, chr(10) ORDER BY path), '')) AS content_md5 FROM (SELECT DISTINCT page_id FROM tree) r LEFT JOIN lines l USING (page_id) GROUP BY r.page_id"""
+SQL["unread_tree_blocks"] = f"""WITH RECURSIVE {_DEEP}, b AS (SELECT page_id, block_id, CASE WHEN block_id // 4 = 15 THEN block_id + 20 ELSE parent_id END AS parent_id FROM deep WHERE block_id % 400 <> 201),
+up AS (SELECT page_id, block_id, parent_id, 0 AS steps FROM b UNION ALL SELECT u.page_id, u.block_id, p.parent_id, steps + 1 FROM up u JOIN b p ON p.page_id = u.page_id AND p.block_id = u.parent_id WHERE steps < (SELECT count(*) / 4 + 4 FROM b)),
+last AS (SELECT page_id, block_id, arg_max(parent_id, steps) AS top, max(steps) AS steps, bool_or(parent_id IS NULL) AS ended FROM up GROUP BY ALL)
+SELECT page_id, CASE WHEN steps >= (SELECT count(*) / 4 + 4 FROM b) THEN 'cycle' ELSE 'orphan' END AS reason, count(*) AS n_blocks, min(block_id) AS first_block FROM last WHERE NOT ended GROUP BY ALL"""
 SQL["text_properties"] = f"""SELECT conv_id, turn, md5(CASE WHEN conv_id % 5 < 2 THEN {STRIP.format("' ' || role || CASE WHEN turn % 2 = 0 THEN ': ' ELSE '' END || coalesce(text, '')")} WHEN conv_id % 5 = 2 AND turn % 3 > 0 THEN role ELSE '' END) AS value_md5 FROM conversations"""
 SQL["page_properties_poc"] = f"{D} SELECT id, company || ' — ' || ({FORMAT.format('amount')}) || ' ' || round_type || ' | FUNDING INTEL | MAR 8, 2026' AS entry, 'PASS' AS qa_status, CASE id % 3 WHEN 1 THEN 'user-' || id WHEN 2 THEN 'a|b' || id END AS poc FROM deals"
 SQL["preset_breaker_states"] = (

@@ -87,6 +87,14 @@ def block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page_id"), F.col("turn").alias("block_id"), parent.alias("parent_id"), F.col("turn").alias("pos"), F.expr("CASE WHEN turn % 5 <> 4 THEN text END").alias("text"))
 
 
+def deep_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, block_id, parent_id, pos, text: four pages of events, each a spine of every fifth block with the four after it as leaves."""
+    k = "(event_id div 4)"
+    parent = F.expr(f"CASE WHEN {k} = 0 THEN NULL WHEN {k} % 5 = 0 THEN event_id - 20 ELSE event_id - 4 * ({k} % 5) END")
+    pos = F.expr(f"CASE WHEN {k} % 5 = 0 THEN 2 ELSE {k} % 5 END")
+    return table(spark, sf_dir, "events").select((F.col("event_id") % 4).alias("page_id"), F.col("event_id").alias("block_id"), parent.alias("parent_id"), pos.alias("pos"), F.expr("CASE WHEN event_id % 7 <> 3 THEN concat(event_type, ' ', event_id) END").alias("text"))
+
+
 SERVICES = ["duckduckgo", "grok", "icebreaker", "other"]
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recsieve.functions import amounts, entities, keys, text
-from recsieve.operators import blocks, dedup, qa
+from recsieve.operators import blocks, dedup, qa, trees
 from recsieve.operators import resilience as R
 
 
@@ -242,9 +242,9 @@ def test_moved_notes_and_properties(spark):
 def test_tree_text(spark):
     rows = [("p", 1, None, 0, "root"), ("p", 2, 1, 1, "child"), ("p", 3, 2, 2, None), ("p", 4, 3, 3, "deep"), ("p", 5, 1, 4, ""), ("p", 6, None, 5, "last"), ("q", 1, None, 0, None)]
     df = spark.createDataFrame(rows, "page_id string, block_id int, parent_id int, pos int, text string")
-    show = lambda *a: {r.page_id: r.content for r in blocks.tree_text(df, *a).collect()}
-    assert show(4) == {"p": "root\nchild\ndeep\n\nlast", "q": ""}
-    assert show(4, 1) == {"p": "root\nchild\ndeep\nlast", "q": ""} and show(1)["p"] == "root\nlast"
+    show = lambda *a: {r.page_id: r.content for r in trees.tree_text(df, *a).collect()}
+    assert show() == {"p": "root\nchild\ndeep\n\nlast", "q": ""}
+    assert show(1) == {"p": "root\nchild\ndeep\nlast", "q": ""}
 
 
 def test_command_line(spark, tmp_path):
