@@ -37,10 +37,13 @@ def block_actions(blocks: DataFrame, text: str = "text", mode: str = "literal")
     return blocks.withColumn("action", action).withColumn("cleaned", F.when(F.col("action") == "keep", t).when(F.col("action") == "clean", clean))
 
 
-def apply_actions(actions: DataFrame, text: str = "text") -> DataFrame:
-    """Blocks after block_actions(): cleaned ones with their new text, removed ones gone."""
+def apply_actions(actions: DataFrame, text: str = "text", keep_removed: str | None = None) -> DataFrame:
+    """Blocks after block_actions(): cleaned ones with their new text, removed ones gone, or with `keep_removed` marked in a column of that name."""
     names = [c for c in actions.columns if c not in ("action", "cleaned")]
-    return actions.where("action <> 'remove'").select(*(F.col("cleaned").alias(c) if c == text else F.col(f"`{c}`") for c in names))
+    new = [F.coalesce("cleaned", F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in names]
+    if keep_removed:
+        return actions.select(*new, (F.col("action") == "remove").alias(keep_removed))
+    return actions.where("action <> 'remove'").select(*new)
 
 
 def moved_notes(pages: DataFrame, now: Column) -> DataFrame:

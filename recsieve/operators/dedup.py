@@ -105,7 +105,10 @@ def present(deals: DataFrame, pages: DataFrame, on: list[str]) -> DataFrame:
 
 
 def canonical_pick(pages: DataFrame, by: str, order: list[Column]) -> DataFrame:
-    """The first row of each cluster in the given total order (nulls first): a minimum, which every task takes of its own rows first."""
+    """The first row of each cluster in the given total order (nulls first): a minimum, which every task takes of its own rows first.
+
+    All columns that pages has travel with the row: give it those that are wanted.
+    """
     names = [c for c in pages.columns if c != by]
     row = F.struct(*(F.col(f"`{c}`") for c in names))
     best = pages.groupBy(by).agg(F.min_by(row, F.struct(*order)).alias("_row"))

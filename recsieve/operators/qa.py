@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsieve.functions.text import bullets, contains_any_case, error_hits, occurrences, section, section_literal, strip
+from recsieve.sources.staging import cut
+from recsieve.sources.stored import StoredTable
 
 # Markers, sections and messages.
 OUTREACH = ("[[OUTREACH_INTEL_AUTO_START]]", "[[OUTREACH_INTEL_AUTO_END]]")
@@ -117,6 +119,18 @@ def post_write_hook(pages: DataFrame, page_id: object, mode: str = "literal") ->
     return found and found.qa_status
 
 
+def audit_written(table: StoredTable, page_ids: DataFrame, now: Column, mode: str = "literal") -> DataFrame:
+    """(page_id, qa_status) of pages of a stored table (keyed by page_id) that were just written: checked, and the result written back to them.
+
+    Pages that aren't there have no row; archived ones keep the status they had. Nothing but these pages' statuses changes.
+    """
+    written = table.read().join(page_ids.select("page_id").distinct(), "page_id", "left_semi")
+    checked = audited(written, now, mode).select("page_id", "qa_status", "qa_issues", "last_audited_at")
+    statuses = cut(checked)
+    table.upsert(statuses)
+    return statuses.select("page_id", "qa_status")
+
+
 def structure_issues(content: Column, up: Column | None = None) -> Column:
     """What a page lacks of the template, in the template's order. up: the content in upper case, if the caller has it."""
     c, out = F.coalesce(content, F.lit("")), []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from recsieve.operators import dedup, qa, trees
 from recsieve.operators import resilience as R
 from recsieve.plans.oracle import SQL
 from recsieve.sources import tables as T
+from recsieve.sources.staging import checkpoint_dir
+from recsieve.sources.stored import StoredTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,13 +72,13 @@ def legacy_outreach_pack_keys(spark, sf_dir):
 
 @query
 def parsed_keys(spark, sf_dir):
-    return T.pages(spark, sf_dir).select("page_id", keys.parse_key(F.col("report_key")).alias("k")).select("page_id", "k.scheme", "k.slug", "k.suffix")
+    return T.page_rows(spark, sf_dir).select("page_id", keys.parse_key(F.col("report_key")).alias("k")).select("page_id", "k.scheme", "k.slug", "k.suffix")
 
 
 @query
 def key_schemes(spark, sf_dir):
     """How many pages have a key of each scheme, and how many companies have keys of several."""
-    p = T.pages(spark, sf_dir).select("slug", keys.parse_key(F.col("report_key"))["scheme"].alias("scheme"))
+    p = T.page_rows(spark, sf_dir).select("slug", keys.parse_key(F.col("report_key"))["scheme"].alias("scheme"))
     schemes = ["v3", "legacy", "pack", "outreach", "none"]
     own = p.groupBy("slug").agg(*(F.count_if(F.col("scheme") == s).alias(s) for s in schemes))
     several = sum((F.col(s) > 0).cast("int") for s in schemes[:-1]) > 1
@@ -138,7 +141,7 @@ def amount_conflicts(spark, sf_dir):
 
 @query
 def canonical_pick(spark, sf_dir):
-    p = T.pages(spark, sf_dir).withColumn("k", keys.parse_key(F.col("report_key")))
+    p = T.page_rows(spark, sf_dir).select("slug", "page_id", "report_key", "date", keys.parse_key(F.col("report_key")).alias("k"))
     first = [F.when(F.col("k.scheme") == "v3", 0).otherwise(1), F.when(F.coalesce(F.col("k.suffix"), F.lit("0")) != "0", 0).otherwise(1), F.col("date"), F.col("page_id")]
     return dedup.canonical_pick(p, "slug", first).select("slug", "page_id", "report_key")
 
@@ -146,17 +149,17 @@ def canonical_pick(spark, sf_dir):
 @query
 def legacy_or_v3_lookup(spark, sf_dir):
     d = T.deals(spark, sf_dir)
-    p = T.pages(spark, sf_dir).withColumn("k", keys.parse_key(F.col("report_key"))).select("page_id", "report_key", "k.scheme", "k.slug")
+    p = T.page_rows(spark, sf_dir).withColumn("k", keys.parse_key(F.col("report_key"))).select("page_id", "report_key", "k.scheme", "k.slug")
     return dedup.key_lookup(d, p)
 
 
 @query
 def zero_amount_guard(spark, sf_dir):
-    return dedup.zero_amount_guard(T.deals(spark, sf_dir), T.pages(spark, sf_dir).where("type = 'FUNDRAISING INTEL'"))
+    return dedup.zero_amount_guard(T.deals(spark, sf_dir), T.page_rows(spark, sf_dir).where("type = 'FUNDRAISING INTEL'"))
 
 
 def _canonicals(spark, sf_dir):
-    return T.pages(spark, sf_dir).where("type = 'FUNDRAISING INTEL'").select("slug")
+    return T.page_rows(spark, sf_dir).where("type = 'FUNDRAISING INTEL'").select("slug")
 
 
 @query
@@ -172,7 +175,7 @@ def canonical_present(spark, sf_dir):
 @query
 def outreach_pairs(spark, sf_dir):
     """Outreach pages beside a canonical page of their company."""
-    p = T.pages(spark, sf_dir)
+    p = T.page_rows(spark, sf_dir)
     one = p.where("type = 'FUNDRAISING INTEL'").groupBy("slug").agg(F.min("page_id").alias("canonical_id"), F.count("*").alias("n_canonical"))
     return p.where("type = 'OUTREACH TARGET'").join(one, "slug").select("page_id", "canonical_id", "n_canonical")
 
@@ -237,13 +240,13 @@ def qa_status_histogram(spark, sf_dir):
 
 @query
 def archived_skip(spark, sf_dir):
-    return T.pages(spark, sf_dir).where(qa.archived(F.col("entry"))).select("page_id", "entry")
+    return T.page_rows(spark, sf_dir).where(qa.archived(F.col("entry"))).select("page_id", "entry")
 
 
 @query
 def recent_pages(spark, sf_dir):
     cut = F.lit("1998-10-03 00:00:00").cast("timestamp_ntz") - F.expr("INTERVAL 720 HOURS")
-    return T.pages(spark, sf_dir).where(F.col("date") > cut).orderBy(F.desc("date"), "page_id").select("page_id", "date")
+    return T.page_rows(spark, sf_dir).where(F.col("date") > cut).orderBy(F.desc("date"), "page_id").select("page_id", "date")
 
 
 @query
@@ -410,19 +413,19 @@ def amount_match_links(spark, sf_dir):
 @query
 def page_by_id(spark, sf_dir):
     """A point read: one page's properties."""
-    return T.pages(spark, sf_dir).where("page_id = 7").select("page_id", "entry", "type", "source_skill", "report_key", "run_id")
+    return T.page_rows(spark, sf_dir).where("page_id = 7").select("page_id", "entry", "type", "source_skill", "report_key", "run_id")
 
 
 @query
 def outreach_page_exists(spark, sf_dir):
     """Outreach pages whose title contains a deal's company."""
-    return dedup.containing(T.deals(spark, sf_dir), T.pages(spark, sf_dir), "entry", "OUTREACH TARGET")
+    return dedup.containing(T.deals(spark, sf_dir), T.page_rows(spark, sf_dir), "entry", "OUTREACH TARGET")
 
 
 @query
 def zero_amount_lookup(spark, sf_dir):
     """Canonical pages whose company contains that of a deal of unknown amount."""
-    return dedup.containing(T.deals(spark, sf_dir).where("amount = 0"), T.pages(spark, sf_dir), "company", "FUNDRAISING INTEL")
+    return dedup.containing(T.deals(spark, sf_dir).where("amount = 0"), T.page_rows(spark, sf_dir), "company", "FUNDRAISING INTEL")
 
 
 def _audited_before(spark, sf_dir):
@@ -437,6 +440,18 @@ def qa_write_back(spark, sf_dir):
     return out.select("page_id", "qa_status", "qa_issues", F.date_format("last_audited_at", "yyyy-MM-dd HH:mm:ss").alias("audited_at"))
 
 
+@query
+def upserted_pages(spark, sf_dir):
+    """A stored table of canonical pages by key after two upserts: pages found later create or update; of one key, the latest counts."""
+    t = StoredTable(spark, f"{checkpoint_dir(spark)}/pages-{uuid.uuid4().hex}", ("report_key",), 16)
+    d = T.deals(spark, sf_dir).select("report_key", F.col("id").alias("page_id"), "amount", "seen_at")
+    early = F.col("seen_at") < F.lit("1995-06-01").cast("timestamp_ntz")
+    t.upsert(d.where(early), F.struct("seen_at", "page_id"), "early")
+    t.upsert(d.where(~early).select("report_key", "page_id", "seen_at", F.lit("PASS").alias("qa_status")), F.struct("seen_at", "page_id"), "late")
+    t.upsert(d.where(early).withColumn("amount", F.lit(-1).cast("long")), batch="late")  # a batch given again changes nothing
+    return t.read().select("report_key", "page_id", "amount", "qa_status")
+
+
 @query
 def qa_stats_json(spark, sf_dir):
     return qa.status_json(qa.status_histogram(qa.validate_pages(T.pages(spark, sf_dir))))

@@ -267,6 +267,9 @@ SQL["moved_dedup_notes"] = f"""{P}, n AS (SELECT page_id, entry, date, CASE WHEN
     SELECT page_id, md5(array_to_string(kept, e'\\n')) AS content_md5, CASE WHEN len(ls) > len(kept) THEN trim(coalesce(old, '') || e'\\nArchived: ' || entry || ' (' || strftime(date, '%Y-%m-%d') || ')', e' \\n') ELSE old END AS qa_issues, (len(ls) - len(kept))::BIGINT AS n_moved FROM k"""
 SQL["tree_page_text"] = "SELECT conv_id AS page_id, md5(coalesce(string_agg(text, e'\\n' ORDER BY turn) FILTER (WHERE turn % 5 <> 4), '')) AS content_md5 FROM conversations GROUP BY conv_id"
 SQL["tree_page_text_first_page"] = SQL["tree_page_text"].replace("turn % 5 <> 4", "turn % 5 <> 4 AND turn % 4 <> 3")
+_LATEST = "FROM x WHERE early = {0} QUALIFY row_number() OVER (PARTITION BY report_key ORDER BY seen_at DESC, id DESC) = 1"
+SQL["upserted_pages"] = f"""{D}, x AS (SELECT report_key, id, amount, seen_at, seen_at < TIMESTAMP '1995-06-01' AS early FROM deals), e AS (SELECT * {_LATEST.format("true")}), l AS (SELECT * {_LATEST.format("false")})
+SELECT coalesce(l.report_key, e.report_key) AS report_key, coalesce(l.id, e.id) AS page_id, e.amount, CASE WHEN l.id IS NOT NULL THEN 'PASS' END AS qa_status FROM e FULL JOIN l ON e.report_key = l.report_key"""
 _DEEP = """deep AS (SELECT event_id % 4 AS page_id, event_id AS block_id, CASE WHEN event_id // 4 = 0 THEN NULL WHEN event_id // 4 % 5 = 0 THEN event_id - 20 ELSE event_id - 4 * (event_id // 4 % 5) END AS parent_id,
   CASE WHEN event_id // 4 % 5 = 0 THEN 2 ELSE event_id // 4 % 5 END AS pos, CASE WHEN event_id % 7 <> 3 THEN event_type || ' ' || event_id END AS text FROM events)"""
 SQL["deep_tree_text"] = f"""WITH RECURSIVE {_DEEP},

@@ -29,15 +29,25 @@ def deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "company", slugify(F.col("company")).alias("slug"), "amount_str", "amount", report_key(F.col("company"), F.col("amount")).alias("report_key"), "round_type", "run_id", "seen_at")
 
 
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, entry, type, source_skill, report_key, run_id, company, slug, date: a page per deal, without its text."""
+    return deals(spark, sf_dir).select(
+        F.col("id").alias("page_id"), F.expr("concat(CASE WHEN id % 23 = 0 THEN '[Archived] ' ELSE '' END, company)").alias("entry"),
+        F.expr("CASE id div 7 % 3 WHEN 0 THEN 'FUNDRAISING INTEL' WHEN 1 THEN 'SIGNAL PACK' ELSE 'OUTREACH TARGET' END").alias("type"), F.expr("CASE WHEN id % 19 = 0 THEN '' ELSE 'funding-intel-brief' END").alias("source_skill"),
+        F.expr("CASE WHEN id % 17 = 0 THEN '' WHEN id % 3 = 0 THEN concat('fundraising-intel:', slug, ':', date_format(seen_at, 'yyyy-MM-dd')) ELSE report_key END").alias("report_key"), "run_id", "company", "slug", F.col("seen_at").alias("date"),
+    )
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, entry, type, source_skill, report_key, run_id, company, slug, date, content: a page per deal.
+    """page_rows() with content.
 
-    The text is that of the document `id % n_docs`, whatever number of documents there is. A null text is empty, as is that of a
+    The text is that of the document `page_id % n_docs`, whatever number of documents there is. A null text is empty, as is that of a
     deal whose document isn't there.
     """
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
     n = table(spark, sf_dir, "documents").agg(F.nullif(F.count("*"), F.lit(0)).alias("n_docs"))
-    rows = deals(spark, sf_dir).crossJoin(F.broadcast(n)).withColumn("of", F.expr("id % n_docs")).join(docs, F.col("of") == F.col("d"), "left").withColumn("text", F.coalesce("text", F.lit("")))
+    own = page_rows(spark, sf_dir)
+    rows = own.crossJoin(F.broadcast(n)).withColumn("of", F.expr("page_id % n_docs")).join(docs, F.col("of") == F.col("d"), "left").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("id", F.col("page_id"))
     content = F.expr("""concat(CASE WHEN id % 7 = 0 THEN '' ELSE text END,
         CASE id % 5 WHEN 1 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]' WHEN 2 THEN '\\n[[OUTREACH_INTEL_AUTO_END]]' WHEN 3 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]x[[OUTREACH_INTEL_AUTO_END]]'
             WHEN 4 THEN '\\n[[OUTREACH_INTEL_AUTO_START]]x[[OUTREACH_INTEL_AUTO_START]]y[[OUTREACH_INTEL_AUTO_END]]' ELSE '' END,
@@ -47,11 +57,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 3 THEN '\\nSearch error: HTTPSConnectionPool(host=''other'') x\\n\\n\\n\\nmore' WHEN 4 THEN '\\nHTTPSConnectionPool(host=a): Max retries exceeded' ELSE '' END,
         CASE id % 13 WHEN 0 THEN '\\nMarket Snapshot and signal' WHEN 1 THEN '\\nDeal Summary\\nSources' ELSE '' END,
         CASE id % 4 WHEN 0 THEN '\\n# INVESTORS\\n- a\\n- b' WHEN 1 THEN '\\n# INVESTORS\\n- a\\n' WHEN 2 THEN '\\n## Investors\\nnone' ELSE '' END)""")
-    return rows.select(
-        F.col("id").alias("page_id"), F.expr("concat(CASE WHEN id % 23 = 0 THEN '[Archived] ' ELSE '' END, company)").alias("entry"),
-        F.expr("CASE id div 7 % 3 WHEN 0 THEN 'FUNDRAISING INTEL' WHEN 1 THEN 'SIGNAL PACK' ELSE 'OUTREACH TARGET' END").alias("type"), F.expr("CASE WHEN id % 19 = 0 THEN '' ELSE 'funding-intel-brief' END").alias("source_skill"),
-        F.expr("CASE WHEN id % 17 = 0 THEN '' WHEN id % 3 = 0 THEN concat('fundraising-intel:', slug, ':', date_format(seen_at, 'yyyy-MM-dd')) ELSE report_key END").alias("report_key"), "run_id", "company", "slug", F.col("seen_at").alias("date"), content.alias("content"),
-    )
+    return rows.select(*own.columns, content.alias("content"))
 
 
 def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recsieve.operators.qa import validate_pages
+from recsieve.sources.stored import StoredTable
 
 
 def validated_stream(pages: DataFrame) -> DataFrame:
@@ -52,3 +53,12 @@ def error_counts(calls: DataFrame, width: str = "1 hour", late: str = "2 hours")
 def write_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """All that is there now, in micro-batches given to `each`; restartable from the checkpoint folder."""
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_batches(stream: DataFrame, table: StoredTable, checkpoint: str, name: str, order: Column | None = None, insert_only: bool = False) -> StreamingQuery:
+    """Creates or updates a stored table's rows by key, each micro-batch exactly once.
+
+    A micro-batch has the id `name:number` in the table: one that is given again, because the run died before the stream's own
+    checkpoint knew of it, is left out. `name` is the stream's and stays the same as long as its checkpoint does.
+    """
+    return write_batches(stream, lambda rows, number: table.upsert(rows, order, f"{name}:{number}", insert_only) and None, checkpoint)

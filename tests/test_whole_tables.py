@@ -77,3 +77,15 @@ def test_band_pairs_of_all_customers(spark):
     want = {(a, b) for a, m in left for b, n in right if (m == n if 0 in (m, n) else abs(m - n) / max(m, n) <= 0.05)}
     got = [tuple(r) for r in catalogue.QUERIES["amount_band_pairs_customers"](spark, MORE).select("a", "b").collect()]
     assert any(m < 0 for _, m in left) and len(got) == len(want) and set(got) == want
+
+
+TEXTLESS = [
+    "parsed_keys", "key_schemes", "canonical_pick", "legacy_or_v3_lookup", "zero_amount_guard", "canonical_missing", "canonical_present", "outreach_pairs", "archived_skip", "recent_pages", "page_by_id", "outreach_page_exists",
+    "zero_amount_lookup",
+]
+
+
+@pytest.mark.parametrize("name", TEXTLESS)
+def test_pages_without_their_text_read_no_documents(spark, sf, name):
+    plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in plan and "n_docs" not in plan and "doc_id" not in plan
