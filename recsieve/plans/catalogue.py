@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recsieve.functions import amounts, entities, keys, text
 from recsieve.operators import blocks as B
-from recsieve.operators import dedup, qa, trees
+from recsieve.operators import dedup, names, qa, trees
 from recsieve.operators import resilience as R
 from recsieve.plans.oracle import SQL
 from recsieve.sources import tables as T
@@ -440,6 +440,20 @@ def qa_write_back(spark, sf_dir):
     return out.select("page_id", "qa_status", "qa_issues", F.date_format("last_audited_at", "yyyy-MM-dd HH:mm:ss").alias("audited_at"))
 
 
+@query
+def legacy_prefix_counts(spark, sf_dir):
+    """Per deal, the pages whose key starts with its legacy prefix, however they go on: the company V3's prefix starts all v3 keys."""
+    d = T.deals(spark, sf_dir).select("id", keys.legacy_prefix(F.expr("CASE WHEN id % 100 = 7 THEN 'V3' ELSE company END")).alias("prefix"))
+    found = names.starting_with(d, T.page_rows(spark, sf_dir).select(F.col("report_key").alias("key")))
+    return d.join(found, "prefix").select("id", "n_keys")
+
+
+@query
+def near_slugs(spark, sf_dir):
+    """Companies whose slugs differ from others' by one character."""
+    return names.near_names(T.deals(spark, sf_dir), "slug").withColumnRenamed("name", "slug")
+
+
 @query
 def upserted_pages(spark, sf_dir):
     """A stored table of canonical pages by key after two upserts: pages found later create or update; of one key, the latest counts."""

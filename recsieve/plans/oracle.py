@@ -267,6 +267,11 @@ SQL["moved_dedup_notes"] = f"""{P}, n AS (SELECT page_id, entry, date, CASE WHEN
     SELECT page_id, md5(array_to_string(kept, e'\\n')) AS content_md5, CASE WHEN len(ls) > len(kept) THEN trim(coalesce(old, '') || e'\\nArchived: ' || entry || ' (' || strftime(date, '%Y-%m-%d') || ')', e' \\n') ELSE old END AS qa_issues, (len(ls) - len(kept))::BIGINT AS n_moved FROM k"""
 SQL["tree_page_text"] = "SELECT conv_id AS page_id, md5(coalesce(string_agg(text, e'\\n' ORDER BY turn) FILTER (WHERE turn % 5 <> 4), '')) AS content_md5 FROM conversations GROUP BY conv_id"
 SQL["tree_page_text_first_page"] = SQL["tree_page_text"].replace("turn % 5 <> 4", "turn % 5 <> 4 AND turn % 4 <> 3")
+SQL["legacy_prefix_counts"] = f"""{P}, x AS (SELECT id, 'fundraising-intel:' || CASE WHEN id % 100 = 7 THEN 'v3' ELSE slug END || ':' AS prefix FROM deals),
+n AS (SELECT prefix, count(report_key) AS n_keys FROM (SELECT DISTINCT prefix FROM x) LEFT JOIN pages_ ON starts_with(report_key, prefix) GROUP BY prefix) SELECT id, n_keys FROM x JOIN n USING (prefix)"""
+SQL["near_slugs"] = f"""{D}, s AS (SELECT slug, count(*) AS n_rows FROM deals WHERE slug IS NOT NULL GROUP BY slug),
+p AS (SELECT a.slug, b.n_rows AS m FROM s a JOIN s b ON a.slug <> b.slug AND levenshtein(a.slug, b.slug) <= 1)
+SELECT slug, any_value(n_rows) AS n_rows, count(m) AS n_near, coalesce(sum(m), 0)::BIGINT AS n_near_rows FROM s LEFT JOIN p USING (slug) GROUP BY slug"""
 _LATEST = "FROM x WHERE early = {0} QUALIFY row_number() OVER (PARTITION BY report_key ORDER BY seen_at DESC, id DESC) = 1"
 SQL["upserted_pages"] = f"""{D}, x AS (SELECT report_key, id, amount, seen_at, seen_at < TIMESTAMP '1995-06-01' AS early FROM deals), e AS (SELECT * {_LATEST.format("true")}), l AS (SELECT * {_LATEST.format("false")})
 SELECT coalesce(l.report_key, e.report_key) AS report_key, coalesce(l.id, e.id) AS page_id, e.amount, CASE WHEN l.id IS NOT NULL THEN 'PASS' END AS qa_status FROM e FULL JOIN l ON e.report_key = l.report_key"""
