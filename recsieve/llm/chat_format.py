@@ -13,7 +13,8 @@ attends to besides itself (its ancestors there; besides, it attends to all of th
 (assistants' texts). Characters are code points. A conversation's leaf is -1 if it ends with the path.
 
 Prefixes are told apart by chained MD5 digests. Nulls: a null text or role is empty; a null turn sorts first; rows with a null conv_id
-are one conversation. Ties in turn are ordered by role, then text. Repeated rows are turns like others.
+are one conversation. Ties in turn are ordered by role, then text. Repeated rows are turns like others. An empty table gives no packs.
+A very long text is a node of its own length. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

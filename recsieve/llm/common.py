@@ -2,37 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recsieve.sources.staging import checkpoint_dir as checkpoint_dir
+from recsieve.sources.staging import cut as cut
+
 SLICE_BYTES = 1 << 21
 """Texts are hashed in slices of about this many bytes (a longer text is a slice of its own)."""
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from spark.checkpoint.dir; where that is unset, a folder of the warehouse, which is shared too."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept as a Parquet table in the shared checkpoint folder, with its lineage cut.
-
-    A table in the folder that all executors share survives the loss of any of them, and is a third of a checkpoint()'s size.
-    """
-    spark = df.sparkSession
-    at = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
-
-
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """Two longs that tell rows apart. Rows equal in id and text share a key: all operators give those equal results."""
     return [F.xxhash64(F.lit("id"), F.col(id_col)).alias("_k1"), F.xxhash64(F.lit("text"), F.col(text_col)).alias("_k2")]

@@ -10,7 +10,9 @@ The benchmark's fingerprints, and its windows, are broadcast while their bytes (
 joined by shuffle.
 
 Nulls: a null text has no words. A null item_id counts for n_hit but not as an item. A null doc_id is an id like others.
-Repeated rows get equal results. Other columns are ignored.
+Ties: windows that several items share count for each of them, in the order of their ids as texts. Repeated rows get equal results. An
+empty benchmark hits nothing, an empty table of documents gives no rows. A very long text is read whole, as one row. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ ids, which may be more, rows of least hash), on binned features, level by level,
 right, value) and applied to whole Arrow batches: all texts go down one level of one tree at once.
 
 Nulls: a null text is empty and gets a score like any other; rows with a null label aren't learned from; a null id is not held
-out and never learned from. Labels repeated for a document each count. With no labels every score is 0.5.
+out and never learned from. Labels repeated for a document each count. With no labels every score is 0.5. Ties: of splits with equal gain the first feature's
+lowest threshold counts; what is made of a score of 0.5 is the caller's matter (the query predicts 1). Repeated rows get equal scores.
+Empty tables of documents give no rows. A very long text is read whole, as one row. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ No single rule has to pass.
 A base check rejects texts under 50 words, or with more than half of their words in repeated 3-word windows, whatever the rules say of
 them. They count in the estimates like others.
 
-Nulls: a null text is empty and so rejected; a null id is an id like others. Repeated rows get equal results.
+Nulls: a null text is empty and so rejected; a null id is an id like others. Ties: a posterior of exactly a half keeps. Repeated rows get
+equal results. An empty table gives no rows. A very long text is read whole, as one row. Other columns stay out of judge()'s result and
+stay in keep_good()'s, whatever their names.
 """
 
 from __future__ import annotations

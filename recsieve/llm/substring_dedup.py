@@ -15,7 +15,9 @@ different super-k-mers share) is counted window by window, by partial aggregatio
 split. Nothing is dropped on any of these ways.
 
 Nulls: a null text has no words; a null id is an id like others. Repeated rows (equal id and text) are separate rows, each of
-them the "elsewhere" of the other. Empty texts and texts under k words keep all their words. Other columns are ignored.
+them the "elsewhere" of the other. Empty texts and texts under k words keep all their words. Ties: windows are judged on the input, so no
+copy is the one that stays. An empty table gives no rows. A very long text travels in pieces. Other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

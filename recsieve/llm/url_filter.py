@@ -14,7 +14,9 @@ At most 1 / MIN_SHARE contexts of each length can have that share of the places,
 that is the bound of each table that is broadcast, one for each length. Training, calibration and scoring read all rows.
 
 Nulls: a null URL has an empty host and path, as has one without `://`; no rule fits. With one class (or none) of training
-URLs the models can't differ: the method's verdict is then allow. Repeated rows get equal results.
+URLs the models can't differ: the method's verdict is then allow. Ties: a score at the threshold is allowed; of rules that fit, the longest
+counts, and no two of one length fit one URL. Repeated rows get equal results. An empty table gives no rows. A very long URL counts
+with all its characters. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ after each row: a member's last byte is the top byte of its text's length, which
 member that is added to others, so the separator is a zero byte that stands for it.
 
 Nulls: a null payload is empty; a null URL is `urn:missing`; a null page_id is never the response while an equal payload has
-an id, and if none has, all are responses. Repeated rows: all rows of the largest page_id are responses.
+an id, and if none has, all are responses. Ties and repeated rows: all rows of the largest page_id are responses. An empty table gives
+an archive without records and reads back as no rows. A very long payload is one record, held whole by the task that writes or reads it.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
