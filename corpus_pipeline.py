@@ -4,6 +4,11 @@ Rejected documents leave in the first three stages (low quality; near copies of
 benchmark windows). The fourth replaces secrets within texts, the fifth repeats small sources up to their weights. Each stage's
 result is written as Parquet and reread. SQL can't express the stages (expectation-maximisation, signatures), so ORACLE_SQL
 is None and tests hold the result against plain Python.
+
+All stages: nulls in any column are kept as they are (a null text is empty, so the first stage rejects it; a null id or source is
+like others), of rows equal in id and text one stays after the second stage, an empty table gives an empty one, a very long text is one
+row that is read whole, and other columns stay, whatever their names. Ties: of near copies the least id stays; the last stage names what
+it adds (n_tokens, epoch, weight, mix_order), which replaces columns of these names.
 """
 
 from __future__ import annotations
