@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsieve.functions import amounts, entities, keys, text
+from recsieve.functions import amounts, entities, keys, properties, text
 from recsieve.operators import blocks as B
 from recsieve.operators import dedup, names, qa, trees
 from recsieve.operators import resilience as R
@@ -391,10 +391,18 @@ def llm_json_path(spark, sf_dir):
 
 @query
 def pattern_gap(spark, sf_dir):
-    """Phrases that fail the page check, and whether cleaning takes them out."""
-    phrases = ["Read timed out", "TimeoutError", "ConnectionError(", "mcp_unavailable", "[Grok error: q]", "Search error: HTTPSConnectionPool(host='o')", "requests.exceptions.HTTPError", "max retries exceeded", "plain text"]
-    p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
-    return p.select("phrase", (F.size(text.error_hits(F.col("phrase"))) > 0).alias("fails"), (text.sanitize_text(F.col("phrase")) != F.col("phrase")).alias("cleaned"))
+    """The distinct lines of blocks by whether they fail the page check and whether cleaning changes them."""
+    p = T.blocks(spark, sf_dir).select(F.explode(F.split("text", "\n", -1)).alias("phrase")).distinct()
+    told = p.select("phrase", (F.size(text.error_hits(F.col("phrase"))) > 0).alias("fails"), (text.sanitize_text(F.col("phrase")) != F.col("phrase")).alias("cleaned"))
+    return told.groupBy("fails", "cleaned").agg(F.count("*").alias("n_lines"), F.min("phrase").alias("first_line"))
+
+
+@query
+def raw_properties(spark, sf_dir):
+    """Events' properties through VARIANT, some of them malformed, null, missing or of another type."""
+    raw = F.expr("""CASE event_id % 7 WHEN 1 THEN '{"k": null}' WHEN 2 THEN replace(replace(props, ': ', ': "'), '}', '"}') WHEN 3 THEN concat('{', props) WHEN 4 THEN '{}' WHEN 5 THEN NULL ELSE props END""")
+    e = T.table(spark, sf_dir, "events").select("event_id", raw.alias("raw")).withColumn("v", properties.parsed(F.col("raw")))
+    return e.select("event_id", properties.typed(F.col("raw"), F.col("v"), "$.k", "bigint").alias("k")).select("event_id", "k.*")
 
 
 @query

@@ -198,8 +198,8 @@ SQL: dict[str, str] = {
     "recent_pages": f"{P} SELECT page_id, date FROM pages_ WHERE date > TIMESTAMP '1998-10-03' - INTERVAL 720 HOUR",
     "investor_section_literal": f"{P} SELECT page_id, {SECTION} AS section FROM pages_",
     "investor_section_intended": f"{P} SELECT page_id, {INTENDED} AS section FROM pages_",
-    "pattern_gap": f"""SELECT phrase, regexp_matches(phrase, '{ERRORS}') AS fails, {clean('phrase')} <> phrase AS cleaned FROM (SELECT unnest(['Read timed out', 'TimeoutError', 'ConnectionError(', 'mcp_unavailable', '[Grok error: q]',
-        'Search error: HTTPSConnectionPool(host=''o'')', 'requests.exceptions.HTTPError', 'max retries exceeded', 'plain text']) AS phrase)""",
+    "pattern_gap": f"""WITH {BLOCKS}, l AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS phrase FROM blocks WHERE text IS NOT NULL)
+        SELECT fails, cleaned, count(*) AS n_lines, min(phrase) AS first_line FROM (SELECT phrase, regexp_matches(phrase, '{ERRORS}') AS fails, {clean('phrase')} <> phrase AS cleaned FROM l) GROUP BY ALL""",
     "sanitize_text": f"{P} SELECT page_id, md5({clean('content')}) AS cleaned_md5 FROM pages_",
     "page_text": rf"WITH {BLOCKS} SELECT page_id, md5(string_agg(coalesce(text, ''), e'\n' ORDER BY pos, coalesce(text, ''))) AS content_md5 FROM blocks GROUP BY page_id",
     "cleaner_text": rf"WITH {BLOCKS} SELECT page_id, md5(string_agg(coalesce(text, ''), e'\n' ORDER BY pos, coalesce(text, '')) || e'\n') AS content_md5 FROM blocks GROUP BY page_id",
@@ -272,6 +272,9 @@ n AS (SELECT prefix, count(report_key) AS n_keys FROM (SELECT DISTINCT prefix FR
 SQL["near_slugs"] = f"""{D}, s AS (SELECT slug, count(*) AS n_rows FROM deals WHERE slug IS NOT NULL GROUP BY slug),
 p AS (SELECT a.slug, b.n_rows AS m FROM s a JOIN s b ON a.slug <> b.slug AND levenshtein(a.slug, b.slug) <= 1)
 SELECT slug, any_value(n_rows) AS n_rows, count(m) AS n_near, coalesce(sum(m), 0)::BIGINT AS n_near_rows FROM s LEFT JOIN p USING (slug) GROUP BY slug"""
+SQL["raw_properties"] = """WITH e AS (SELECT event_id, CASE event_id % 7 WHEN 1 THEN '{"k": null}' WHEN 2 THEN replace(replace(props, ': ', ': "'), '}', '"}') WHEN 3 THEN '{' || props WHEN 4 THEN '{}' WHEN 5 THEN NULL ELSE props END AS raw FROM events),
+t AS (SELECT event_id, CASE WHEN raw IS NULL THEN 'none' WHEN NOT json_valid(raw) THEN 'malformed' ELSE CASE json_type(CASE WHEN json_valid(raw) THEN raw END, '$.k') WHEN 'NULL' THEN 'null' WHEN 'UBIGINT' THEN 'ok' WHEN 'BIGINT' THEN 'ok' WHEN 'VARCHAR' THEN 'type' ELSE 'missing' END END AS state, raw FROM e)
+SELECT event_id, state, CASE WHEN state = 'ok' THEN json_extract_string(raw, '$.k')::BIGINT END AS value FROM t"""
 _LATEST = "FROM x WHERE early = {0} QUALIFY row_number() OVER (PARTITION BY report_key ORDER BY seen_at DESC, id DESC) = 1"
 SQL["upserted_pages"] = f"""{D}, x AS (SELECT report_key, id, amount, seen_at, seen_at < TIMESTAMP '1995-06-01' AS early FROM deals), e AS (SELECT * {_LATEST.format("true")}), l AS (SELECT * {_LATEST.format("false")})
 SELECT coalesce(l.report_key, e.report_key) AS report_key, coalesce(l.id, e.id) AS page_id, e.amount, CASE WHEN l.id IS NOT NULL THEN 'PASS' END AS qa_status FROM e FULL JOIN l ON e.report_key = l.report_key"""
