@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from recsieve.llm.common import cut
+from recsieve.llm.common import RUN, cut
 
 PACK = 128
 ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
@@ -111,10 +111,13 @@ def pack_conversations(rows: DataFrame, pack: int = PACK) -> DataFrame:
     convs = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     convs = convs.select("conv_id", F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
     # prefixes[d] stands for the first d + 1 turns
-    none = F.array().cast("array<string>")
     before = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(""))
     chain = lambda a, x: F.concat(a, F.array(F.md5(F.concat_ws(":", before(a), F.length(x["role"]).cast("string"), x["role"], x["text"]))))
-    convs = convs.withColumn("prefixes", F.aggregate("turns", none, chain))
+    # a fold that appends copies its array each time: pieces of RUN turns are folded, each from the digest that the piece before ended with
+    pieces = F.transform(F.sequence(F.lit(0), F.ceil(F.size("turns") / RUN).cast("int") - 1), lambda i: F.slice("turns", i * RUN + 1, F.lit(RUN)))
+    from_last = lambda a: F.array(F.coalesce(F.element_at(F.get(a, F.size(a) - 1), -1), F.lit(""))).cast("array<string>")
+    piece = lambda a, p: F.concat(a, F.array(F.slice(F.aggregate(p, from_last(a), chain), F.lit(2), F.size(p))))
+    convs = convs.withColumn("prefixes", F.flatten(F.aggregate(pieces, F.array().cast("array<array<string>>"), piece)))
     each = convs.select("conv_id", F.posexplode("prefixes").alias("d", "prefix"))
     hot = cut(each.groupBy("prefix").agg(F.count("*").alias("n"), F.max("d").alias("d"), F.min("conv_id").alias("one")).where(F.col("n") > pack))
     size = lambda turns: F.aggregate(turns, F.lit(0), lambda a, x: a + turn_size(x["role"], x["text"]))

@@ -162,3 +162,14 @@ def test_each_prefix_has_one_node(spark):
             assert n.position == offset + sum(x.end - x.start for x in n.attends)
     assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat_format.unpack(packs).collect()} == chats
     assert {r.conv_id: r.loss_text for r in chat_format.unpack(packs).collect()} == {c: "".join(x for r, x in turns if r == "assistant") for c, turns in chats.items()}
+
+
+def test_a_conversation_of_many_turns(spark):
+    """10,000 turns, and one that leaves it after 5,000: read back whole, the shared turns once."""
+    said = lambda n: [("assistant" if i % 2 else "user", f"turn {i}") for i in range(n)]
+    chats = {1: said(10_000), 2: [*said(5_000), ("user", "other"), ("assistant", "end")], 3: said(128), 4: said(129)}
+    rows = [(c, t, r, x) for c, turns in chats.items() for t, (r, x) in enumerate(turns)]
+    packs = chat_format.pack_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    assert packs.agg({"text": "count"}).first()[0] == 1 and packs.selectExpr("size(nodes) as n").first().n == 10_002
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat_format.unpack(packs).collect()} == chats
+    packs.unpersist()
