@@ -13,6 +13,7 @@ from recsieve.operators import blocks as B
 from recsieve.operators import dedup, names, qa, trees
 from recsieve.operators import resilience as R
 from recsieve.plans.oracle import SQL
+from recsieve.sources import paged
 from recsieve.sources import tables as T
 from recsieve.sources.staging import checkpoint_dir
 from recsieve.sources.stored import StoredTable
@@ -462,6 +463,14 @@ def near_slugs(spark, sf_dir):
     return names.near_names(T.deals(spark, sf_dir), "slug").withColumnRenamed("name", "slug")
 
 
+@query
+def paged_calls(spark, sf_dir):
+    """Failed calls from an id on by service, through the paged source: id and type are pushed down to it, the service isn't."""
+    e = paged.read_paged(spark, "recsieve.sources.paged:ParquetPages", "event_id long, ts timestamp_ntz, user_id long, event_type string", 500, path=f"{sf_dir}/events.parquet", columns=["ts", "event_id", "event_type"])
+    late = e.where("event_type = 'error' and event_id >= 500 and user_id % 4 < 3")
+    return late.groupBy((F.col("user_id") % 4).alias("service")).agg(F.count("*").alias("n_failed"), F.max("event_id").alias("last_id"))
+
+
 @query
 def upserted_pages(spark, sf_dir):
     """A stored table of canonical pages by key after two upserts: pages found later create or update; of one key, the latest counts."""

@@ -272,6 +272,7 @@ n AS (SELECT prefix, count(report_key) AS n_keys FROM (SELECT DISTINCT prefix FR
 SQL["near_slugs"] = f"""{D}, s AS (SELECT slug, count(*) AS n_rows FROM deals WHERE slug IS NOT NULL GROUP BY slug),
 p AS (SELECT a.slug, b.n_rows AS m FROM s a JOIN s b ON a.slug <> b.slug AND levenshtein(a.slug, b.slug) <= 1)
 SELECT slug, any_value(n_rows) AS n_rows, count(m) AS n_near, coalesce(sum(m), 0)::BIGINT AS n_near_rows FROM s LEFT JOIN p USING (slug) GROUP BY slug"""
+SQL["paged_calls"] = "SELECT user_id % 4 AS service, count(*) AS n_failed, max(event_id) AS last_id FROM events WHERE event_type = 'error' AND event_id >= 500 AND user_id % 4 < 3 GROUP BY 1"
 SQL["raw_properties"] = """WITH e AS (SELECT event_id, CASE event_id % 7 WHEN 1 THEN '{"k": null}' WHEN 2 THEN replace(replace(props, ': ', ': "'), '}', '"}') WHEN 3 THEN '{' || props WHEN 4 THEN '{}' WHEN 5 THEN NULL ELSE props END AS raw FROM events),
 t AS (SELECT event_id, CASE WHEN raw IS NULL THEN 'none' WHEN NOT json_valid(raw) THEN 'malformed' ELSE CASE json_type(CASE WHEN json_valid(raw) THEN raw END, '$.k') WHEN 'NULL' THEN 'null' WHEN 'UBIGINT' THEN 'ok' WHEN 'BIGINT' THEN 'ok' WHEN 'VARCHAR' THEN 'type' ELSE 'missing' END END AS state, raw FROM e)
 SELECT event_id, state, CASE WHEN state = 'ok' THEN json_extract_string(raw, '$.k')::BIGINT END AS value FROM t"""
