@@ -118,23 +118,24 @@ def _starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append((g, x, *state))
             if end is None and (start - state[1] >= wait if state[2] else start == state[0]) and bool(kind) == state[2]:
                 end = (fails + (state[0] if own else 0), last, is_open)
-        yield pd.DataFrame(out, columns=["g_", "slice_", "s_fails", "s_last", "s_open"])
+        yield pd.DataFrame(out, columns=["g", "slice", "s_fails", "s_last", "s_open"])
 
 
 def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Calls in order of group, slice and time, with the state at their slice's start: what a breaker does with each."""
-    now, state = None, (0, 0.0, False)
+    """Calls in order of group, slice and time, each slice led by a row with the state at its start: what a breaker does with each call."""
+    state = (0, 0.0, False)
     for batch in batches:
         out = []
-        for g, x, s, t, i, ok, most, wait, *start in zip(*(batch[c] for c in ("g", "slice", "service", "t", "id", "ok", "threshold", "reset_after", "s_fails", "s_last", "s_open"))):
-            if (g, x) != now:
-                now, state = (g, x), tuple(start)
+        for g, call, t, i, ok, most, wait, *start in zip(*(batch[c] for c in ("g", "call", "t", "id", "ok", "threshold", "reset_after", "s_fails", "s_last", "s_open"))):
+            if not call:
+                state = tuple(start)
+                continue
             fails, last, is_open = state
             allowed = not is_open or t - last >= wait
             if allowed:
                 state = (0, 0.0, False) if ok else (fails + 1, t, fails + 1 >= most)
-            out.append((s, t, i, allowed, state[0], "open" if state[2] else "closed"))
-        yield pd.DataFrame(out, columns=["service", "t", "id", "allowed", "fails", "state"])
+            out.append((g, t, i, allowed, state[0], "open" if state[2] else "closed"))
+        yield pd.DataFrame(out, columns=["g", "t", "id", "allowed", "fails", "state"])
 
 
 def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: float | None = None, slice_s: float = 3600.0) -> DataFrame:
@@ -145,18 +146,24 @@ def breaker_log(calls: DataFrame, threshold: int | None = None, reset_after: flo
     calls have them as columns, the same for all of a service. Each call depends on the one before. So slices of time are read apart: each
     gives a map from any state at its start to the one at its end, the maps of a service are put together in order, and each
     slice is then read again from the state that it starts in. A task has a slice's calls, or a service's maps, as a stream; what it holds
-    is a slice's courses.
+    is a slice's courses. That state comes as a row ahead of the slice's calls and not by a join: a join by service and slice deals rows
+    as the reading needs them, so Spark leaves out the exchange after it, and may then split a slice among tasks, as joins allow.
+    Calls without a time are left out.
     """
     own = {"threshold": F.lit(threshold) if threshold is not None else F.col("threshold"), "reset_after": F.lit(reset_after) if reset_after is not None else F.col("reset_after")}
     rows = calls.select("service", "t", "id", "ok", own["threshold"].cast("int").alias("threshold"), own["reset_after"].cast("double").alias("reset_after"))
     # a text for each service, null too, to tell groups apart by
     rows = rows.withColumns({"g": F.coalesce(F.concat(F.lit("="), F.col("service").cast("string")), F.lit("")), "slice": F.floor(F.col("t") / slice_s)})
-    ordered = lambda df: df.repartition("g", "slice").sortWithinPartitions("g", "slice", "t", "id")
+    rows = rows.where("t is not null").withColumn("call", F.lit(True))
+    ordered = lambda df: df.repartition("g", "slice").sortWithinPartitions("g", "slice", "call", "t", "id")
     maps = ordered(rows.drop("service")).mapInPandas(_slice_maps, "g string, slice long, reset_after double, kind int, start double, fails int, last double, is_open boolean, own boolean")
-    starts = maps.repartition("g").sortWithinPartitions("g", "slice", "kind", "start").mapInPandas(_starts, "g_ string, slice_ long, s_fails int, s_last double, s_open boolean")
-    known = rows.join(starts, (F.col("g") == F.col("g_")) & (F.col("slice") == F.col("slice_")))
-    kind = calls.schema["service"].dataType.simpleString()
-    return ordered(known.drop("g_", "slice_")).mapInPandas(_replay, f"service {kind}, t double, id long, allowed boolean, fails int, state string")
+    starts = maps.repartition("g").sortWithinPartitions("g", "slice", "kind", "start").mapInPandas(_starts, "g string, slice long, s_fails int, s_last double, s_open boolean")
+    none = {"t": "0D", "id": "0L", "ok": "false", "threshold": "0", "reset_after": "0D"}
+    led = starts.withColumns({c: F.expr(v) for c, v in none.items()} | {"call": F.lit(False)})
+    own_calls = rows.drop("service").withColumns({"s_fails": F.lit(0), "s_last": F.lit(0.0), "s_open": F.lit(False)})
+    log = ordered(led.unionByName(own_calls)).mapInPandas(_replay, "g string, t double, id long, allowed boolean, fails int, state string")
+    kind = calls.schema["service"].dataType
+    return log.select(F.when(F.col("g") != "", F.expr("substring(g, 2)")).cast(kind).alias("service"), "t", "id", "allowed", "fails", "state")
 
 
 def breaker_summary(log: DataFrame) -> DataFrame:

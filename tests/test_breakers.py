@@ -64,3 +64,28 @@ def test_no_task_has_more_than_a_slice(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in text.splitlines() if "REPARTITION_BY_COL" in line]
     assert sum("slice#" in line for line in dealt) >= 2 and "Window" not in text
+
+
+def test_no_slice_is_split_where_joins_change_at_run_time(spark):
+    """Calls too large to be broadcast, whose starts turn out small at run time: joins then read shuffles locally, in parts of a slice."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "20k"}
+    mixed = sorted(((f"s{i % 2}", i / 10, i, i % 7 < 4) for i in range(6000)), key=lambda r: r[2] * 7919 % 6000)
+    df = spark.createDataFrame(mixed, "service string, t double, id long, ok boolean").repartition(6)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        log = breaker_log(df, 2, 12.0, 50.0)
+        dealt = [line for line in log._jdf.queryExecution().executedPlan().toString().splitlines() if "REPARTITION_BY_COL" in line]  # which no rule splits
+        got = {(r.service, r.id): r[1:] for r in log.collect()}
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    want = {(s, x[1]): x for s in ("s0", "s1") for x in machine(sorted(r[1:] for r in mixed if r[0] == s), 2, 12.0)[0]}
+    assert got == want
+    assert sum("slice#" in line for line in dealt) == 2
+
+
+def test_services_keep_their_type_and_calls_without_a_time_are_left_out(spark):
+    rows = [(2**53 + 1, 1.0, 1, False), (None, 1.0, 2, True), (2**53 + 1, None, 3, False), (2**53 + 1, 2.0, 4, False)]
+    log = breaker_log(spark.createDataFrame(rows, "service long, t double, id long, ok boolean"), 2, 10.0)
+    assert sorted((r.service or 0, r.id, r.state) for r in log.collect()) == [(0, 2, "closed"), (2**53 + 1, 1, "closed"), (2**53 + 1, 4, "open")]
