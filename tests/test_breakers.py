@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from recsieve.operators.resilience import SliceMap, breaker_log
+from recsieve.operators.resilience import SliceMap, breaker_log, preset_breaker_log
 
 
 def machine(calls, most, wait, state=(0, 0.0, False)):
@@ -89,3 +89,19 @@ def test_services_keep_their_type_and_calls_without_a_time_are_left_out(spark):
     rows = [(2**53 + 1, 1.0, 1, False), (None, 1.0, 2, True), (2**53 + 1, None, 3, False), (2**53 + 1, 2.0, 4, False)]
     log = breaker_log(spark.createDataFrame(rows, "service long, t double, id long, ok boolean"), 2, 10.0)
     assert sorted((r.service or 0, r.id, r.state) for r in log.collect()) == [(0, 2, "closed"), (2**53 + 1, 1, "closed"), (2**53 + 1, 4, "open")]
+
+
+def test_preset_breakers_deal_slices_whole(spark):
+    """Services with settings of their own and without, where joins aren't broadcast by plan."""
+    own = {"duckduckgo": (3, 600.0), "icebreaker": (2, 900.0), "other": (3, 300.0)}
+    calls = [(s, i * 37.0, i, i * 13 % 5 < 2) for i in range(1500) for s in own]
+    df = spark.createDataFrame(sorted(calls, key=lambda r: r[2] * 7919 % 1500), "service string, t double, id long, ok boolean").repartition(6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        log = preset_breaker_log(df)
+        dealt = [line for line in log._jdf.queryExecution().executedPlan().toString().splitlines() if "REPARTITION_BY_COL" in line]
+        got = {(r.service, r.id): r[1:] for r in log.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(s, x[1]): x for s, (most, wait) in own.items() for x in machine(sorted(r[1:] for r in calls if r[0] == s), most, wait)[0]}
+    assert sum("slice#" in line for line in dealt) == 2
