@@ -37,3 +37,13 @@ def test_near_names(spark, most):
     got = {r.name: (r.n_rows, r.n_near, r.n_near_rows) for r in near_names(spark.createDataFrame([(x,) for x in names], "s string"), "s", most).collect()}
     known = [x for x in names if x is not None]
     assert got == {x: (known.count(x), len({y for y in known if y != x and distance(x, y) <= most}), sum(y != x and distance(x, y) <= most for y in known)) for x in known}
+
+
+def test_near_names_broadcasts_no_names(spark):
+    """Tables that look small to Spark, but aren't once characters are taken out: only lengths are broadcast, and no pairs are made at a distance of 1."""
+    df = spark.range(50_000).selectExpr("concat('customer-', lpad(id % 1000, 9, '0')) as s")
+    plan = near_names(df, "s")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "levenshtein" not in text and text.count("BroadcastHashJoin") == 1 and "BroadcastHashJoin [length(" in text
+    assert {(r.n_rows, r.n_near, r.n_near_rows) for r in plan.collect()} == {(50, 27, 1350)}
+    assert "BroadcastHashJoin" not in near_names(df, "s", 2)._jdf.queryExecution().executedPlan().toString()
