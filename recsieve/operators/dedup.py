@@ -53,13 +53,18 @@ def tolerance_links(deals: DataFrame, by: str, tolerance: float = 0.05) -> DataF
 
 
 def band_pairs(left: DataFrame, right: DataFrame, tolerance: float = 0.05) -> DataFrame:
-    """Pairs (a, b) of left (a, amount_a) and right (b, amount_b) whose amounts match: an equi-join on logarithmic buckets.
+    """Pairs (a, b) of left (a, amount_a) and right (b, amount_b) whose amounts match.
 
+    Amounts that match are found once for all rows that have them, by an equi-join on logarithmic buckets; rows then join by equality
+    of amounts. So every pair that is made is a result, and tasks share the pairs by right amounts, which are many more than buckets.
     Rows with negative amounts have no pairs here.
     """
-    l = left.where("amount_a >= 0").withColumn("bucket", _bucket(F.col("amount_a"), tolerance))  # noqa: E741
-    r = right.where("amount_b >= 0").withColumn("bucket", _around(_bucket(F.col("amount_b"), tolerance)))
-    return l.join(r, "bucket").where(amounts_match(F.col("amount_a"), F.col("amount_b"), tolerance)).select("a", "b")
+    l, r = left.where("amount_a >= 0").select("a", "amount_a"), right.where("amount_b >= 0").select("b", "amount_b")  # noqa: E741
+    of_a = l.select("amount_a").distinct().withColumn("bucket", _bucket(F.col("amount_a"), tolerance))
+    of_b = r.select("amount_b").distinct().withColumn("bucket", _around(_bucket(F.col("amount_b"), tolerance)))
+    match = of_a.join(of_b, "bucket").where(amounts_match(F.col("amount_a"), F.col("amount_b"), tolerance)).select("amount_a", "amount_b")
+    # by sorting: a broadcast of r would leave all its pairs to the few tasks that read l
+    return l.join(match, "amount_a").select("a", "amount_b").join(r.hint("merge"), "amount_b").select("a", "b")
 
 
 NEEDLES, NEEDLE_BYTES = 1000, 1 << 20
