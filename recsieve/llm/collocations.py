@@ -5,11 +5,11 @@ about SHARD_BYTES. Words of a shard get ids; ranks of the stretches of 2 and of
 the places in order of their first five words are the shard's suffix array, cut at that depth. Places in a row that share k words or
 more are an interval: its size is how often the shard has that phrase of k words.
 
-Shards' counts are added up by key in two passes. The first counts words and pairs by 64-bit hashes, and keeps which hashes come `least`
+Shards' counts are added up by key in two passes. The first counts words, pairs and triples by 64-bit hashes, and keeps which hashes come `least`
 times or more, as one bitmap of a fixed size (16 MB; `bits`, a power of two of 32,768 at least) however large the corpus is: hashes that share a bit can only keep
-phrases that could go. A phrase that comes `least` times consists of pairs that do. So the second pass reads texts again,
-parts them where a pair isn't frequent, and sends the phrases of what is left as texts with their counts, which decide. The more
-texts there are, the more pairs are frequent: the bitmap then keeps more, and nothing is lost. Words are told apart by 64-bit hashes
+phrases that could go. A phrase that comes `least` times consists of pairs and triples that do. So the second pass reads texts again,
+parts them where a pair isn't frequent, ends phrases where a triple isn't, and sends what is left as texts with their counts, which
+decide. The more texts there are, the more pairs are frequent: the bitmap then keeps more, and nothing is lost. Words are told apart by 64-bit hashes
 within a shard.
 
 A candidate is a phrase of 2 to `longest` words with a = f(phrase) >= least. Its parts have counts of their own in the same table, as
@@ -68,6 +68,10 @@ class Shard:
         """For each word but the last, a hash of it and the next one."""
         return mix(self.hash[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ self.hash[1:])
 
+    def triple_hashes(self) -> np.ndarray:
+        """For each word but the last two, a hash of it and the next two."""
+        return mix(self.pair_hashes()[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ self.hash[2:])
+
 
 def _slice(data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, of_lang: np.ndarray) -> Shard:
     """A slice's words; its texts have the languages `lang`, whose hashes are `of_lang`."""
@@ -108,12 +112,6 @@ def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> list[tuple[np.nd
     return out
 
 
-def _left(follows: np.ndarray) -> np.ndarray:
-    """From each word, how many there are to the end of its piece, itself included."""
-    ends = np.append(np.flatnonzero(~follows), len(follows))
-    return ends[np.searchsorted(ends, np.arange(len(follows)), side="right")] - np.arange(len(follows))
-
-
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[Shard, list[str]]]:
     """Shards and the languages' names, by number."""
     held: list[Shard] = []
@@ -150,14 +148,15 @@ def _in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, BATCH)
 
 
-def _hashed(shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _hashed(longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each shard's words and pairs with their counts."""
+        """Each shard's words, pairs and triples with their counts."""
         for shard, _ in _shards(batches, shard_bytes):
             if len(shard.hash):
-                (at, n), (first, pairs) = intervals(shard.hash, _left(shard.follows), 2)
-                key = np.concatenate([shard.hash[at], shard.pair_hashes()[first]])
-                yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.concatenate([n, pairs]), pa.int64())], names=["key", "n"]))
+                one = shard.follows
+                for hashes in (lambda: shard.hash, lambda: shard.pair_hashes()[one[1:]], lambda: shard.triple_hashes()[one[1:-1] & one[2:]])[: min(longest, 3)]:  # one sort at a time
+                    key, n = np.unique(hashes(), return_counts=True)
+                    yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"]))
 
     return run
 
@@ -205,11 +204,19 @@ def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> C
             some = np.flatnonzero(follows | with_next)  # stretches of two words or more, whose pairs are all frequent
             found = [(alone[first], n)]
             if len(some):
-                found += [(some[at], n) for at, n in intervals(shard.hash[some], _left(follows[some]), longest)[1:]]
-            place, count = (np.concatenate(x) for x in zip(*found))
-            k = np.repeat(np.arange(1, len(found) + 1), [len(at) for at, _ in found])
-            lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
-            yield from _in_batches(pa.RecordBatch.from_arrays([lang, _phrases(shard, place, k), pa.array(count, pa.int64())], names=["lang", "phrase", "n"]))
+                left = 1 + with_next.astype(np.int64)
+                if longest > 2:
+                    triples = np.zeros(len(follows), dtype=bool)  # three words from here on, that are frequent
+                    triples[:-2] = follows[1:-1] & follows[2:] & _has(bitmap.value, shard.triple_hashes())
+                    others = np.append(np.flatnonzero(~triples), len(triples))
+                    run = others[np.searchsorted(others, np.arange(len(triples)))] - np.arange(len(triples))
+                    left[triples] = 2 + run[triples]
+                found += [(some[at], n) for at, n in intervals(shard.hash[some], left[some], longest)[1:]]
+            for k, (places, counts) in enumerate(found, 1):
+                for i in range(0, len(places), BATCH):  # a batch's texts at a time
+                    place = places[i : i + BATCH]
+                    lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
+                    yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, np.full(len(place), k)), pa.array(counts[i : i + BATCH], pa.int64())], names=["lang", "phrase", "n"])
 
     return run
 
@@ -217,7 +224,7 @@ def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> C
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST, shard_bytes: int = SHARD_BYTES, bits: int = BITS) -> DataFrame:
     """(lang, phrase, n): all words and phrases of up to `longest` words that come `least` times or more; with a null phrase, a language's words."""
     texts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    hashed = texts.mapInArrow(_hashed(shard_bytes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    hashed = texts.mapInArrow(_hashed(longest, shard_bytes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(hashed.where(F.col("n") >= least), bits))
     counted = texts.mapInArrow(_counted(bitmap, longest, shard_bytes), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counted.where(F.col("phrase").isNull() | (F.col("n") >= least))
