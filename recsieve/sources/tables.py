@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from recsieve.functions.amounts import parse_amount
 from recsieve.functions.keys import report_key, slugify
@@ -76,8 +77,11 @@ def investors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """service, t (seconds), id, ok."""
-    return table(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("service"), F.expr("unix_micros(cast(ts AS timestamp)) / 1000000D").alias("t"), F.col("event_id").alias("id"), (F.col("event_type") != "error").alias("ok"))
+    """service, t (seconds), id, ok. Times without a zone are taken as they stand, whatever the session's zone does to its clock."""
+    e = table(spark, sf_dir, "events")
+    plain = isinstance(e.schema["ts"].dataType, TimestampNTZType)
+    t = F.expr("cast(cast(ts - timestamp_ntz'1970-01-01' AS interval second) AS decimal(18, 6))" if plain else "unix_micros(ts) / 1000000D")
+    return e.select((F.col("user_id") % 4).alias("service"), t.cast("double").alias("t"), F.col("event_id").alias("id"), (F.col("event_type") != "error").alias("ok"))
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 import random
 
+import duckdb
 import pytest
 
 from recsieve.operators.resilience import SliceMap, breaker_log, preset_breaker_log
+from recsieve.plans import catalogue
 
 
 def machine(calls, most, wait, state=(0, 0.0, False)):
@@ -105,3 +107,19 @@ def test_preset_breakers_deal_slices_whole(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {(s, x[1]): x for s, (most, wait) in own.items() for x in machine(sorted(r[1:] for r in calls if r[0] == s), most, wait)[0]}
     assert sum("slice#" in line for line in dealt) == 2
+
+
+@pytest.mark.parametrize("name", ["preset_breaker_states", "breaker_states"])
+def test_times_do_not_follow_the_sessions_zone(spark, tmp_path, name):
+    """Calls over the hours that New York's clock leaves out in March and has twice in November."""
+    con = duckdb.connect()
+    con.execute("""CREATE TABLE events AS SELECT i AS event_id, ts, i % 4 AS user_id, CASE WHEN i * 7919 % 11 < 6 THEN 'error' ELSE 'view' END AS event_type, 0.5 AS value, '{}' AS props
+        FROM (SELECT i, CASE WHEN i % 2 = 0 THEN TIMESTAMP '2024-03-10 00:00:00' ELSE TIMESTAMP '2024-11-03 00:00:00' END + to_microseconds(i * 7000001) AS ts FROM range(4000) r(i)) AS made""")
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = sorted(map(tuple, catalogue.queries()[name](spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == sorted(con.sql(catalogue.oracle_sql()[name]).fetchall())
