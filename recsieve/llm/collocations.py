@@ -10,7 +10,7 @@ times or more, as one bitmap of a fixed size (16 MB; `bits`, a power of two of 3
 phrases that could go. A phrase that comes `least` times consists of pairs and triples that do. So the second pass reads texts again,
 parts them where a pair isn't frequent, ends phrases where a triple isn't, and sends what is left as texts with their counts, which
 decide. The more texts there are, the more pairs are frequent: the bitmap then keeps more, and nothing is lost. Words are told apart by 64-bit hashes
-within a shard.
+within a shard. A task holds one shard's words and one sort of them; what it looks up is made by pieces, and phrases go out one length at a time.
 
 A candidate is a phrase of 2 to `longest` words with a = f(phrase) >= least. Its parts have counts of their own in the same table, as
 they come at least as often. Arithmetic is in decimals of 38 digits. The first `top` of each language are found within parts
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,11 @@ BUCKET = 1 << 15
 """Bits of one of Spark's bitmaps."""
 BITS = 4096 * BUCKET
 BATCH = 1 << 16
-"""Rows that a task gives to Spark at once."""
+"""Rows that a task gives to Spark at once, and words that it looks up at once."""
+TEXTS = 1 << 14
+"""Phrases whose texts are made at once."""
+PART_BYTES = 1 << 19
+"""Bytes of texts that are parted into words at once."""
 LEAST, LONGEST, TOP = 100, 5, 2000
 BROADCAST_BYTES = 1 << 20
 PARTS = 64
@@ -55,7 +59,7 @@ _BETWEEN[[0x20, 0x09]] = True
 
 @dataclass
 class Shard:
-    """The words of some texts: byte ranges, languages, hashes that differ by language, and which words follow which in one piece."""
+    """The words of some texts: byte ranges, languages, hashes that differ by language, and which words follow which in one piece. A byte follows each word."""
 
     data: np.ndarray
     starts: np.ndarray
@@ -66,11 +70,24 @@ class Shard:
 
     def pair_hashes(self) -> np.ndarray:
         """For each word but the last, a hash of it and the next one."""
-        return mix(self.hash[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ self.hash[1:])
+        return _and_next(self.hash[:-1], 0x9E3779B97F4A7C15, self.hash[1:])
 
     def triple_hashes(self) -> np.ndarray:
         """For each word but the last two, a hash of it and the next two."""
-        return mix(self.pair_hashes()[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ self.hash[2:])
+        return _and_next(self.pair_hashes()[:-1], 0xC2B2AE3D27D4EB4F, self.hash[2:])
+
+
+def _pieces(n: int) -> Iterator[slice]:
+    for i in range(0, n, BATCH):
+        yield slice(i, i + BATCH)
+
+
+def _and_next(x: np.ndarray, by: int, following: np.ndarray) -> np.ndarray:
+    """Hashes of what x and following stand for, one after the other."""
+    out = np.empty(len(following), dtype=np.uint64)
+    for at in _pieces(len(out)):
+        out[at] = mix(x[at] * np.uint64(by) ^ following[at])
+    return out
 
 
 def _slice(data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, of_lang: np.ndarray) -> Shard:
@@ -84,32 +101,58 @@ def _slice(data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, of_lang: np.
     return Shard(words.data, words.starts.astype(np.int32), words.ends.astype(np.int32), lang.astype(np.int32), mix(words.hashes() ^ of_lang[lang]), follows)
 
 
-def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For k = 1 to `longest`: a place of each phrase of k elements, and how often x has it. `left`: elements from a place to its piece's end."""
-    ranks = {1: np.unique(x, return_inverse=True)[1]}
-    k = 1
+def _in_order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of x by value, then place; and which of them are the first with their value."""
+    order = np.argsort(x, kind="stable").astype(np.int32)
+    fresh = np.ones(len(x), dtype=bool)
+    for at in _pieces(len(x) - 1):
+        fresh[1:][at] = x[order[1:][at]] != x[order[:-1][at]]
+    return order, fresh
+
+
+def _sizes(first: np.ndarray, n: int) -> np.ndarray:
+    """How far it is from each of `first` to the next, and to n."""
+    return np.diff(np.append(first, n))
+
+
+def _ranks(x: np.ndarray) -> np.ndarray:
+    """For each element, how many distinct values of x are less."""
+    order, fresh = _in_order(x)
+    out = np.empty(len(x), dtype=np.int32)
+    out[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    return out
+
+
+def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 1 to `longest`: k, a place of each phrase of k elements, and how often x has it. `left`: elements from a place to its piece's end."""
+    n = len(x)
+    ranks = {1: _ranks(x)}
+    one, k = ranks[1], 1
+    del x
     while k < longest:
         more = min(k, 1 << (longest - k).bit_length() - 1)
-        next_one = np.zeros(len(x), dtype=np.int64)  # 0: the piece ends before
-        next_one[: len(x) - k] = ranks[more][k:] + 1
-        next_one[left <= k] = 0
-        ranks[k + more] = np.unique(ranks[k] * (int(ranks[more].max(initial=0)) + 2) + next_one, return_inverse=True)[1]
+        key = ranks[k].astype(np.int64)
+        key *= int(ranks[more].max(initial=0)) + 2
+        following = ranks[more][k:] + np.int32(1)
+        following[left[: len(following)] <= k] = 0  # the piece ends before
+        key[: len(following)] += following
         k += more
-    order = np.argsort(ranks[longest], kind="stable")  # the suffix array, by the first `longest` elements
-    a, b = order[:-1], order[1:]
-    shared = np.zeros(len(a), dtype=np.int8)  # how many elements neighbours share, up to `longest`
-    same = np.ones(len(a), dtype=bool)
-    for k in range(1, longest + 1):
-        i, j = np.minimum(a + k - 1, len(x) - 1), np.minimum(b + k - 1, len(x) - 1)
-        same &= (left[a] >= k) & (left[b] >= k) & (ranks[1][i] == ranks[1][j])
-        shared[same] = k
-    out = []
+        ranks = {j: r for j, r in ranks.items() if j <= longest - k} | {k: _ranks(key)}
+        del key, following
+    order, _ = _in_order(ranks[longest])  # the suffix array, by the first `longest` elements
+    del ranks
+    shared = np.zeros(max(n - 1, 0), dtype=np.int8)  # how many elements neighbours share, up to `longest`
+    for at in _pieces(n - 1):
+        a, b = order[:-1][at], order[1:][at]
+        same = np.ones(len(a), dtype=bool)
+        for k in range(1, longest + 1):
+            i, j = np.minimum(a + k - 1, n - 1), np.minimum(b + k - 1, n - 1)
+            same &= (left[a] >= k) & (left[b] >= k) & (one[i] == one[j])
+            shared[at][same] = k
     for k in range(1, longest + 1):
-        first = np.flatnonzero(np.append(True, shared < k)[: len(x)])
-        n = np.diff(np.append(first, len(x)))
+        first = np.flatnonzero(np.append(True, shared < k)[:n])
         there = left[order[first]] >= k
-        out.append((order[first[there]], n[there]))
-    return out
+        yield k, order[first[there]], _sizes(first, n)[there]
 
 
 def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[Shard, list[str]]]:
@@ -121,10 +164,13 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tup
 
     def done() -> tuple[Shard, list[str]]:
         shift = np.cumsum([0, *(len(x.data) for x in held)]).astype(np.int32)
-        places = (np.concatenate([getattr(x, a) + s for x, s in zip(held, shift)]) for a in ("starts", "ends"))
-        shard = Shard(np.concatenate([x.data for x in held]), *places, *(np.concatenate([getattr(x, a) for x in held]) for a in ("lang", "hash", "follows")))
+        for x, s in zip(held, shift):
+            x.starts += s
+            x.ends += s
+        parts = {f.name: [getattr(x, f.name) for x in held] for f in fields(Shard)}
         held.clear()
-        return shard, list(numbers)
+        parts["data"].append(np.full(1, 0x20, dtype=np.uint8))
+        return Shard(**{name: np.concatenate(parts.pop(name)) for name in list(parts)}), list(numbers)
 
     for batch in batches:
         named = batch.column("lang").cast(pa.string()).fill_null("und").dictionary_encode()
@@ -133,7 +179,7 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tup
             if numbers.setdefault(name, len(numbers)) == len(hashes):
                 hashes = np.append(hashes, np.frombuffer(hashlib.blake2b(name.encode(), digest_size=8).digest(), dtype=np.uint64))
         lang = np.array([numbers[x] for x in names], dtype=np.int64)[named.indices.to_numpy()] if len(named) else np.zeros(0, dtype=np.int64)
-        for i, j, data, offsets in text_slices(batch.column("text")):
+        for i, j, data, offsets in text_slices(batch.column("text"), min(PART_BYTES, shard_bytes)):
             if held and size + len(data) > shard_bytes:
                 yield done()
                 size = 0
@@ -148,22 +194,32 @@ def _in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, BATCH)
 
 
+def _tally(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of x, which is sorted in place, and how often they come."""
+    x.sort()
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+    return x[first], _sizes(first, len(x))
+
+
 def _hashed(longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each shard's words, pairs and triples with their counts."""
         for shard, _ in _shards(batches, shard_bytes):
             if len(shard.hash):
                 one = shard.follows
-                for hashes in (lambda: shard.hash, lambda: shard.pair_hashes()[one[1:]], lambda: shard.triple_hashes()[one[1:-1] & one[2:]])[: min(longest, 3)]:  # one sort at a time
-                    key, n = np.unique(hashes(), return_counts=True)
+                for hashes in (lambda: shard.hash.copy(), lambda: shard.pair_hashes()[one[1:]], lambda: shard.triple_hashes()[one[1:-1] & one[2:]])[: min(longest, 3)]:  # one sort at a time
+                    key, n = _tally(hashes())
                     yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"]))
 
     return run
 
 
 def _has(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bit = (key & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
-    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    out = np.empty(len(key), dtype=bool)
+    for at in _pieces(len(key)):
+        bit = (key[at] & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+        out[at] = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    return out
 
 
 def _bitmap(keys: DataFrame, size: int) -> np.ndarray:
@@ -179,7 +235,7 @@ def _bitmap(keys: DataFrame, size: int) -> np.ndarray:
 def _phrases(words: Shard, place: np.ndarray, k: np.ndarray) -> pa.Array:
     """The k words from each place on, joined by one space."""
     at = ranges(place, k)
-    data, ends = gather(np.append(words.data, 0x20).astype(np.uint8), words.starts[at], words.ends[at] + 1)
+    data, ends = gather(words.data, words.starts[at], words.ends[at] + 1)
     data[ends[1:] - 1] = 0x20
     ends = ends[np.concatenate([[0], np.cumsum(k)])]
     keep = np.ones(len(data), dtype=bool)
@@ -188,6 +244,35 @@ def _phrases(words: Shard, place: np.ndarray, k: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(place), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[keep])))
 
 
+def _found(shard: Shard, bitmap: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 1 to `longest`: k, a place of each phrase of k words that may be frequent, and how often the shard has it."""
+    alone = np.flatnonzero(_has(bitmap, shard.hash)).astype(np.int32)
+    order, fresh = _in_order(shard.hash[alone])
+    first = np.flatnonzero(fresh)
+    yield 1, alone[order[first]], _sizes(first, len(alone))
+    del alone, order, fresh, first
+    follows = shard.follows.copy()
+    follows[1:] &= _has(bitmap, shard.pair_hashes())
+    with_next = np.append(follows[1:], False)
+    some = np.flatnonzero(follows | with_next).astype(np.int32)  # stretches of two words or more, whose pairs are all frequent
+    if not len(some):
+        return
+    left = with_next.astype(np.int32) + np.int32(1)
+    if longest > 2:
+        triples = np.zeros(len(follows), dtype=bool)  # three words from here on, that are frequent
+        triples[:-2] = follows[1:-1] & follows[2:] & _has(bitmap, shard.triple_hashes())
+        here = np.arange(len(triples), dtype=np.int32)
+        others = np.where(triples, np.int32(len(triples)), here)
+        run = np.minimum.accumulate(others[::-1])[::-1] - here
+        left[triples] = 2 + run[triples]
+        del triples, here, others, run
+    left = left[some]
+    del follows, with_next
+    for k, at, n in intervals(shard.hash[some], left, longest):
+        if k > 1:
+            yield k, some[at], n
+
+
 def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each shard's phrases, as far as they may be frequent, with their counts; and, without a phrase, its words by language."""
@@ -196,27 +281,11 @@ def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> C
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array(total, pa.int64())], names=["lang", "phrase", "n"])
             if not len(shard.hash):
                 continue
-            alone = np.flatnonzero(_has(bitmap.value, shard.hash))
-            _, first, n = np.unique(shard.hash[alone], return_index=True, return_counts=True)
-            follows = shard.follows.copy()
-            follows[1:] &= _has(bitmap.value, shard.pair_hashes())
-            with_next = np.append(follows[1:], False)
-            some = np.flatnonzero(follows | with_next)  # stretches of two words or more, whose pairs are all frequent
-            found = [(alone[first], n)]
-            if len(some):
-                left = 1 + with_next.astype(np.int64)
-                if longest > 2:
-                    triples = np.zeros(len(follows), dtype=bool)  # three words from here on, that are frequent
-                    triples[:-2] = follows[1:-1] & follows[2:] & _has(bitmap.value, shard.triple_hashes())
-                    others = np.append(np.flatnonzero(~triples), len(triples))
-                    run = others[np.searchsorted(others, np.arange(len(triples)))] - np.arange(len(triples))
-                    left[triples] = 2 + run[triples]
-                found += [(some[at], n) for at, n in intervals(shard.hash[some], left[some], longest)[1:]]
-            for k, (places, counts) in enumerate(found, 1):
-                for i in range(0, len(places), BATCH):  # a batch's texts at a time
-                    place = places[i : i + BATCH]
+            for k, places, counts in _found(shard, bitmap.value, longest):
+                for i in range(0, len(places), TEXTS):  # some texts at a time
+                    place = places[i : i + TEXTS]
                     lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
-                    yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, np.full(len(place), k)), pa.array(counts[i : i + BATCH], pa.int64())], names=["lang", "phrase", "n"])
+                    yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, np.full(len(place), k)), pa.array(counts[i : i + TEXTS], pa.int64())], names=["lang", "phrase", "n"])
 
     return run
 

@@ -1,7 +1,9 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from recsieve.llm import collocations as C
@@ -85,3 +87,31 @@ def test_products_beyond_64_bits(spark, monkeypatch):
     counts = spark.createDataFrame([("en", None, n), ("en", "a", 3 * a), ("en", "b", 2 * a + 1), ("en", "a b", a)], "lang string, phrase string, n long")
     monkeypatch.setattr(C, "frequent_phrases", lambda *_: counts)
     assert result(spark.createDataFrame([], "lang string, text string")) == [("en", 1, "a b", a, 3 * a, 2 * a + 1, n, 1000 * a * n // (3 * a * (2 * a + 1)))]
+
+
+def test_a_shard_of_three_words(spark):
+    """Fewer words than the stretches whose ranks are doubled."""
+    for data in ([("en", "aa bb cc")], [("en", "aa bb cc")] * 3 + [("en", "aa bb")] * 2):
+        df = spark.createDataFrame(data, "lang string, text string")
+        assert result(df, least=1, shard_bytes=1) == brute(data, 1, 5, 2000) != []
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_memory_of_a_shard(shared):
+    """What both passes hold for each word of a shard, with all its phrases frequent too."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 200) % 50_000) for _ in range(6000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+
+    class Bitmap:
+        value = np.full(C.BITS // 8, 255 if shared else 0x11, dtype=np.uint8)
+
+    for run in (C._hashed(5, C.SHARD_BYTES), C._counted(Bitmap, 5, C.SHARD_BYTES)):
+        for _ in run(iter([batch.slice(0, 100)])):
+            pass
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 * 1_200_000
