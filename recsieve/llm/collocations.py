@@ -5,12 +5,16 @@ about SHARD_BYTES. Words of a shard get ids; ranks of the stretches of 2 and of
 the places in order of their first five words are the shard's suffix array, cut at that depth. Places in a row that share k words or
 more are an interval: its size is how often the shard has that phrase of k words.
 
-Shards' counts are added up by key in two passes. The first counts words, pairs and triples by 64-bit hashes, and keeps which hashes come `least`
-times or more, as one bitmap of a fixed size (16 MB; `bits`, a power of two of 32,768 at least) however large the corpus is: hashes that share a bit can only keep
-phrases that could go. A phrase that comes `least` times consists of pairs and triples that do. So the second pass reads texts again,
-parts them where a pair isn't frequent, ends phrases where a triple isn't, and sends what is left as texts with their counts, which
-decide. The more texts there are, the more pairs are frequent: the bitmap then keeps more, and nothing is lost. Words are told apart by 64-bit hashes
-within a shard. A task holds one shard's words and one sort of them; what it looks up is made by pieces, and phrases go out one length at a time.
+Shards' counts are added up in three passes. A phrase's key is a 64-bit hash. The first pass adds up all phrases of one to SHORT words by key. A phrase
+that comes `least` times consists of such that do: those go out as a bitmap of a fixed size (16 MB; `bits`, a power of two of 32,768 at
+least) however large the corpus is, and keys that share a bit can only keep phrases that could go. The second pass parts texts where a pair isn't
+frequent, ends phrases where a triple isn't, and adds up the longer phrases, which a task joins by key before it sends them.
+
+The third pass names the frequent keys. Counts carry a tag: the least class (16 bits of a hash) of a text that has the phrase. Just texts of that
+class send the phrase itself, so it travels about once and not from every shard; which class names which key goes out as bits of a fixed size too (PROBES bits for each key).
+Keys don't decide alone. A tag also has a check, 16 bits of another hash (of words' lengths and sums of bytes too), and the third pass holds every occurrence of a frequent key
+against its key's check. Keys with a phrase that fails it stand for more than one; all their phrases are counted again by their text. So a wrong
+count needs two phrases, one of them frequent, that share a key and a check, or a key and the bits that the bitmap of checks has by chance. A task holds one shard's words and one sort of them; what it looks up is made by pieces.
 
 A candidate is a phrase of 2 to `longest` words with a = f(phrase) >= least. Its parts have counts of their own in the same table, as
 they come at least as often. Arithmetic is in decimals of 38 digits. The first `top` of each language are found within parts
@@ -36,10 +40,18 @@ from pyspark.sql import functions as F
 
 from recsieve.llm.common import Words, cut, gather, mix, ranges, text_slices
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
+NAMED_BYTES = 1 << 20
+"""A shard's bytes where phrases are named, beside three bitmaps: nothing is added up there."""
 BUCKET = 1 << 15
 """Bits of one of Spark's bitmaps."""
 BITS = 4096 * BUCKET
+PROBES = 4
+"""Bits for each key where a bitmap is to let few others through."""
+SHORT = 3
+"""Words of the phrases that are counted without a bitmap."""
+HELD = 1 << 17
+"""Counts that a task holds to join them by key."""
 BATCH = 1 << 16
 """Rows that a task gives to Spark at once, and words that it looks up at once."""
 TEXTS = 1 << 14
@@ -59,22 +71,60 @@ _BETWEEN[[0x20, 0x09]] = True
 
 @dataclass
 class Shard:
-    """The words of some texts: byte ranges, languages, hashes that differ by language, and which words follow which in one piece. A byte follows each word."""
+    """The words of some texts: byte ranges, languages, hashes that differ by language, sums of bytes, classes of texts, and which words follow which in one piece.
+
+    A byte follows each word.
+    """
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     lang: np.ndarray
     hash: np.ndarray
+    sums: np.ndarray
+    text: np.ndarray
     follows: np.ndarray
 
     def pair_hashes(self) -> np.ndarray:
         """For each word but the last, a hash of it and the next one."""
-        return _and_next(self.hash[:-1], 0x9E3779B97F4A7C15, self.hash[1:])
+        return _and_next(self.hash[:-1], self.hash[1:])
 
     def triple_hashes(self) -> np.ndarray:
         """For each word but the last two, a hash of it and the next two."""
-        return _and_next(self.pair_hashes()[:-1], 0xC2B2AE3D27D4EB4F, self.hash[2:])
+        return _and_next(self.pair_hashes()[:-1], self.hash[2:])
+
+    def keys(self, place: np.ndarray, k: int) -> np.ndarray:
+        """Of the k words from each place on: their hash, whose first bit says whether they are more than SHORT."""
+        x = self.hash[place]
+        for j in range(1, k):
+            x = mix(x * _AND ^ self.hash[place + j])
+        return _key(x, k)
+
+    def checks(self, place: np.ndarray, k: int) -> np.ndarray:
+        """Of the k words from each place on: 16 bits of another hash."""
+        x = np.zeros(len(place), dtype=np.uint64)
+        for j in range(k):
+            x = mix(x * _CHECK ^ self.hash[place + j] + self.sums[place + j])
+        return x >> np.uint64(48)
+
+    def tags(self, place: np.ndarray, k: int) -> np.ndarray:
+        """Of the k words from each place on: their text's class, then their check."""
+        return self.text[place].astype(np.uint64) << np.uint64(16) | self.checks(place, k)
+
+    def left(self) -> np.ndarray:
+        """How many words there are from each word to its piece's end."""
+        last = np.append(~self.follows[1:], True)
+        here = np.arange(len(last), dtype=np.int32)
+        ends = np.where(last, here, np.int32(len(last)))
+        return np.minimum.accumulate(ends[::-1])[::-1] - here + np.int32(1)
+
+
+_AND, _CHECK, _CLASS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
+_KEY = np.uint64((1 << 63) - 1)
+
+
+def _key(x: np.ndarray, k: int) -> np.ndarray:
+    return x & _KEY | np.uint64((k > SHORT) << 63)
 
 
 def _pieces(n: int) -> Iterator[slice]:
@@ -82,11 +132,11 @@ def _pieces(n: int) -> Iterator[slice]:
         yield slice(i, i + BATCH)
 
 
-def _and_next(x: np.ndarray, by: int, following: np.ndarray) -> np.ndarray:
+def _and_next(x: np.ndarray, following: np.ndarray) -> np.ndarray:
     """Hashes of what x and following stand for, one after the other."""
     out = np.empty(len(following), dtype=np.uint64)
     for at in _pieces(len(out)):
-        out[at] = mix(x[at] * np.uint64(by) ^ following[at])
+        out[at] = mix(x[at] * _AND ^ following[at])
     return out
 
 
@@ -98,7 +148,12 @@ def _slice(data: np.ndarray, offsets: np.ndarray, lang: np.ndarray, of_lang: np.
     follows = np.zeros(len(words.starts), dtype=bool)  # the word before is in the same piece
     follows[1:] = piece[1:] == piece[:-1]
     follows[words.ptr[:-1][words.ptr[:-1] < len(piece)]] = False
-    return Shard(words.data, words.starts.astype(np.int32), words.ends.astype(np.int32), lang.astype(np.int32), mix(words.hashes() ^ of_lang[lang]), follows)
+    hashes = words.hashes()
+    upto = np.append(np.uint64(0), np.cumsum(hashes))[words.ptr]
+    text = np.repeat((mix(upto[1:] - upto[:-1]) >> np.uint64(48)).astype(np.uint16), np.diff(words.ptr))
+    upto = np.append(np.uint32(0), np.cumsum(words.data, dtype=np.uint32))
+    sums = (upto[words.ends] - upto[words.starts] + np.uint32(257) * (words.ends - words.starts).astype(np.uint32)).astype(np.uint16)
+    return Shard(words.data, words.starts.astype(np.int32), words.ends.astype(np.int32), lang.astype(np.int32), mix(hashes ^ of_lang[lang]), sums, text, follows)
 
 
 def _in_order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,21 +170,22 @@ def _sizes(first: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(first, n))
 
 
-def _ranks(x: np.ndarray) -> np.ndarray:
-    """For each element, how many distinct values of x are less."""
+def _ranks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each element, how many distinct values of x are less; and the places of x by value, then place."""
     order, fresh = _in_order(x)
     out = np.empty(len(x), dtype=np.int32)
     out[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
-    return out
+    return out, order
 
 
 def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For k = 1 to `longest`: k, a place of each phrase of k elements, and how often x has it. `left`: elements from a place to its piece's end."""
     n = len(x)
-    ranks = {1: _ranks(x)}
-    one, k = ranks[1], 1
+    one, order = _ranks(x)
+    ranks, k = {1: one}, 1
     del x
     while k < longest:
+        del order
         more = min(k, 1 << (longest - k).bit_length() - 1)
         key = ranks[k].astype(np.int64)
         key *= int(ranks[more].max(initial=0)) + 2
@@ -137,9 +193,9 @@ def intervals(x: np.ndarray, left: np.ndarray, longest: int) -> Iterator[tuple[i
         following[left[: len(following)] <= k] = 0  # the piece ends before
         key[: len(following)] += following
         k += more
-        ranks = {j: r for j, r in ranks.items() if j <= longest - k} | {k: _ranks(key)}
+        ranks = {j: r for j, r in ranks.items() if j <= longest - k}
+        ranks[k], order = _ranks(key)  # at last the suffix array, by the first `longest` elements
         del key, following
-    order, _ = _in_order(ranks[longest])  # the suffix array, by the first `longest` elements
     del ranks
     shared = np.zeros(max(n - 1, 0), dtype=np.int8)  # how many elements neighbours share, up to `longest`
     for at in _pieces(n - 1):
@@ -189,29 +245,36 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tup
         yield done()
 
 
-def _in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for i in range(0, batch.num_rows, BATCH):
-        yield batch.slice(i, BATCH)
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows key, tag, count of all parts as one for each key: the least tag, all counts."""
+    key, tag, n = np.concatenate(parts, axis=1)
+    order, fresh = _in_order(key)
+    first = np.flatnonzero(fresh)
+    if not len(first):
+        return np.zeros((3, 0), dtype=np.uint64)
+    return np.stack([key[order[first]], np.minimum.reduceat(tag[order], first), np.add.reduceat(n[order], first)])
+
 
+def _tallies(shard: Shard, k: int, places: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
+    """Key, tag and count of the phrases of k words at some places, by pieces."""
+    for at in _pieces(len(places)):
+        yield np.stack([shard.keys(places[at], k), shard.tags(places[at], k), counts[at].astype(np.uint64)])
 
-def _tally(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of x, which is sorted in place, and how often they come."""
-    x.sort()
-    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
-    return x[first], _sizes(first, len(x))
+
+def _rows(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in _pieces(x.shape[1]):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[at]).view(np.int64)) for c in x], names=["key", "tag", "n"])
 
 
 def _hashed(longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each shard's words, pairs and triples with their counts."""
+    def short_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each shard's phrases of up to SHORT words with their counts."""
         for shard, _ in _shards(batches, shard_bytes):
-            if len(shard.hash):
-                one = shard.follows
-                for hashes in (lambda: shard.hash.copy(), lambda: shard.pair_hashes()[one[1:]], lambda: shard.triple_hashes()[one[1:-1] & one[2:]])[: min(longest, 3)]:  # one sort at a time
-                    key, n = _tally(hashes())
-                    yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"]))
+            for k, places, counts in intervals(shard.hash, shard.left(), min(longest, SHORT)):
+                for x in _tallies(shard, k, places, counts):
+                    yield from _rows(x)
 
-    return run
+    return short_phrases
 
 
 def _has(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -245,58 +308,148 @@ def _phrases(words: Shard, place: np.ndarray, k: np.ndarray) -> pa.Array:
 
 
 def _found(shard: Shard, bitmap: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For k = 1 to `longest`: k, a place of each phrase of k words that may be frequent, and how often the shard has it."""
-    alone = np.flatnonzero(_has(bitmap, shard.hash)).astype(np.int32)
-    order, fresh = _in_order(shard.hash[alone])
-    first = np.flatnonzero(fresh)
-    yield 1, alone[order[first]], _sizes(first, len(alone))
-    del alone, order, fresh, first
+    """For k from above SHORT to `longest`: k, a place of each phrase of k words that may be frequent, and how often the shard has it."""
     follows = shard.follows.copy()
-    follows[1:] &= _has(bitmap, shard.pair_hashes())
+    follows[1:] &= _has(bitmap, _key(shard.pair_hashes(), 2))
     with_next = np.append(follows[1:], False)
     some = np.flatnonzero(follows | with_next).astype(np.int32)  # stretches of two words or more, whose pairs are all frequent
     if not len(some):
         return
     left = with_next.astype(np.int32) + np.int32(1)
-    if longest > 2:
-        triples = np.zeros(len(follows), dtype=bool)  # three words from here on, that are frequent
-        triples[:-2] = follows[1:-1] & follows[2:] & _has(bitmap, shard.triple_hashes())
-        here = np.arange(len(triples), dtype=np.int32)
-        others = np.where(triples, np.int32(len(triples)), here)
-        run = np.minimum.accumulate(others[::-1])[::-1] - here
-        left[triples] = 2 + run[triples]
-        del triples, here, others, run
+    triples = np.zeros(len(follows), dtype=bool)  # three words from here on, that are frequent
+    triples[:-2] = follows[1:-1] & follows[2:] & _has(bitmap, _key(shard.triple_hashes(), 3))
+    here = np.arange(len(triples), dtype=np.int32)
+    others = np.where(triples, np.int32(len(triples)), here)
+    run = np.minimum.accumulate(others[::-1])[::-1] - here
+    left[triples] = 2 + run[triples]
+    del triples, here, others, run
     left = left[some]
     del follows, with_next
     for k, at, n in intervals(shard.hash[some], left, longest):
-        if k > 1:
+        if k > SHORT:
             yield k, some[at], n
 
 
 def _counted(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each shard's phrases, as far as they may be frequent, with their counts; and, without a phrase, its words by language."""
+    def longer_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's phrases of over SHORT words, as far as they may be frequent, with their counts."""
+        held = [np.zeros((3, 0), dtype=np.uint64)]
+        for shard, _ in _shards(batches, shard_bytes):
+            for k, places, counts in _found(shard, bitmap.value, longest):
+                for x in _tallies(shard, k, places, counts):
+                    held.append(x)
+                    if sum(y.shape[1] for y in held) > HELD:
+                        held = [_joined(held)]
+                        if held[0].shape[1] > HELD // 2:
+                            yield from _rows(held.pop())
+        if held:
+            yield from _rows(_joined(held))
+
+    return longer_phrases
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of keys and tags PROBES hashes each: of the key, of the key and the class that names it, of the key and its check."""
+    for batch in batches:
+        key, tag = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "tag"))
+        kinds = {"known": key, "named": _with(key, tag >> np.uint64(16)), "checked": _with(key, tag & np.uint64(0xFFFF))}
+        for probes in zip(*(_probes(x) for x in kinds.values())):
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in probes], names=list(kinds))
+
+
+def _with(key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return key ^ mix(x.astype(np.uint64) + _CLASS)
+
+
+def _probes(x: np.ndarray) -> Iterator[np.ndarray]:
+    for _ in range(PROBES):
+        x = mix(x * _CLASS + np.uint64(1))
+        yield x
+
+
+def _holds(bitmap: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of x have all their bits set."""
+    out = np.zeros(len(x), dtype=bool)
+    for at in _pieces(len(x)):
+        y = x[at]
+        some = np.arange(len(y))
+        for _ in range(PROBES):
+            y = mix(y * _CLASS + np.uint64(1))
+            there = _has(bitmap, y)
+            some, y = some[there], y[there]
+        out[at][some] = True
+    return out
+
+
+def _occurring(shard: Shard, longest: int, has: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For k = 1 to `longest`: k, the places of k words whose keys `has` has, and the keys, by pieces."""
+    x, there = shard.hash, np.ones(len(shard.hash), dtype=bool)
+    for k in range(1, longest + 1):
+        if k > 1:
+            x = _and_next(x[:-1], shard.hash[k - 1 :])
+            there = there[: len(x)] & shard.follows[k - 1 :]
+        for at in _pieces(len(x)):
+            place = np.flatnonzero(there[at]).astype(np.int32) + np.int32(at.start)
+            key = _key(x[place], k)
+            ok = has(key)
+            yield k, place[ok], key[ok]
+
+
+def _texts(shard: Shard, names: list[str], k: int, place: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(place), TEXTS):  # some texts at a time
+        at = place[i : i + TEXTS]
+        lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[at], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
+        yield pa.RecordBatch.from_arrays([pa.array(key[i : i + TEXTS].view(np.int64)), lang, _phrases(shard, at, np.full(len(at), k)), pa.array(np.ones(len(at), dtype=np.int64))], names=["key", "lang", "phrase", "n"])
+
+
+def _named(bitmaps: list[Broadcast[np.ndarray]], longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def named_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The phrases of frequent keys, from texts that are to name them; without a key, words by language; without a language, keys that stand for more phrases than one."""
+        known, named, checked = (x.value for x in bitmaps)
         for shard, names in _shards(batches, shard_bytes):
             total = np.bincount(shard.lang, minlength=len(names))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array(total, pa.int64())], names=["lang", "phrase", "n"])
-            if not len(shard.hash):
-                continue
-            for k, places, counts in _found(shard, bitmap.value, longest):
-                for i in range(0, len(places), TEXTS):  # some texts at a time
-                    place = places[i : i + TEXTS]
-                    lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang[place], pa.int32()), pa.array(names, pa.string())).dictionary_decode()
-                    yield pa.RecordBatch.from_arrays([lang, _phrases(shard, place, np.full(len(place), k)), pa.array(counts[i : i + TEXTS], pa.int64())], names=["lang", "phrase", "n"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(names), pa.int64()), pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array(total, pa.int64())], names=["key", "lang", "phrase", "n"])
+            for k, place, key in _occurring(shard, longest, lambda x: _holds(known, x)):
+                some = np.flatnonzero(_holds(named, _with(key, shard.text[place])))
+                _, first = np.unique(key[some], return_index=True)
+                yield from _texts(shard, names, k, place[some[first]], key[some[first]])
+                odd = np.unique(key[~_holds(checked, _with(key, shard.checks(place, k)))])
+                if len(odd):
+                    none = pa.nulls(len(odd), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(odd.view(np.int64)), none, none, pa.nulls(len(odd), pa.int64())], names=["key", "lang", "phrase", "n"])
+
+    return named_phrases
+
+
+def _counted_by_text(bitmap: Broadcast[np.ndarray], longest: int, shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each occurrence of a phrase whose key has its bit set."""
+        for shard, names in _shards(batches, shard_bytes):
+            for k, place, key in _occurring(shard, longest, lambda x: _has(bitmap.value, x)):
+                yield from _texts(shard, names, k, place, key)
 
-    return run
+    return occurrences
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST, shard_bytes: int = SHARD_BYTES, bits: int = BITS) -> DataFrame:
     """(lang, phrase, n): all words and phrases of up to `longest` words that come `least` times or more; with a null phrase, a language's words."""
     texts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    hashed = texts.mapInArrow(_hashed(longest, shard_bytes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(hashed.where(F.col("n") >= least), bits))
-    counted = texts.mapInArrow(_counted(bitmap, longest, shard_bytes), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("phrase").isNull() | (F.col("n") >= least))
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    added = lambda f: cut(texts.mapInArrow(f, "key long, tag long, n long").groupBy("key").agg(F.min("tag").alias("tag"), F.sum("n").alias("n")).where(F.col("n") >= least))
+    frequent = added(_hashed(longest, shard_bytes))
+    if longest > SHORT:
+        frequent = frequent.union(added(_counted(broadcast(_bitmap(frequent, bits)), longest, shard_bytes)))
+    slots = frequent.select("key", "tag").mapInArrow(_slots, "known long, named long, checked long")
+    bitmaps = [broadcast(_bitmap(slots.select(F.col(kind).alias("key")), bits)) for kind in slots.columns]  # one by one: a worker reads each from a copy
+    named = cut(texts.mapInArrow(_named(bitmaps, longest, min(shard_bytes, NAMED_BYTES)), "key long, lang string, phrase string, n long"))
+    totals = named.where("key is null").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    phrases = named.where("phrase is not null").select("key", "lang", "phrase").distinct().join(frequent.select("key", "n"), "key")
+    odd = cut(named.where("key is not null and lang is null").select("key").distinct().join(frequent.select("key"), "key"))
+    if not odd.isEmpty():
+        again = texts.mapInArrow(_counted_by_text(broadcast(_bitmap(odd, bits)), longest, shard_bytes), "key long, lang string, phrase string, n long")
+        again = again.join(odd, "key", "left_semi").groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        phrases = phrases.join(odd, "key", "left_anti").select("key", "lang", "phrase", "n").union(again.select("key", "lang", "phrase", "n"))
+    return totals.union(phrases.select("lang", "phrase", "n"))
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, shard_bytes: int = SHARD_BYTES, bits: int = BITS) -> DataFrame:

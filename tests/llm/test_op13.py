@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from recsieve.llm import collocations as C
 from recsieve.llm import queries
@@ -115,3 +116,35 @@ def test_memory_of_a_shard(shared):
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 100 * 1_200_000
+
+
+def test_phrases_travel_about_once(spark, monkeypatch):
+    """A phrase that all shards have is named by few of them; texts of one class, copies too, name it once a shard at most."""
+    rng = np.random.default_rng(6)
+    data = [("en", " ".join(f"w{x}" for x in rng.integers(0, 12, 60))) for _ in range(200)] + [("en", "same " * 7)] * 4
+    df = spark.createDataFrame(data, "lang string, text string").repartition(4)
+    sent, kind = [], type(df)
+
+    def counted(self, f, schema, *more, as_it_is=kind.mapInArrow):
+        out = as_it_is(self, f, schema, *more)
+        if "phrase" in schema:
+            sent.append(out.where("phrase is not null").count())
+        return out
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    frequent = C.frequent_phrases(df, least=20, shard_bytes=500).where("phrase is not null").count()
+    assert frequent > 150 and sum(sent) <= 1.1 * frequent + 4
+
+
+@pytest.mark.parametrize("key", [(1 << 12) - 1, (1 << 20) - 1])
+def test_keys_that_phrases_share(spark, monkeypatch, key):
+    """With keys of 12 bits all phrases share theirs, with 20 bits some do: they are counted by their text."""
+    monkeypatch.setattr(C, "_KEY", np.uint64(key))
+    cloudpickle.register_pickle_by_value(C)
+    try:
+        rng = np.random.default_rng(9)
+        data = [("en", " ".join(f"w{x}" for x in rng.zipf(1.2, 6_000) % 3_000)), ("de", " ".join(f"w{x}" for x in rng.integers(0, 9, 3_000)))] * 2
+        df = spark.createDataFrame(data, "lang string, text string").repartition(3)
+        assert result(df, least=3, shard_bytes=5000) == brute(data, 3, 5, 2000)
+    finally:
+        cloudpickle.unregister_pickle_by_value(C)
